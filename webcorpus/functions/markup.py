@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from webcorpus.functions.text import strip
+from webcorpus.functions.text import let, strip
 
 # Elements that are never content.
 BOILERPLATE = ("header", "footer", "nav", "aside", "form", "script", "style")
@@ -54,10 +54,16 @@ _ANCHOR = (
 
 
 def decode_entities(text: Column) -> Column:
-    decoded = F.regexp_replace(text, _UNCLOSED_ENTITY, "&$1;")
-    for entity, char in ENTITIES.items():
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    """Decode the entities above; text with none but `&amp;` takes one replacement."""
+
+    def decoded(raw: Column) -> Column:
+        whole = F.regexp_replace(raw, _UNCLOSED_ENTITY, "&$1;")
+        for entity, char in ENTITIES.items():
+            whole = F.replace(whole, F.lit(entity), F.lit(char))
+        ampersands = F.replace(raw, F.lit("&amp;"), F.lit("&"))
+        return F.when(raw.rlike("&(?!amp;)"), whole).otherwise(ampersands)
+
+    return let(text, decoded)
 
 
 def _region(html: Column) -> Column:

@@ -3,6 +3,8 @@ and windows. All are Column expressions over one row; none shuffles."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,8 +14,9 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-NON_SPACE = f"[^{WHITESPACE}]"
-LINE_BREAK = r"\r\n|[\n\r\u000b\f\u001c-\u001e\u0085\u2028\u2029]"
+# The Unicode class has all of these but the separators 1c to 1f.
+NON_SPACE = r"(?U)[^\s\u001c-\u001f]"
+LINE_BREAK = r"\R|[\u001c-\u001e]"
 
 # What opens and what closes a language-selector block.
 BLOCK_OPENER = "select language"
@@ -32,6 +35,15 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """Bind a value that `then` uses several times.
+
+    A column expression is a tree: without the binding every use would repeat,
+    and may evaluate, the whole expression below it.
+    """
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def strip(text: Column | str) -> Column:
     """Cut white space, Unicode included, from both ends."""
     return F.btrim(_col(text), F.lit(WHITESPACE))
@@ -57,7 +69,12 @@ def truncate_text(text: Column | str, limit: int) -> Column:
 
 def lines_of(text: Column | str) -> Column:
     """Lines of a text; a line break at the very end opens no further line."""
-    return F.split(F.regexp_replace(_col(text), f"(?:{LINE_BREAK})\\z", ""), LINE_BREAK)
+    return let(
+        F.split(_col(text), LINE_BREAK),
+        lambda lines: F.when(
+            F.element_at(lines, -1) == "", F.slice(lines, F.lit(1), F.size(lines) - 1)
+        ).otherwise(lines),
+    )
 
 
 def opens_block(line: Column) -> Column:
@@ -65,11 +82,11 @@ def opens_block(line: Column) -> Column:
     wordy = (F.length(line) > LONG_LINE) & (
         F.regexp_count(line, F.lit(f"{NON_SPACE}{{{LONG_WORD},}}")) > LONG_WORDS
     )
-    return F.lower(line).contains(BLOCK_OPENER) | wordy
+    return line.rlike(f"(?i){BLOCK_OPENER}") | wordy
 
 
 def closes_block(line: Column) -> Column:
-    return F.lower(line).contains(BLOCK_CLOSER) | ~non_blank(line)
+    return line.rlike(f"(?i){BLOCK_CLOSER}") | ~non_blank(line)
 
 
 def drop_language_blocks(text: Column | str) -> Column:
@@ -95,8 +112,10 @@ def drop_language_blocks(text: Column | str) -> Column:
 
 def prefer_filtered(filtered: Column, text: Column) -> Column:
     """The filtered text, unless too little is left of it."""
-    cleaned = strip(filtered)
-    return F.when(F.length(cleaned) > SHORT_RESULT, cleaned).otherwise(text)
+    return let(
+        strip(filtered),
+        lambda cleaned: F.when(F.length(cleaned) > SHORT_RESULT, cleaned).otherwise(text),
+    )
 
 
 def clean_lines(text: Column | str) -> Column:
@@ -114,25 +133,24 @@ def token_count(text: Column | str) -> Column:
 
 
 def window_count(tokens: Column, size: int, overlap: int) -> Column:
-    """How many windows a token array gives: one per started step."""
-    step = _step(size, overlap)
-    return F.ceil(F.size(tokens) / F.lit(step)).cast("int")
+    """How many windows this many tokens give: one per started step."""
+    return F.ceil(tokens / F.lit(_step(size, overlap))).cast("int")
 
 
 def token_windows(tokens: Column, size: int, overlap: int) -> Column:
-    """Array of (chunk_index, content): windows of `size` tokens every size-overlap."""
+    """Array of window texts: `size` tokens every size-overlap; empty for no tokens."""
     step = _step(size, overlap)
-    count = window_count(tokens, size, overlap)
-    windows = F.transform(
-        F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
-        lambda i: F.struct(
-            i.alias("chunk_index"),
-            F.array_join(
-                F.slice(tokens, (i - 1) * F.lit(step) + 1, F.lit(size)), ""
-            ).alias("content"),
-        ),
-    )
-    return F.when(count > 0, windows)
+
+    def cut(found: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(found), F.lit(1)), F.lit(step))
+        windows = F.transform(
+            starts, lambda at: F.array_join(F.slice(found, at, F.lit(size)), "")
+        )
+        return F.when(F.size(found) > 0, windows).otherwise(
+            F.array().cast("array<string>")
+        )
+
+    return let(tokens, cut)
 
 
 def _step(size: int, overlap: int) -> int:

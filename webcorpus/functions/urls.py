@@ -7,12 +7,10 @@ runs only for paths that have dot segments.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from webcorpus.functions.text import strip
+from webcorpus.functions.text import let, strip
 
 # The generic URI syntax (RFC 3986, appendix B), one group each.
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
@@ -40,15 +38,6 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def _let(value: Column, then: Callable[[Column], Column]) -> Column:
-    """Bind a value that `then` uses several times.
-
-    A column expression is a tree: without the binding every use would repeat
-    the whole expression below it.
-    """
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
 def _clean(url: Column) -> Column:
     return F.translate(F.ltrim(url, F.lit(_LEADING)), "\t\r\n", "")
 
@@ -181,7 +170,7 @@ def _merge(base_path: Column, path: Column) -> Column:
     merged = F.when(path.startswith("/"), path).otherwise(
         F.regexp_replace(F.concat(directory, path), "/{2,}", "/")
     )
-    folded = _let(
+    folded = let(
         merged, lambda m: F.when(m.rlike(_DOT_SEGMENT), _fold_dots(m)).otherwise(m)
     )
     return F.coalesce(F.nullif(folded, F.lit("")), F.lit("/"))
@@ -220,7 +209,7 @@ def _join(base: Column, ref: Column) -> Column:
         ).otherwise(F.lit("")),
     )
     located = F.struct(netloc.alias("netloc"), path.alias("path"))
-    return _let(
+    return let(
         located,
         lambda o: F.concat(
             _assemble(base["scheme"], o["netloc"], _rooted(o["netloc"], o["path"])), tail
@@ -243,12 +232,12 @@ def resolve_from(base: Column, href: Column) -> Column:
         names = ("scheme", "netloc", "raw_path", "query", "fragment")
         return F.struct(url.alias("url"), *[_part(url, name).alias(name) for name in names])
 
-    return _let(_clean(href), lambda url: _let(parts(url), resolved))
+    return let(_clean(href), lambda url: let(parts(url), resolved))
 
 
 def resolve(base: Column | str, href: Column | str) -> Column:
     """Resolve a reference against a base URL (RFC 3986 join)."""
-    return _let(base_parts(base), lambda parts: resolve_from(parts, _col(href)))
+    return let(base_parts(base), lambda parts: resolve_from(parts, _col(href)))
 
 
 def js_open_target(href: Column | str) -> Column:
@@ -267,22 +256,22 @@ def real_link_from(base: Column, href: Column) -> Column:
         script = F.lower(link).startswith("javascript:")
         target = F.when(script, js_open_target(link)).otherwise(link)
         kept = script | link.startswith("#")
-        return _let(
+        return let(
             resolve_from(base, target),
             lambda url: F.when(kept, url).otherwise(normalize_url(url)),
         )
 
-    return F.when(href != "", _let(strip(href), linked))
+    return F.when(href != "", let(strip(href), linked))
 
 
 def real_link(base: Column | str, href: Column | str) -> Column:
     """Absolute link of an anchor: script targets and fragments kept, rest normalised."""
-    return _let(base_parts(base), lambda parts: real_link_from(parts, _col(href)))
+    return let(base_parts(base), lambda parts: real_link_from(parts, _col(href)))
 
 
 def real_links(base: Column | str, hrefs: Column | str) -> Column:
     """Distinct links of a page's hrefs; the base is taken apart once per page."""
-    return _let(
+    return let(
         base_parts(base),
         lambda parts: F.array_distinct(
             F.array_compact(F.transform(_col(hrefs), lambda h: real_link_from(parts, h)))

@@ -6,11 +6,20 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webcorpus.functions.text import _step, non_blank, token_windows, tokenize, window_count
+from webcorpus.functions.text import (
+    _step,
+    let,
+    non_blank,
+    token_count,
+    token_windows,
+    tokenize,
+    window_count,
+)
 from webcorpus.functions.urls import blob_hash, blob_stem, title
+from webcorpus.operators.rows import exploded
 from webcorpus.session import ddl
 
 
@@ -24,12 +33,29 @@ class Codec(Protocol):
 
 def word_windows(docs: DataFrame, size: int, overlap: int, *keep: str) -> DataFrame:
     """(*keep, chunk_index, chunk_total, content) over word tokens, blank windows too."""
-    tokens = tokenize("text")
-    return docs.select(
-        *keep,
-        window_count(tokens, size, overlap).alias("chunk_total"),
-        F.explode(token_windows(tokens, size, overlap)).alias("_w"),
-    ).select(*keep, F.col("_w.chunk_index"), "chunk_total", F.col("_w.content"))
+    return _rows(docs, token_windows(tokenize("text"), size, overlap), *keep)
+
+
+def _rows(docs: DataFrame, windows: Column, *keep: str) -> DataFrame:
+    """One row per window, numbered from 1, with the number of windows.
+
+    Number and count are put into the array elements, so that the array itself
+    does not travel along with every row it gives.
+    """
+    numbered = let(
+        windows,
+        lambda texts: F.transform(
+            texts,
+            lambda text, at: F.struct(
+                (at + 1).alias("chunk_index"),
+                F.size(texts).alias("chunk_total"),
+                text.alias("content"),
+            ),
+        ),
+    )
+    return exploded(docs, list(keep), numbered, "_w").select(
+        *keep, "_w.chunk_index", "_w.chunk_total", "_w.content"
+    )
 
 
 def codec_windows(
@@ -54,17 +80,13 @@ def codec_windows(
             yield out
 
     windows = docs.select(*keep, "text").mapInPandas(run, f"{schema}, windows array<string>")
-    return windows.select(
-        *keep,
-        F.size("windows").alias("chunk_total"),
-        F.posexplode("windows").alias("_pos", "content"),
-    ).select(*keep, (F.col("_pos") + 1).alias("chunk_index"), "chunk_total", "content")
+    return _rows(windows, F.col("windows"), *keep)
 
 
 def chunk_total(docs: DataFrame, size: int, overlap: int) -> DataFrame:
     """(url, chunk_total): windows of each document, blank ones counted."""
     return docs.select(
-        "url", window_count(tokenize("text"), size, overlap).alias("chunk_total")
+        "url", window_count(token_count("text"), size, overlap).alias("chunk_total")
     )
 
 

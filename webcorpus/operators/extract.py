@@ -26,6 +26,7 @@ from webcorpus.functions.text import (
 from webcorpus.functions.urls import resolve
 from webcorpus.operators.dom import walk
 from webcorpus.operators.ordered import carry_forward, ordered_concat
+from webcorpus.operators.rows import exploded
 from webcorpus.session import ddl
 
 
@@ -85,11 +86,8 @@ def filter_lines(
     shuffle-free form for whole texts in one row; both agree. A key of which
     nothing is left gives no row.
     """
-    lines = df.select(
-        *keys,
-        *([order] if order else []),
-        F.posexplode(lines_of(text)).alias("_pos", "_line"),
-    )
+    kept_columns = [*keys, *([order] if order else [])]
+    lines = exploded(df, kept_columns, lines_of(text), "_line", "_pos")
     sequence = [order, "_pos"] if order else ["_pos"]
     event = F.when(opens_block(F.col("_line")), 1).when(closes_block(F.col("_line")), -1)
     marked = lines.withColumn("_event", event)
@@ -131,7 +129,7 @@ def fragment_docs_in_row(
     """The same for parsed pages, whose links and panes are in one row: no join."""
     hits = F.filter("panes", lambda p: F.array_contains(wanted, p["id"]))
     return (
-        parsed.select(*keep, base.alias("_base"), F.explode(hits).alias("_pane"))
+        exploded(parsed, [*keep, base.alias("_base")], hits, "_pane")
         .select(
             *keep,
             resolve(F.col("_base"), F.concat(F.lit("#"), F.col("_pane.id"))).alias("url"),

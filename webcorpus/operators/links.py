@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from webcorpus.functions.markup import hrefs
 from webcorpus.functions.urls import directory_base, normalize_url, real_links, url_part
 from webcorpus.operators.policy import allow_domain_semi, apply_skip
+from webcorpus.operators.rows import exploded
 
 
 def extract_links(pages: DataFrame, *keep: str) -> DataFrame:
     """(url, *keep, href): the distinct hrefs of each page's anchors."""
-    return pages.select("url", *keep, F.explode(hrefs(F.col("html"))).alias("href"))
+    return exploded(pages, ["url", *keep], hrefs(F.col("html")), "href")
 
 
 def union_links(*raw: DataFrame) -> DataFrame:
@@ -36,13 +37,9 @@ def resolve_links(linked: DataFrame, *keep: str) -> DataFrame:
     `linked` has (url, *keep, hrefs). Links are resolved and made distinct
     inside the row of their page, so nothing is shuffled.
     """
-    exploded = linked.select(
-        F.col("url").alias("src_url"),
-        *keep,
-        normalize_url("url").alias("src_norm"),
-        F.explode(real_links(directory_base("url"), "hrefs")).alias("dst_url"),
-    )
-    return exploded.select(
+    source = [F.col("url").alias("src_url"), *keep, normalize_url("url").alias("src_norm")]
+    targets = real_links(directory_base("url"), "hrefs")
+    return exploded(linked, source, targets, "dst_url").select(
         "src_url",
         *keep,
         "src_norm",

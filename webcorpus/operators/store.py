@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webcorpus.operators.fetch import latest_per_key
@@ -21,18 +21,16 @@ def match_store(incoming: DataFrame, store: DataFrame, key: str = KEY) -> DataFr
     )
 
 
-def upsert_actions(incoming: DataFrame, store: DataFrame, key: str = KEY) -> DataFrame:
-    """Add `action`: insert, update or skip.
+def _unchanged(incoming: Column, stored: Column) -> Column:
+    """Equal and not empty. Values are compared as they are: an older one differs too."""
+    return F.coalesce((incoming != "") & (incoming == stored), F.lit(False))
 
-    Skipped are keys whose stored `last_modified` is the incoming one and is
-    not empty. Values are compared as they are; an older one also replaces.
-    """
-    unchanged = (F.col("last_modified") != "") & (
-        F.col("last_modified") == F.col("stored_modified")
-    )
+
+def upsert_actions(incoming: DataFrame, store: DataFrame, key: str = KEY) -> DataFrame:
+    """Add `action`: insert, update, or skip for an unchanged `last_modified`."""
     action = (
         F.when(~F.col("in_store"), "insert")
-        .when(F.coalesce(unchanged, F.lit(False)), "skip")
+        .when(_unchanged(F.col("last_modified"), F.col("stored_modified")), "skip")
         .otherwise("update")
     )
     return (
@@ -48,9 +46,22 @@ def changed(actions: DataFrame) -> DataFrame:
 
 
 def upsert(store: DataFrame, incoming: DataFrame, key: str = KEY) -> DataFrame:
-    """The store after the upsert. Keys that are not incoming stay as they are."""
-    fresh = changed(upsert_actions(incoming, store, key))
-    return store.join(fresh.select(key), key, "left_anti").unionByName(fresh)
+    """The store after the upsert. Keys that are not incoming stay as they are.
+
+    Keys are unique on both sides. One full join moves each side once and
+    settles every key, whether it is stored, incoming or both.
+    """
+    columns = store.columns
+    both = store.select(key, F.struct(*columns).alias("_old")).join(
+        incoming.select(key, F.struct(*columns).alias("_new")), key, "full_outer"
+    )
+    stays = F.col("_new").isNull() | (
+        F.col("_old").isNotNull()
+        & _unchanged(F.col("_new.last_modified"), F.col("_old.last_modified"))
+    )
+    return both.select(F.when(stays, F.col("_old")).otherwise(F.col("_new")).alias("_row")).select(
+        "_row.*"
+    )
 
 
 # A stored table is a folder of batches: each run adds the rows that changed and

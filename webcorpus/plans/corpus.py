@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from webcorpus.config import CrawlConfig
-from webcorpus.functions.text import last_modified, non_blank, strip, truncate_text
+from webcorpus.functions.text import last_modified, strip, truncate_text
 from webcorpus.functions.urls import directory_base, normalize_url
 from webcorpus.operators import chunks as C
 from webcorpus.operators import fetch, report, store
@@ -55,6 +55,7 @@ class CrawlInputs:
     pdf_pages  url, page_no, text
     pdf_fetches url, attempt, status, content_type, headers, length, error, fetched_at
     seen       url, chunk_index of chunks never to be emitted again
+    seeds      seed URLs, when there are more than settings can list
     """
 
     fetches: DataFrame
@@ -64,6 +65,7 @@ class CrawlInputs:
     pdf_pages: DataFrame | None = None
     pdf_fetches: DataFrame | None = None
     seen: DataFrame | None = None
+    seeds: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -76,10 +78,9 @@ class CrawlResult:
 
 
 def start_urls(
-    spark: SparkSession, config: CrawlConfig, sitemaps: DataFrame | None
+    seeds: DataFrame, config: CrawlConfig, sitemaps: DataFrame | None
 ) -> DataFrame:
     """URLs the walk starts from: sitemap locations per seed, or the seed."""
-    seeds = seeds_from(spec_table(spark, config.base_urls))
     if sitemaps is None:
         return seeds.select(F.col("seed").alias("url"))
     leaves = expand_sitemaps(
@@ -90,11 +91,23 @@ def start_urls(
     return sitemap_or_seed(seeds, leaves).select("url")
 
 
-def allowed_domains(spark: SparkSession, config: CrawlConfig) -> list[str]:
-    """The domains of the settings; a list as long as the settings are."""
+Domains = DataFrame | list[str]
+
+
+def seeds_and_domains(
+    spark: SparkSession, config: CrawlConfig, seeds: DataFrame | None
+) -> tuple[DataFrame, Domains]:
+    """Seeds, and the domains of the settings and the seeds.
+
+    Domains of the settings are a list as long as the settings are; with a
+    table of seeds they stay a table.
+    """
+    listed = spec_table(spark, config.allow_domains)
+    if seeds is not None:
+        seeds = seeds.select("seed")
+        return seeds, materialize(allow_domains(listed, seeds), "domains")
     seeds = seeds_from(spec_table(spark, config.base_urls))
-    domains = allow_domains(spec_table(spark, config.allow_domains), seeds)
-    return [row.domain for row in domains.collect()]
+    return seeds, [row.domain for row in allow_domains(listed, seeds).collect()]
 
 
 def parsed_fetches(fetches: DataFrame, retry_count: int) -> tuple[DataFrame, DataFrame]:
@@ -131,7 +144,7 @@ def parsed_fetches(fetches: DataFrame, retry_count: int) -> tuple[DataFrame, Dat
 
 
 def html_documents(
-    pages: DataFrame, processed: DataFrame, config: CrawlConfig, domains: list[str]
+    pages: DataFrame, processed: DataFrame, config: CrawlConfig, domains: Domains
 ) -> DataFrame:
     """(url, text, last_modified) of the pages and of their linked panes.
 
@@ -235,7 +248,7 @@ def run_crawl(
     make_codec: Callable[[], C.Codec] | None = None,
 ) -> CrawlResult:
     """Run one crawl into `out`/store and `out`/logs; a batch may be run again."""
-    domains = allowed_domains(spark, config)
+    seeds, domains = seeds_and_domains(spark, config, inputs.seeds)
     outcomes, pages = parsed_fetches(inputs.fetches, config.retry_count)
     links = filter_links(
         resolve_links(pages.select("url", "hrefs")),
@@ -249,7 +262,7 @@ def run_crawl(
             "policies",
         )
     frontier = crawl_frontier(
-        start_urls(spark, config, inputs.sitemaps),
+        start_urls(seeds, config, inputs.sitemaps),
         links,
         config.max_depth,
         config.skip_patterns,
@@ -278,7 +291,7 @@ def run_crawl(
     for more in documents[1:]:
         all_documents = all_documents.unionByName(more)
     emitted = C.emit_chunks(
-        all_documents.filter(non_blank("text")),
+        all_documents,
         config.window_size,
         config.token_overlap,
         make_codec,

@@ -506,6 +506,11 @@ def embed_chunks(spark, sf):
 # --- store ------------------------------------------------------------------------
 
 
+def _stored_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """The chunks as a table, for queries that read them more than once."""
+    return materialize(_chunks(spark, sf), "chunks")
+
+
 def _store(chunks: DataFrame) -> DataFrame:
     """What an earlier run left: a third unchanged, a third older, a third absent,
     and one chunk more of every unchanged document."""
@@ -521,7 +526,7 @@ def _store(chunks: DataFrame) -> DataFrame:
 
 @query
 def seen_anti(spark, sf):
-    chunks = _chunks(spark, sf)
+    chunks = _stored_chunks(spark, sf)
     seen = seen_keys(
         chunks.filter(F.col("chunk_index") % 3 == 1).select(
             "url", F.nullif("chunk_index", F.lit(1)).alias("chunk_index")
@@ -532,7 +537,7 @@ def seen_anti(spark, sf):
 
 @query
 def upsert_actions(spark, sf):
-    chunks = _chunks(spark, sf)
+    chunks = _stored_chunks(spark, sf)
     return store.upsert_actions(chunks, _store(chunks)).select(
         "blob_name", "last_modified", "action"
     )
@@ -540,7 +545,7 @@ def upsert_actions(spark, sf):
 
 @query
 def upsert_merged(spark, sf):
-    chunks = _chunks(spark, sf)
+    chunks = _stored_chunks(spark, sf)
     return store.upsert(_store(chunks), chunks)
 
 
@@ -548,7 +553,7 @@ def upsert_merged(spark, sf):
 def upsert_stored(spark, sf):
     """Two runs into a stored table: the second writes changed chunks only."""
     path = new_folder(spark, "store")
-    chunks = materialize(_chunks(spark, sf), "chunks")
+    chunks = _stored_chunks(spark, sf)
     store.write_batch(_store(chunks), path, 0)
     record = ddl(chunks.schema.fields)
     current = store.read_store(spark, path, record, before=1)
@@ -640,7 +645,7 @@ def emitted_urls_distinct(spark, sf):
 
 @query
 def emitted_docs(spark, sf):
-    chunks = _chunks(spark, sf)
+    chunks = _stored_chunks(spark, sf)
     return report.emitted_docs(store.upsert_actions(chunks, _store(chunks))).select(
         "blob_name", "url", "chunk_index", "content"
     )
@@ -800,14 +805,18 @@ def crawl_run(spark, sf):
         )
     )
     config = CrawlConfig(
-        base_urls="https://spam-farm.example.org/;https://www.cheap-pills.example.com/",
         allow_domains="example.com;example.org;example.net",
         skip_regexes=";".join(SKIP),
         embedding_token_limit=SIZE + 100,
         token_overlap=OVERLAP,
     )
     inputs = CrawlInputs(
-        fetches=linked, robots=I.robots_files(pages), sitemaps=_host_sitemaps(pages)
+        fetches=linked,
+        robots=I.robots_files(pages),
+        sitemaps=_site_sitemaps(pages.filter(F.col("url").contains("/en/"))),
+        seeds=pages.select(
+            F.concat(F.substring_index("url", "/", 3), F.lit("/")).alias("seed")
+        ).distinct(),
     )
     written = run_crawl(spark, config, inputs, new_folder(spark, "crawl")).written
     return written.select("url", "chunk_index", "chunk_total", "content", "blob_name")
@@ -830,7 +839,7 @@ def _sitemap_file(rows: DataFrame, root: str, order: str) -> DataFrame:
     )
 
 
-def _host_sitemaps(pages: DataFrame) -> DataFrame:
+def _site_sitemaps(pages: DataFrame) -> DataFrame:
     """An index per host; its sitemaps list at most 50,000 pages each."""
     site = F.substring_index("url", "/", 3)
     block = F.floor(F.col("page_id") / 50_000)

@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Pages are wide rows; small Arrow batches bound the Python worker's memory.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # No call-site capture per column expression: it costs milliseconds each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from webcorpus.functions.text import LINE_BREAK, strip
 from webcorpus.operators.policy import number_groups, unquote
+from webcorpus.operators.rows import exploded
 
 # Fields of a robots file; the last two bind nothing but belong
 # to a group like any rule.
@@ -15,12 +16,8 @@ RULE_FIELDS = ("allow", "disallow", "crawl-delay", "request-rate")
 
 def robots_lines(robots: DataFrame) -> DataFrame:
     """(base, line_no, kind, field, value) of every line of the files received."""
-    raw = robots.filter("status = 200").select(
-        "base",
-        F.posexplode(F.split(F.coalesce("body", F.lit("")), LINE_BREAK)).alias(
-            "line_no", "line"
-        ),
-    )
+    lines = F.split(F.coalesce("body", F.lit("")), LINE_BREAK)
+    raw = exploded(robots.filter("status = 200"), ["base"], lines, "line", "line_no")
     bare = strip(F.regexp_replace("line", "#.*$", ""))
     field = F.when(
         bare.contains(":"), F.lower(strip(F.regexp_extract(bare, "^([^:]*):", 1)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from webcorpus.operators.rows import exploded
+
 _SHAPE = "url array<struct<loc:string>>, sitemap array<struct<loc:string>>"
 _OPTIONS = {"ignoreNamespace": "true"}
 # The namespace whose `loc` elements count, and the index's root.
@@ -45,4 +47,4 @@ def sitemap_locs(sitemaps: DataFrame) -> DataFrame:
             ).alias("_locs"),
         )
     )
-    return parsed.select("sitemap_url", "kind", F.posexplode("_locs").alias("pos", "loc"))
+    return exploded(parsed, ["sitemap_url", "kind"], F.col("_locs"), "loc", "pos")
