@@ -173,10 +173,11 @@ def robots_policies(
 
 
 def first_match(rules: Column, path: Column) -> Column:
-    """`allow` of the first rule in file order whose prefix fits; null if none does."""
-    fitting = F.filter(
-        rules, lambda r: (r["prefix"] == "*") | path.startswith(r["prefix"])
-    )
+    """`allow` of the first rule in file order whose prefix fits; null if none does.
+
+    Prefixes are literal: a `*` in one stands for itself.
+    """
+    fitting = F.filter(rules, lambda r: path.startswith(r["prefix"]))
     return F.get(fitting, F.lit(0))["allow"]
 
 
