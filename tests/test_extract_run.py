@@ -10,9 +10,10 @@ from webcorpus.operators import chunks as C
 from webcorpus.operators import extract, links, store
 from webcorpus.operators.dom import walk
 from webcorpus.plans import fixtures as I
-from webcorpus.plans.corpus import CrawlInputs, run_crawl
+from webcorpus.plans.corpus import RECORD, CrawlInputs, run_crawl
 from webcorpus.sources import office
 from webcorpus.sources.pages import read_binary, size_cut
+from webcorpus.sources.state import read_seen
 from webcorpus.streaming import ingest as S
 
 SF = "/root/testdata/sf0.001"
@@ -162,8 +163,9 @@ def test_whole_run(spark, tmp_path):
     assert all(r.embedding == [float(len(r.content))] for r in result.written.collect())
     # The same data again: nothing is written, the store stays.
     again = run_crawl(spark, config, inputs, out, 1, client)
-    assert again.written.count() == 1  # only the Word file has no stable date
-    assert spark.read.json(f"{out}/logs/sitemap").count() == 1
+    assert again.written.count() == 0
+    assert store.read_store(spark, f"{out}/store", RECORD).count() == 8
+    assert read_seen(spark, f"{out}/logs/docs").count() == 0
 
 
 def test_streams_equal_batches(spark, tmp_path):
