@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from webcorpus.operators import chunks as C
 from webcorpus.operators import fetch, frontier, report, store
 from webcorpus.operators.embed import embed, embed_guard
+from webcorpus.session import bucketed
 from webcorpus.sources.sitemaps import sitemap_locs
 from webcorpus.sources.state import read_seen
 
@@ -71,6 +72,25 @@ def test_sitemap_or_seed(spark):
     assert got == [("https://a/", "https://a/1", True), ("https://a/", "https://a/2", True), ("https://b", "https://b", False)]
 
 
+def test_levels_do_not_move_the_links(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = _links(spark, [(str(i), str(j)) for i in range(50) for j in range(5)])
+        hot = frontier._hot_pages(links, 100)
+        level = links.select(F.col("src_norm").alias("norm_url")).distinct()
+        with bucketed(frontier.salt_links(links, hot), ("src_norm", "salt"), "t", 4) as table:
+            reached = frontier.expand(frontier.salt_level(level, hot), table)
+            assert reached.count() == 250
+            mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+            plan = reached._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+    above = [line.split("+- ")[-1].split()[0].lstrip("*") for line in lines[at - 2 : at]]
+    assert not any("Exchange" in line for line in lines[at - 2 : at]), above
+
+
 SCHEMA = "blob_name string, last_modified string, content string"
 
 

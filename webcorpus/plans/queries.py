@@ -342,10 +342,13 @@ def lang_block_conversations(spark, sf):
 
 @query
 def lang_block_array(spark, sf):
-    return I.table(spark, sf, "documents").select(
+    docs = I.table(spark, sf, "documents").select(
+        "doc_id", "text", X.drop_language_blocks("text").alias("filtered")
+    )
+    return docs.select(
         "doc_id",
-        X.drop_language_blocks("text").alias("filtered"),
-        X.clean_lines("text").alias("text"),
+        "filtered",
+        X.prefer_filtered(F.col("filtered"), F.col("text")).alias("text"),
     )
 
 
