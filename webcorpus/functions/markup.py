@@ -67,8 +67,12 @@ def decode_entities(text: Column) -> Column:
 
 
 def _region(html: Column) -> Column:
-    found = [F.nullif(F.regexp_extract(html, p, 1), F.lit("")) for p in _REGIONS]
-    return F.coalesce(*found, html)
+    """The first region that has something in it, else the whole page."""
+
+    def inside(page: Column, pattern: str) -> Column:
+        return let(F.regexp_extract(page, pattern, 1), lambda r: F.when(r != "", r))
+
+    return let(html, lambda page: F.coalesce(*[inside(page, p) for p in _REGIONS], page))
 
 
 def visible_text(html: Column) -> Column:

@@ -119,8 +119,7 @@ def prefer_filtered(filtered: Column, text: Column) -> Column:
 
 
 def clean_lines(text: Column | str) -> Column:
-    text = _col(text)
-    return prefer_filtered(drop_language_blocks(text), text)
+    return let(_col(text), lambda t: prefer_filtered(drop_language_blocks(t), t))
 
 
 def tokenize(text: Column | str) -> Column:

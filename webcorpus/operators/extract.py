@@ -32,8 +32,7 @@ from webcorpus.session import ddl
 
 def main_text_column(html: Column | str) -> Column:
     """Main text of a page by the column route."""
-    html = F.col(html) if isinstance(html, str) else html
-    return clean_lines(visible_text(html))
+    return clean_lines(visible_text(F.col(html) if isinstance(html, str) else html))
 
 
 def parse_pages(
