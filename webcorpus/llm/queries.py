@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webcorpus.llm import quality
+from webcorpus.llm import mixing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -28,3 +28,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     ratios = quality.fit_ratios(docs, table(spark, sf_dir, "labels"))
     return quality.score_quality(docs, ratios)
+
+
+@query("op3_mixing")
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
