@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webcorpus.llm import mixing, quality
+from webcorpus.llm import mixing, quality, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -33,3 +33,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_mixing")
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op8_rule_ensemble")
+def op8_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
