@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from webcorpus.llm import mixing, quality, rules
+from webcorpus.llm import fixity, mixing, quality, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -38,3 +39,16 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_rule_ensemble")
 def op8_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_merkle_audit")
+def op7_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC files, against a replica with changed and lost records."""
+    records = fixity.warc_records(table(spark, sf_dir, "pages"))
+    changed = F.concat(F.expr("substring(record, 1, length - 1)"), F.lit(b"\0"))
+    rotten = records.withColumn(
+        "record", F.when(F.col("record_id") % 97 == 13, changed).otherwise(F.col("record"))
+    )
+    first, second = (fixity.laid_out(fixity.hashed(side)) for side in (records, rotten))
+    lost = F.coalesce(F.col("record_id") % 101 == 7, F.lit(False))
+    return fixity.audit(first, second.filter(~lost))

@@ -1,5 +1,6 @@
 """DuckDB SQL with the same rows as the operators' queries, where SQL can express them."""
 
+from webcorpus.llm import fixity
 from webcorpus.llm import quality as q
 
 ORACLES: dict[str, str] = {}
@@ -60,3 +61,28 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
   CAST(llr AS BIGINT) AS llr_sum, CAST(n AS BIGINT) AS n_ngrams
 FROM judged
 """
+
+_CRLF = "chr(13) || chr(10)"
+ORACLES["op7_merkle_audit"] = f"""
+WITH records AS (
+  SELECT page_id AS record_id, encode(
+    'WARC/1.1' || {_CRLF} || 'WARC-Type: response' || {_CRLF}
+    || 'WARC-Record-ID: <urn:page:' || coalesce(CAST(page_id AS VARCHAR), 'none') || '>' || {_CRLF}
+    || 'WARC-Target-URI: ' || coalesce(url, '') || {_CRLF}
+    || 'Content-Length: ' || CAST(octet_length(encode(coalesce(html, ''))) AS VARCHAR)
+    || {_CRLF} || {_CRLF} || coalesce(html, '') || {_CRLF} || chr(13)) AS start
+  FROM pages),
+laid AS (
+  SELECT format('{{:08d}}.warc', record_id // {fixity.FILE_RECORDS}) AS file, record_id,
+    octet_length(start) + 1 AS length, sha256(start || encode(chr(10))) AS hash,
+    sha256(start || '\x00'::BLOB) AS rotten
+  FROM records),
+placed AS (
+  SELECT *, CAST(coalesce(sum(length) OVER (PARTITION BY file ORDER BY record_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begins FROM laid)
+SELECT file, begins AS file_offset, record_id, CAST(length AS BIGINT) AS first_length,
+  CASE WHEN record_id % 101 = 7 THEN NULL ELSE CAST(length AS BIGINT) END AS second_length,
+  hash AS first_hash,
+  CASE WHEN record_id % 101 = 7 THEN NULL ELSE rotten END AS second_hash
+FROM placed WHERE record_id % 97 = 13 OR record_id % 101 = 7
+"""
