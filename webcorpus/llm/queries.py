@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus.llm import fixity, mixing, quality, rules
+from webcorpus.llm import fixity, mixing, pii, quality, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -52,3 +52,8 @@ def op7_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = (fixity.laid_out(fixity.hashed(side)) for side in (records, rotten))
     lost = F.coalesce(F.col("record_id") % 101 == 7, F.lit(False))
     return fixity.audit(first, second.filter(~lost))
+
+
+@query("op5_pii_pseudonyms")
+def op5_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymised(table(spark, sf_dir, "documents"))
