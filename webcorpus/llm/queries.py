@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus.llm import fixity, mixing, pii, quality, rules
+from webcorpus.llm import decontaminate, fixity, mixing, pii, quality, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -57,3 +57,9 @@ def op7_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_pii_pseudonyms")
 def op5_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymised(table(spark, sf_dir, "documents"))
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
