@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus.llm import decontaminate, fixity, jaccard, mixing, pii, quality, rules, toxicity
+from webcorpus.llm import (
+    decontaminate,
+    fixity,
+    jaccard,
+    mixing,
+    pii,
+    quality,
+    rules,
+    suffix,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -73,3 +83,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_jaccard_join")
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
