@@ -16,6 +16,7 @@ from webcorpus.llm import (
     quality,
     rules,
     suffix,
+    tokencount,
     toxicity,
 )
 
@@ -88,3 +89,8 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_suffix_dedup")
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"))
