@@ -123,7 +123,8 @@ def occurrences(docs: DataFrame) -> DataFrame:
     """(anchor, stretch, doc_id, first, windows, known): the anchors of all texts.
 
     `known` marks stretches whose equal came earlier in the same task: they are
-    removed whatever comes from elsewhere.
+    removed whatever comes from elsewhere, so they get random anchors and are
+    dealt evenly. Only one of a task's equal stretches meets those of others.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,8 +154,11 @@ def _reduced(held: list[tuple]) -> pa.RecordBatch:
     anchor, stretch, doc, first, windows = (
         x[order] for x in (anchor, stretch, doc, first, windows)
     )
-    known = np.zeros(len(anchor), bool)
-    known[1:] = (anchor[1:] == anchor[:-1]) & (stretch[1:] == stretch[:-1])
+    later, again = _later(anchor, stretch, doc, first)
+    anchor = np.where(later, _mix(_mix(doc.view(np.uint64)) + first.view(np.uint64)), anchor)
+    anchor, stretch, doc, first, windows, known = (
+        x[~again] for x in (anchor, stretch, doc, first, windows, later)
+    )
     names = ["anchor", "stretch", "doc_id", "first", "windows", "known"]
     return pa.RecordBatch.from_arrays(
         [
@@ -169,6 +173,16 @@ def _reduced(held: list[tuple]) -> pa.RecordBatch:
     )
 
 
+def _later(anchor, stretch, doc, first) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted occurrences: those after the first equal one, and repeated rows of it."""
+    starts = bounds_of([anchor, stretch])[:-1]
+    head = np.repeat(starts, np.diff(np.append(starts, len(anchor))))
+    same_place = (doc == doc[head]) & (first == first[head])
+    at_head = np.zeros(len(anchor), bool)
+    at_head[starts] = True
+    return ~same_place, same_place & ~at_head
+
+
 def _sorted_out(found: DataFrame) -> DataFrame:
     """(doc_id, first, windows, anchor, hot, removed), from the occurrences.
 
@@ -177,20 +191,26 @@ def _sorted_out(found: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, bounds in whole_groups(batches, ("anchor",)):
+        for rows, _ in whole_groups(batches, ("anchor",)):
             column = {c: rows.column(c).to_numpy() for c in rows.column_names}
-            new = np.zeros(len(rows), bool)
-            new[bounds_of([column["anchor"], column["stretch"]])[:-1]] = True
-            kinds = np.add.reduceat(new, bounds[:-1])
+            known = column.pop("known")
+            names = ("doc_id", "first", "windows", "anchor")
+            spread = [column[c][known] for c in names]
+            column = {c: v[~known] for c, v in column.items()}
+            key = [column[c] for c in ("anchor", "stretch", "doc_id", "first")]
+            later, again = _later(*key) if len(key[0]) else (np.zeros(0, bool),) * 2
+            new = np.zeros(len(later), bool)
+            new[bounds_of(key[:2])[:-1]] = True
+            bounds = bounds_of(key[:1])
+            kinds = np.add.reduceat(new, bounds[:-1]) if len(new) else np.zeros(0, np.int64)
             kinds = np.repeat(kinds, np.diff(bounds))
-            give = np.flatnonzero(~new | (kinds > 1))
+            give = np.flatnonzero((later | (kinds > 1)) & ~again)
+            out = [np.concatenate([x, column[c][give]]) for x, c in zip(spread, names)]
+            hot = np.concatenate([np.zeros(known.sum(), bool), kinds[give] >= HOT])
+            removed = np.concatenate([np.ones(known.sum(), bool), later[give]])
             yield pa.RecordBatch.from_arrays(
-                [
-                    *[pa.array(column[c][give]) for c in ("doc_id", "first", "windows", "anchor")],
-                    pa.array(kinds[give] >= HOT),
-                    pa.array(~new[give]),
-                ],
-                names=["doc_id", "first", "windows", "anchor", "hot", "removed"],
+                [*map(pa.array, out), pa.array(hot), pa.array(removed)],
+                names=[*names, "hot", "removed"],
             )
 
     sorted_ = together(found, "anchor", order=("stretch", "doc_id", "first"))
@@ -351,7 +371,8 @@ def _repeat_spans(found: DataFrame) -> DataFrame:
             # Equal windows are in one part, so the parts of a table are one array.
             for length, owner, offset in maximal_repeats(rows.column("bytes").to_pylist(), windows):
                 docs, at = doc[owner], first[owner] + offset
-                order = np.lexsort((at, docs))[1:]
+                head = np.lexsort((at, docs))[0]
+                order = np.flatnonzero((docs != docs[head]) | (at != at[head]))
                 spans.append((docs[order], at[order], at[order] + length))
             if spans:
                 yield pa.RecordBatch.from_arrays(
