@@ -24,10 +24,11 @@ from webcorpus.session import ddl
 
 #: Words in a seed.
 SEED_WORDS = 3
-#: Seeds of at most this share of all texts are rare, whatever their rank.
-RARE_SHARE = 1e-4
-#: Distinct seeds of an item that a passage must hold (fewer for short items).
-MIN_SEEDS = 2
+#: Seeds of at most so many texts, or this share of all, are rare whatever their rank.
+RARE_TEXTS, RARE_SHARE = 100, 1e-3
+#: Distinct seeds of an item that a passage must hold: one for each SEED_EVERY
+#: words of the item, one at least and MIN_SEEDS at most.
+MIN_SEEDS, SEED_EVERY = 2, 12
 #: Alignment: a matching word, another word, a word on one side only.
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Share of the best score from which a passage counts as a copy.
@@ -71,7 +72,7 @@ def pack_items(ids: list, texts: list[str]) -> Items:
     inside = np.flatnonzero(item[: len(seed)] == item[SEED_WORDS - 1 :]) if len(seed) else []
     order = np.asarray(inside, np.int64)
     order = order[np.argsort(seed[order], kind="stable")]
-    need = np.minimum(MIN_SEEDS, np.maximum(1, np.diff(bounds) - SEED_WORDS))
+    need = np.clip(np.diff(bounds) // SEED_EVERY, 1, MIN_SEEDS)
     return Items(ids, bounds, words, seed[order], item[order], at[order], need)
 
 
@@ -124,7 +125,7 @@ def rare_seeds(items: Items, counts: np.ndarray, n_docs: int) -> Items:
     first = np.cumsum(size) - size
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order)) - first[items.item[order]]
-    keep = (2 * rank < size[items.item] + 1) | (n <= RARE_SHARE * n_docs)
+    keep = (2 * rank < size[items.item] + 1) | (n <= max(RARE_TEXTS, RARE_SHARE * n_docs))
     return items._replace(seed=items.seed[keep], item=items.item[keep], at=items.at[keep])
 
 

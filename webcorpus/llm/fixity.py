@@ -61,10 +61,8 @@ def laid_out(hashes: DataFrame, file_records: int = FILE_RECORDS) -> DataFrame:
     A file has the records of `file_records` consecutive ids in order, so no
     window is longer than that but for repeated rows; null ids have their own.
     """
-    file = F.coalesce(
-        F.format_string("%08d.warc", F.floor(F.col("record_id") / file_records)),
-        F.lit("none.warc"),
-    )
+    number = F.floor(F.col("record_id") / file_records)
+    file = F.when(number.isNull(), "none.warc").otherwise(F.format_string("%08d.warc", number))
     before = (
         Window.partitionBy("file")
         .orderBy("record_id", "length", "hash")

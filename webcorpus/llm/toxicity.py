@@ -33,7 +33,7 @@ WINDOW, STRIDE = 32, 16
 MAX_PER_CLASS, MAX_WINDOWS = 1_500, 48
 WORD_ROWS, CHAR_ROWS, WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8_192, 4_096, 6, 8, 8, 8
 #: Training: rounds over the windows at most and steps in all, rows of a step, rate.
-ROUNDS, STEPS, BATCH, RATE = 14, 300, 256, 0.015
+ROUNDS, STEPS, BATCH, RATE = 25, 300, 256, 0.015
 #: Share of word embeddings left out in a step, so that spelling counts too; and
 #: the decay of both embeddings.
 DROPPED, DECAY = 0.5, 0.02
