@@ -1,4 +1,5 @@
 import io
+import time
 import zipfile
 
 import pytest
@@ -66,6 +67,32 @@ def test_routes_agree(spark):
     assert found.filter("array_sort(h) <> array_sort(hrefs)").count() == 0
 
 
+def test_bad_pages_become_errors(spark):
+    pages = [
+        ("bad", "<![foo[x]]>a"),
+        ("nested", "<nav>a<nav>b</nav>c</nav><p>kept</p>"),
+        ("cookie", '<div class="cookie">eat</div><p>kept</p>'),
+        ("entities", "<p>caf&eacute; it&#8217;s</p>"),
+        ("forms", "<form>" * 16_000 + "x"),
+        ("null", None),
+    ]
+    df = spark.createDataFrame(pages, "url string, html string")
+    start = time.perf_counter()
+    found = {r.url: r for r in extract.parse_pages(df).collect()}
+    assert time.perf_counter() - start < 20
+    assert found["bad"].text == "" and "Error" in found["bad"].parse_error
+    assert all(r.parse_error is None for u, r in found.items() if u != "bad")
+    assert found["nested"].text == found["cookie"].text == "kept"
+    assert found["entities"].text == "caf\u00e9 it\u2019s"
+    assert links.extract_links(df).count() == 0
+
+
+def test_whole_texts_unless_limited(spark):
+    df = spark.createDataFrame([("<p>" + "word " * 120_000 + "last</p>",)], "html string")
+    assert extract.main_text(df).first().text.endswith("last")
+    assert len(extract.main_text(df, max_chars=1_000).first().text) <= 1_000
+
+
 def test_anchor_forms(spark):
     html = "<a href=/a>1</a><A class=x HREF='/b'>2</a><a data-href='/c'>3</a><!-- <a href='/d'> --><a\nhref = \"/e&amp;f\">"
     df = spark.createDataFrame([("https://x/y/", html)], "url string, html string")

@@ -119,6 +119,10 @@ def test_stored_batches(spark, tmp_path):
     current = {r.blob_name: r.content for r in store.read_store(spark, path, SCHEMA).collect()}
     assert current == {"a": "x", "b": "z"}
     assert {r.content for r in store.read_store(spark, path, SCHEMA, before=1).collect()} == {"x"}
+    # A repeat without rows takes the batch's rows away.
+    store.write_batch(spark.createDataFrame([], SCHEMA), path, 1)
+    assert {r.content for r in store.read_store(spark, path, SCHEMA).collect()} == {"x"}
+    store.write_batch(spark.createDataFrame([("b", "2", "z")], SCHEMA), path, 1)
     store.compact(spark, path, str(tmp_path / "compact"), SCHEMA)
     assert store.read_store(spark, str(tmp_path / "compact"), SCHEMA).count() == 2
 
@@ -144,7 +148,7 @@ def test_fetch_sequences(spark):
     }
     rows = [(u, i + 1, s, None if s else "boom") for u, codes in runs.items() for i, s in enumerate(codes)]
     attempts = spark.createDataFrame(rows, "url string, attempt int, status int, error string")
-    outcomes = fetch.classify(attempts)
+    outcomes = fetch.classify(attempts, retry_count=3)
     got = {r.url: (r.outcome, r.attempt, r.reason) for r in outcomes.collect()}
     assert got == {
         "ok": ("ok", 1, None),
@@ -155,6 +159,8 @@ def test_fetch_sequences(spark):
         "gone": ("not_found", 1, None),
         "denied": ("failure", 2, "HTTP 403"),
     }
+    late = {r.url: r.outcome for r in fetch.classify(attempts).collect()}
+    assert late["too-late"] == "ok"  # all attempts count unless a number is given
     assert {r.url for r in fetch.failures(outcomes).collect()} == {"too-late", "errors", "denied"}
     assert fetch.not_found_records(outcomes).count() == 1
     assert fetch.not_found_records(outcomes, save_404=False).count() == 0

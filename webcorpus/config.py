@@ -32,11 +32,12 @@ class CrawlConfig:
     include_pdfs: bool = True
     include_docx: bool = True
     include_xlsx: bool = True
-    max_content_chars: int = 500_000
-    max_pdf_bytes: int = 20_000_000
+    # Limits that leave something out apply only when they are set.
+    max_content_chars: int | None = None
+    max_pdf_bytes: int | None = None
     embedding_token_limit: int = 8191
     token_overlap: int = 300
-    retry_count: int = 3
+    retry_count: int | None = None
     user_agent: str = DEFAULT_USER_AGENT
 
     @property
@@ -65,7 +66,7 @@ class CrawlConfig:
     def from_env(cls, env: Mapping[str, str] | None = None) -> CrawlConfig:
         """Each field is read from the variable of the same name in upper case."""
         env = os.environ if env is None else env
-        parse = {"int": int, "bool": flag, "str": str}
+        parse = {"int": int, "int | None": int, "bool": flag, "str": str}
         return cls(
             **{
                 f.name: parse[f.type](env[f.name.upper()])

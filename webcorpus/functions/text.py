@@ -167,6 +167,7 @@ def header(headers: Column | str, name: str) -> Column:
 
 
 def last_modified(headers: Column | str, fetched_at: Column | str) -> Column:
-    """The Last-Modified header as it stands, else the time of the fetch."""
-    fallback = F.date_format(_col(fetched_at), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """The Last-Modified header as it stands, else the time of the fetch in UTC."""
+    utc = F.to_utc_timestamp(_col(fetched_at), F.current_timezone())
+    fallback = F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     return F.coalesce(header(headers, "Last-Modified"), fallback)

@@ -63,7 +63,8 @@ def codec_windows(
 ) -> DataFrame:
     """The same over the tokens of a codec, made once per Python worker task.
 
-    Token numbers never leave the worker: texts go in, windows come out.
+    Token numbers never leave the worker: texts go in, windows come out. A null
+    text has no window.
     """
     step = _step(size, overlap)
     schema = ddl(docs.select(*keep).schema.fields)
@@ -72,7 +73,7 @@ def codec_windows(
         codec = make_codec()
         for batch in batches:
             out = batch.drop(columns="text")
-            encoded = [codec.encode(text) for text in batch["text"]]
+            encoded = [codec.encode(text or "") for text in batch["text"]]
             out["windows"] = [
                 [codec.decode(tokens[at : at + size]) for at in range(0, len(tokens), step)]
                 for tokens in encoded

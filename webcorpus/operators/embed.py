@@ -14,9 +14,9 @@ from webcorpus.session import ddl
 Embedder = Callable[[Sequence[str]], Sequence[Sequence[float] | None]]
 
 
-def embed_guard(text: Column | str, limit: int) -> Column:
-    """Whether a text may be embedded: not blank and at most `limit` tokens."""
-    return non_blank(text) & (token_count(text) <= limit)
+def embed_guard(text: Column | str, limit: int | None) -> Column:
+    """Whether a text may be embedded: not blank and at most `limit` tokens, if set."""
+    return non_blank(text) if limit is None else non_blank(text) & (token_count(text) <= limit)
 
 
 def _vectors(embedder: Embedder, texts: list[str]) -> list:
@@ -32,7 +32,7 @@ def _vectors(embedder: Embedder, texts: list[str]) -> list:
 def embed(
     chunks: DataFrame,
     make_embedder: Callable[[], Embedder],
-    limit: int,
+    limit: int | None = None,
     batch_size: int = 64,
     text: str = "content",
 ) -> DataFrame:

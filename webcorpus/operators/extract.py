@@ -41,37 +41,50 @@ def parse_pages(
     """Replace `html` by `text`, `hrefs` and `panes` (id, text), tree route.
 
     `panes` has the elements that the page's own `#id` links point to, or all
-    elements with an id.
+    elements with an id. A page that the parser gives up on has an empty text,
+    no links and panes, and says why in `parse_error`, which is null elsewhere.
     """
     kept = [f for f in pages.schema.fields if f.name != "html"]
 
+    def parsed_page(html: str | None) -> tuple:
+        try:
+            return (*walk(html or "", article_first, all_panes), None)
+        except Exception as error:  # noqa: BLE001 - one bad page is one failure row
+            return "", [], [], f"{type(error).__name__}: {error}"
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            walked = [walk(html or "", article_first, all_panes) for html in batch["html"]]
+            walked = [parsed_page(html) for html in batch["html"]]
             out = batch.drop(columns="html")
-            out["text"] = [text for text, _, _ in walked]
-            out["hrefs"] = [hrefs for _, hrefs, _ in walked]
+            out["text"] = [page[0] for page in walked]
+            out["hrefs"] = [page[1] for page in walked]
             out["panes"] = [
-                [{"id": ident, "text": text} for ident, text in panes]
-                for _, _, panes in walked
+                [{"id": ident, "text": text} for ident, text in page[2]] for page in walked
             ]
+            out["parse_error"] = [page[3] for page in walked]
             yield out
 
-    parsed = pages.select(*[f.name for f in kept], "html").mapInPandas(
-        run,
-        f"{ddl(kept)}, text string, hrefs array<string>, panes array<struct<id:string,text:string>>",
+    made = (
+        "text string, hrefs array<string>, panes array<struct<id:string,text:string>>, "
+        "parse_error string"
     )
+    schema = f"{ddl(kept)}, {made}" if kept else made
+    parsed = pages.select(*[f.name for f in kept], "html").mapInPandas(run, schema)
     return parsed.withColumn("text", clean_lines("text"))
 
 
-def main_text(pages: DataFrame, route: str = "tree", max_chars: int = 500_000) -> DataFrame:
-    """Replace `html` by the main text, at most `max_chars` of it."""
+def main_text(
+    pages: DataFrame, route: str = "tree", max_chars: int | None = None
+) -> DataFrame:
+    """Replace `html` by the main text: the whole of it, or `max_chars` at most."""
     if route == "column":
         texts = pages.withColumn("text", main_text_column("html")).drop("html")
     elif route == "tree":
-        texts = parse_pages(pages).drop("hrefs", "panes")
+        texts = parse_pages(pages).drop("hrefs", "panes", "parse_error")
     else:
         raise ValueError(f"route must be tree or column, not {route}")
+    if max_chars is None:
+        return texts
     return texts.withColumn("text", truncate_text("text", max_chars))
 
 

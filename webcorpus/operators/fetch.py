@@ -20,14 +20,19 @@ def _usable() -> Column:
     )
 
 
-def first_usable(attempts: DataFrame, retry_count: int = 3) -> DataFrame:
+def _made(retry_count: int | None) -> Column:
+    """Attempts that count: all, or the first `retry_count`."""
+    return F.lit(True) if retry_count is None else F.col("attempt") <= retry_count
+
+
+def first_usable(attempts: DataFrame, retry_count: int | None = None) -> DataFrame:
     """One row per URL: its first usable attempt, nulls when it has none.
 
     Taken as an aggregate, so that each task hands on one row per URL however
     many attempts a URL has.
     """
     fields = [c for c in attempts.columns if c != "url"]
-    usable = _usable() & (F.col("attempt") <= retry_count)
+    usable = _usable() & _made(retry_count)
     best = F.min_by(F.when(usable, F.struct(*fields)), F.when(usable, F.col("attempt")))
     return (
         attempts.groupBy("url")
@@ -36,7 +41,7 @@ def first_usable(attempts: DataFrame, retry_count: int = 3) -> DataFrame:
     )
 
 
-def classify(attempts: DataFrame, retry_count: int = 3) -> DataFrame:
+def classify(attempts: DataFrame, retry_count: int | None = None) -> DataFrame:
     """First usable attempt per URL with `outcome` (ok, not_found, failure) and `reason`."""
     status = F.col("status")
     outcome = (
@@ -81,23 +86,23 @@ def pdf_ok() -> Column:
     )
 
 
-def pdf_successes(attempts: DataFrame, retry_count: int = 3) -> DataFrame:
+def pdf_successes(attempts: DataFrame, retry_count: int | None = None) -> DataFrame:
     """(url, attempt) of the first PDF answer of each URL."""
     return (
-        attempts.filter(pdf_ok() & (F.col("attempt") <= retry_count))
+        attempts.filter(pdf_ok() & _made(retry_count))
         .groupBy("url")
         .agg(F.min("attempt").alias("attempt"))
     )
 
 
-def pdf_failures(attempts: DataFrame, retry_count: int = 3) -> DataFrame:
+def pdf_failures(attempts: DataFrame, retry_count: int | None = None) -> DataFrame:
     """(url, attempt, reason) of every attempt that gave no PDF."""
     reason = F.when(
         F.col("error").isNotNull(), F.concat(F.lit("PDF GET error: "), "error")
     ).otherwise(
         F.concat(F.lit("PDF HTTP "), F.col("status").cast("string"), F.lit(f" {GET_MARK}"))
     )
-    return attempts.filter(~pdf_ok() & (F.col("attempt") <= retry_count)).select(
+    return attempts.filter(~pdf_ok() & _made(retry_count)).select(
         "url", "attempt", reason.alias("reason")
     )
 

@@ -7,15 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webcorpus.functions.markup import hrefs
 from webcorpus.functions.urls import directory_base, normalize_url, real_links, url_part
+from webcorpus.operators.extract import parse_pages
 from webcorpus.operators.policy import allow_domain_semi, apply_skip
 from webcorpus.operators.rows import exploded
 
 
 def extract_links(pages: DataFrame, *keep: str) -> DataFrame:
     """(url, *keep, href): the distinct hrefs of each page's anchors."""
-    return exploded(pages, ["url", *keep], hrefs(F.col("html")), "href")
+    return exploded(page_hrefs(pages, *keep), ["url", *keep], F.col("hrefs"), "href")
 
 
 def union_links(*raw: DataFrame) -> DataFrame:
@@ -28,7 +28,10 @@ def union_links(*raw: DataFrame) -> DataFrame:
 
 def page_hrefs(pages: DataFrame, *keep: str) -> DataFrame:
     """(url, *keep, hrefs): the same with the hrefs of a page in one array."""
-    return pages.select("url", *keep, hrefs(F.col("html")).alias("hrefs"))
+    named = F.filter("hrefs", lambda h: h != "")
+    return parse_pages(pages.select("url", *keep, "html")).select(
+        "url", *keep, F.array_distinct(named).alias("hrefs")
+    )
 
 
 def resolve_links(linked: DataFrame, *keep: str) -> DataFrame:

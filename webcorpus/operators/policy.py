@@ -163,10 +163,14 @@ def robots_policies(
     binding = groups.groupBy("base").agg(
         F.min_by("rules", F.struct("_rank", "group_no")).alias("rules")
     )
+    # Same choice as of the rules: one file per base, so that a URL stays one row.
+    from webcorpus.sources.robots import latest_robots
+
     status = F.col("status")
     denied = status.isin(*DENYING_STATUSES) | (status >= 500)
     return (
-        robots.filter("status is not null")
+        latest_robots(robots)
+        .filter("status is not null")
         .select("base", F.coalesce(denied, F.lit(False)).alias("deny_all"))
         .join(binding, "base", "left")
     )

@@ -85,13 +85,8 @@ def read_store(
 
 def write_batch(rows: DataFrame, path: str, batch: int) -> None:
     """Add the changed rows of a run. Running a batch again replaces it."""
-    (
-        rows.withColumn("batch", F.lit(batch).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch")
-        .parquet(path)
-    )
+    # The batch's own folder is replaced, so a repeat without rows leaves none.
+    rows.drop("batch").write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
 def compact(spark: SparkSession, path: str, into: str, schema: str) -> None:

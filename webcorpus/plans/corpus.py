@@ -172,9 +172,11 @@ def html_documents(
         domains,
         config.skip_patterns,
     ).withColumnRenamed("dst_url", "url")
+    limit = config.max_content_chars
+    whole = F.col("text") if limit is None else truncate_text("text", limit)
     return chosen.select(
         F.col("norm_url").alias("url"),
-        truncate_text("text", config.max_content_chars).alias("text"),
+        whole.alias("text"),
         "last_modified",
     ).unionByName(panes.select("url", "text", "last_modified"))
 
@@ -218,9 +220,18 @@ def pdf_documents(
 ) -> tuple[DataFrame, DataFrame]:
     """Documents and failures of the walked PDFs, from page texts."""
     walked = processed.filter("kind = 'pdf'").select("norm_url")
-    attempts = size_cut(inputs.pdf_fetches, config.max_pdf_bytes).withColumn(
-        "norm_url", normalize_url("url")
-    ).join(walked, "norm_url", "left_semi")
+    wanted = inputs.pdf_fetches.withColumn("norm_url", normalize_url("url")).join(
+        walked, "norm_url", "left_semi"
+    )
+    attempts, left_out = wanted, []
+    if config.max_pdf_bytes is not None:
+        attempts = size_cut(wanted, config.max_pdf_bytes)
+        size = F.col("length").cast("string")
+        left_out = [
+            wanted.filter(F.col("length") > config.max_pdf_bytes).select(
+                "url", F.concat(F.lit("PDF too large: "), size, F.lit(" bytes")).alias("reason")
+            )
+        ]
     successes = fetch.pdf_successes(attempts, config.retry_count)
     stamped = attempts.select(
         "url",
@@ -229,12 +240,16 @@ def pdf_documents(
         last_modified("headers", "fetched_at").alias("last_modified"),
     )
     good = stamped.join(successes, ["url", "attempt"], "left_semi")
+    # Only the pages of documents that count are joined to texts.
+    walked_pages = inputs.pdf_pages.join(good.select("url").distinct(), "url", "left_semi")
     documents = (
-        join_pages(inputs.pdf_pages)
+        join_pages(walked_pages)
         .join(good, "url")
         .select(F.col("norm_url").alias("url"), "text", "last_modified")
     )
     failed = fetch.reconcile(fetch.pdf_failures(attempts, config.retry_count), successes)
+    for more in left_out:
+        failed = failed.unionByName(more)
     return documents, failed
 
 
@@ -276,7 +291,10 @@ def run_crawl(
     failed = [
         fetch.failures(outcomes.withColumn("norm_url", normalize_url("url")).join(
             processed.select("norm_url"), "norm_url", "left_semi"
-        ))
+        )),
+        pages.filter("parse_error is not null")
+        .join(processed.select("norm_url"), "norm_url", "left_semi")
+        .select("url", F.concat(F.lit("HTML error: "), "parse_error").alias("reason")),
     ]
     if inputs.files is not None:
         more, broken = file_documents(inputs.files, processed, config)

@@ -207,9 +207,7 @@ def truncated(text: str, limit: int) -> str:
     )
 
 
-_MAIN_CUT = (
-    f"WITH {_MAIN} SELECT page_id, {truncated('text', TEXT_LIMIT * 4)} AS text FROM cleaned"
-)
+_MAIN_WHOLE = f"WITH {_MAIN} SELECT page_id, text FROM cleaned"
 
 _ATTEMPTS = """attempts AS (
   SELECT 'https://fetch.example/' || event_type || '/' || (event_id // 3) AS url,
@@ -246,7 +244,7 @@ edges AS (
   UNION SELECT src_norm, dst_url FROM links),
 roots AS (
   SELECT {norm("seed")} AS norm_url FROM (
-    SELECT min(url) AS seed FROM pages GROUP BY {host("url")}) WHERE seed LIKE 'http://%'),
+    SELECT min(url) AS seed FROM pages GROUP BY {host("url")})),
 walk AS (
   SELECT norm_url, 0 AS depth FROM roots
   UNION
@@ -395,8 +393,8 @@ ORACLES: dict[str, str] = {
     "bfs_pending": f"""
         WITH RECURSIVE {_GRAPH} SELECT norm_url, depth FROM frontier
         WHERE norm_url NOT IN (SELECT norm_url FROM named)""",
-    "main_text_column": _MAIN_CUT,
-    "main_text_dom": _MAIN_CUT,
+    "main_text_column": _MAIN_WHOLE,
+    "main_text_dom": _MAIN_WHOLE,
     "lang_block_filter": f"""
         WITH d AS (SELECT doc_id AS key, text FROM documents), {line_filter('d', 'key')}
         SELECT key, filtered AS text FROM kept""",
@@ -444,7 +442,7 @@ ORACLES: dict[str, str] = {
         FROM documents""",
     "embed_chunks": f"""
         {_CHUNKS}, g AS (
-          SELECT url, chunk_index, CASE WHEN len(regexp_extract_all(content, '{_TOKEN}')) < {SIZE} THEN content END AS c
+          SELECT url, chunk_index, CASE WHEN len(regexp_extract_all(content, '{_TOKEN}')) <= {SIZE} THEN content END AS c
           FROM chunks)
         SELECT url, chunk_index, (length(c) - length(replace(c, 'a', '')))::DOUBLE AS e0,
                (length(c) - length(replace(c, 'e', '')))::DOUBLE AS e1,

@@ -284,11 +284,7 @@ def _frontier(spark: SparkSession, sf: str) -> DataFrame:
     pages = _pages(spark, sf)
     own = links.resolve_links(links.page_hrefs(pages))
     graph = I.page_edges(pages).unionByName(own.select("src_norm", "dst_url", "dst_norm"))
-    seeds = (
-        I.host_seeds(pages)
-        .filter(F.col("seed").startswith("http://"))
-        .select(F.col("seed").alias("url"))
-    )
+    seeds = I.host_seeds(pages).select(F.col("seed").alias("url"))
     return frontier.crawl_frontier(seeds, graph, DEPTH, SKIP)
 
 
@@ -316,16 +312,12 @@ def bfs_pending(spark, sf):
 
 @query
 def main_text_column(spark, sf):
-    return extract.main_text(
-        _pages(spark, sf).select("page_id", "html"), "column", TEXT_LIMIT * 4
-    )
+    return extract.main_text(_pages(spark, sf).select("page_id", "html"), "column")
 
 
 @query
 def main_text_dom(spark, sf):
-    return extract.main_text(
-        _pages(spark, sf).select("page_id", "html"), "tree", TEXT_LIMIT * 4
-    )
+    return extract.main_text(_pages(spark, sf).select("page_id", "html"))
 
 
 @query
@@ -464,7 +456,7 @@ def chunk_ids(spark, sf):
 @query
 def page_chunk_records(spark, sf):
     """Flagship: pages to chunk records in one pass, without a shuffle."""
-    texts = extract.main_text(_pages(spark, sf).select("url", "html"), "column")
+    texts = extract.main_text(_pages(spark, sf).select("url", "html"))
     docs = texts.select(
         U.normalize_url("url").alias("url"), "text", F.lit("v1").alias("last_modified")
     )
@@ -501,7 +493,7 @@ def letter_counts() -> Callable[[Sequence[str]], list[list[float]]]:
 
 @query
 def embed_chunks(spark, sf):
-    vectors = embed(_chunks(spark, sf), letter_counts, SIZE - 1)
+    vectors = embed(_chunks(spark, sf), letter_counts, SIZE)
     parts = [F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(3)]
     return vectors.select("url", "chunk_index", *parts)
 
@@ -761,7 +753,7 @@ def stream_dedup(spark, sf):
 @query
 def stream_upsert(spark, sf):
     path = new_folder(spark, "stream-store")
-    texts = extract.main_text(_page_stream(spark, sf), "column").select(
+    texts = extract.main_text(_page_stream(spark, sf)).select(
         U.normalize_url("url").alias("url"), "text", F.lit("v1").alias("last_modified")
     )
     chunks = C.emit_chunks(texts, SIZE, OVERLAP)

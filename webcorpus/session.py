@@ -59,7 +59,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = sc.getCheckpointDir()
     if folder:
         return folder
-    if not sc.master.startswith("local"):
+    # local-cluster has executors of its own; only local and local[...] have not.
+    if sc.master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="webcorpus-"))
     return sc.getCheckpointDir()

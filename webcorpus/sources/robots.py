@@ -14,10 +14,27 @@ from webcorpus.operators.rows import exploded
 RULE_FIELDS = ("allow", "disallow", "crawl-delay", "request-rate")
 
 
+def latest_robots(robots: DataFrame) -> DataFrame:
+    """One file per base: the newest by `fetched_at` where there is such a column.
+
+    Of equally new files an answered one counts before one never received, then
+    the greater status and text, so that the choice does not depend on order.
+    """
+    newest = [F.col("fetched_at")] if "fetched_at" in robots.columns else []
+    order = F.struct(*newest, F.col("status"), F.coalesce("body", F.lit("")))
+    fields = [c for c in robots.columns if c != "base"]
+    return (
+        robots.groupBy("base")
+        .agg(F.max_by(F.struct(*fields), order).alias("_file"))
+        .select("base", *[F.col(f"_file.{c}").alias(c) for c in fields])
+    )
+
+
 def robots_lines(robots: DataFrame) -> DataFrame:
     """(base, line_no, kind, field, value) of every line of the files received."""
     lines = F.split(F.coalesce("body", F.lit("")), LINE_BREAK)
-    raw = exploded(robots.filter("status = 200"), ["base"], lines, "line", "line_no")
+    received = latest_robots(robots).filter("status = 200")
+    raw = exploded(received, ["base"], lines, "line", "line_no")
     bare = strip(F.regexp_replace("line", "#.*$", ""))
     field = F.when(
         bare.contains(":"), F.lower(strip(F.regexp_extract(bare, "^([^:]*):", 1)))
