@@ -160,11 +160,6 @@ def sitemap_children(reached: DataFrame, index: DataFrame) -> DataFrame:
     )
 
 
-def union_locs(*parts: DataFrame) -> DataFrame:
-    """All rows of several location tables, duplicates kept."""
-    return _union(parts)
-
-
 def expand_sitemaps(
     locs: DataFrame, roots: DataFrame, skip_patterns: Sequence[str] = ()
 ) -> DataFrame:

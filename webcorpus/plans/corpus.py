@@ -88,7 +88,8 @@ def start_urls(
         seeds.select(sitemap_of("seed").alias("root")),
         config.skip_patterns,
     )
-    return sitemap_or_seed(seeds, leaves).select("url")
+    # An index that several seeds name would give its leaves once for each.
+    return sitemap_or_seed(seeds, leaves).select("url").distinct()
 
 
 Domains = DataFrame | list[str]

@@ -449,6 +449,8 @@ ORACLES: dict[str, str] = {
                (length(c) - length(replace(c, 'n', '')))::DOUBLE AS e2 FROM g""",
     "seen_anti": f"""
         {_CHUNKS} SELECT url, chunk_index, content FROM chunks WHERE chunk_index % 3 <> 1""",
+    "seen_files": f"""
+        {_CHUNKS} SELECT url, chunk_index, content FROM chunks WHERE chunk_index % 3 <> 1""",
     "upsert_actions": f"{_CHUNKS}, {_STORE} SELECT blob_name, last_modified, action FROM actions",
     "upsert_merged": _MERGED,
     "upsert_stored": _MERGED,

@@ -13,15 +13,17 @@ from webcorpus.functions import urls as U
 from webcorpus.operators import chunks as C
 from webcorpus.operators import extract, fetch, frontier, links, ordered, policy, report, store
 from webcorpus.operators.embed import embed, embed_guard
+from webcorpus.operators.rows import exploded
 from webcorpus.plans import fixtures as I
 from webcorpus.plans.corpus import CrawlInputs, run_crawl
 from webcorpus.session import ddl, materialize, new_folder
+from webcorpus.sinks.files import write_chunks
 from webcorpus.sources import office
 from webcorpus.sources.pages import read_pages, size_cut
 from webcorpus.sources.robots import robots_rules
 from webcorpus.sources.seeds import allow_domains, seeds_from
 from webcorpus.sources.sitemaps import sitemap_locs
-from webcorpus.sources.state import seen_keys
+from webcorpus.sources.state import read_seen, seen_keys
 from webcorpus.streaming import ingest as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,9 +164,11 @@ def links_filtered(spark, sf):
 
 @query
 def links_per_page(spark, sf):
-    pages = _pages(spark, sf)
-    raw = links.extract_links(pages).withColumnRenamed("url", "src_url")
-    return links.link_counts(raw, links.page_links(pages, DOMAINS, LINK_SKIP))
+    # Pages are parsed once; both counts come from the narrow table of their hrefs.
+    found = materialize(links.page_hrefs(_pages(spark, sf)), "hrefs")
+    raw = exploded(found, [F.col("url").alias("src_url")], F.col("hrefs"), "href")
+    kept = links.filter_links(links.resolve_links(found), DOMAINS, LINK_SKIP)
+    return links.link_counts(raw, kept)
 
 
 @query
@@ -302,9 +306,8 @@ def bfs_visited_count(spark, sf):
 
 @query
 def bfs_pending(spark, sf):
-    return frontier.pending(_frontier(spark, sf), _pages(spark, sf)).select(
-        "norm_url", "depth"
-    )
+    left = frontier.pending(_frontier(spark, sf), _pages(spark, sf))
+    return frontier.ordered(left).select("norm_url", "depth")
 
 
 # --- text -----------------------------------------------------------------------
@@ -530,6 +533,15 @@ def seen_anti(spark, sf):
     return C.drop_seen(chunks, seen).select("url", "chunk_index", "content")
 
 
+@query
+def seen_files(spark, sf):
+    """Records written by one run and read by the next as what it need not emit."""
+    chunks = _stored_chunks(spark, sf)
+    folder = new_folder(spark, "records")
+    write_chunks(chunks.filter(F.col("chunk_index") % 3 == 1), folder, "json")
+    return C.drop_seen(chunks, read_seen(spark, folder)).select("url", "chunk_index", "content")
+
+
 @query
 def upsert_actions(spark, sf):
     chunks = _stored_chunks(spark, sf)
