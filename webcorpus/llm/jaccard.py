@@ -269,7 +269,10 @@ def _candidates(leaves: DataFrame, classes: DataFrame) -> DataFrame:
                 [pa.array(cid[away]), pa.array(cid[label[away]])], names=["a", "b"]
             )
 
-    return together(dealt, "key", "i", "j").mapInArrow(run, "a long, b long").distinct()
+    # In order of cid, a part's smallest row is its smallest cid, so the buckets of
+    # one large group give mostly the same links.
+    dealt = together(dealt, "key", "i", "j", order=("cid",))
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def _overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
