@@ -306,7 +306,8 @@ def _exact(members: DataFrame, docs: DataFrame) -> DataFrame:
     `links` counts the documents, `text_links` the classes that a class is
     linked to in one pair of blocks; `other` connects it to one of them.
     """
-    texts = docs.select("doc_id", "text").join(
+    # The members grow with the texts, so they are never broadcast, also when small.
+    texts = docs.select("doc_id", "text").hint("merge").join(
         members.filter(F.col("rep_id").isNotNull()), F.col("doc_id") == F.col("rep_id")
     )
 
