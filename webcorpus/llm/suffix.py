@@ -358,6 +358,24 @@ def _bytes_before(stretches, owner, offset) -> np.ndarray:
     return np.where(offset > 0, before, -1 - owner)
 
 
+def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Intervals without overlap; touching ones become one."""
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(stops[order])
+    new = np.append(True, starts[1:] > reach[:-1])
+    return starts[new], reach[np.append(np.flatnonzero(new)[1:], len(starts)) - 1]
+
+
+def merged_by_doc(doc, starts, stops) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`merged` for each document; repeats inside repeats leave one interval."""
+    ids, number = np.unique(doc, return_inverse=True)
+    # Documents side by side on one line, with a gap between them.
+    step = int(stops.max()) + 2
+    starts, stops = merged(starts + number * step, stops + number * step)
+    number = starts // step
+    return ids[number], starts - number * step, stops - number * step
+
+
 def _repeat_spans(found: DataFrame) -> DataFrame:
     """(doc_id, start, stop): occurrences of maximal repeats other than the first."""
 
@@ -376,7 +394,7 @@ def _repeat_spans(found: DataFrame) -> DataFrame:
                 spans.append((docs[order], at[order], at[order] + length))
             if spans:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in zip(*spans)],
+                    [pa.array(x) for x in merged_by_doc(*map(np.concatenate, zip(*spans)))],
                     names=["doc_id", "start", "stop"],
                 )
 
@@ -398,14 +416,6 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     )
 
 
-def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Intervals without overlap; touching ones become one."""
-    order = np.argsort(starts, kind="stable")
-    starts, reach = starts[order], np.maximum.accumulate(stops[order])
-    new = np.append(True, starts[1:] > reach[:-1])
-    return starts[new], reach[np.append(np.flatnonzero(new)[1:], len(starts)) - 1]
-
-
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), a row per row of `docs`.
 
