@@ -76,11 +76,23 @@ def pack_items(ids: list, texts: list[str]) -> Items:
     return Items(ids, bounds, words, seed[order], item[order], at[order], need)
 
 
-def _hits(grams: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sieve_of(seeds: np.ndarray) -> np.ndarray:
+    """Which values the low bits of the seeds have; most n-grams have none of them."""
+    size = 1 << min(26, max(16, int(len(seeds) * 16).bit_length()))
+    sieve = np.zeros(size, bool)
+    sieve[seeds & np.uint64(size - 1)] = True
+    return sieve
+
+
+def _hits(
+    grams: np.ndarray, seeds: np.ndarray, sieve: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     """(place, row) for every place whose n-gram is among the sorted seeds."""
-    left = np.searchsorted(seeds, grams, "left")
-    found = np.flatnonzero((left < len(seeds)) & (seeds[np.minimum(left, len(seeds) - 1)] == grams))
-    left = left[found]
+    some = np.flatnonzero(sieve[grams & np.uint64(len(sieve) - 1)])
+    left = np.searchsorted(seeds, grams[some], "left")
+    inside = np.flatnonzero(left < len(seeds))
+    inside = inside[seeds[left[inside]] == grams[some[inside]]]
+    found, left = some[inside], left[inside]
     many = np.searchsorted(seeds, grams[found], "right") - left
     place = np.repeat(found, many)
     row = np.repeat(left - (np.cumsum(many) - many), many) + np.arange(many.sum())
@@ -93,11 +105,12 @@ def seed_counts(docs: DataFrame, seeds: np.ndarray) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, wanted = WordHashes(8), shared.value
+        sieve = sieve_of(wanted)
         counts = np.zeros(len(wanted), np.int64)
         for _, texts in chunks(batches):
             flat, bounds = flat_words(texts)
             grams = _mixed(table.array(flat), SEED_WORDS)
-            place, row = _hits(grams, wanted)
+            place, row = _hits(grams, wanted, sieve)
             owner = np.searchsorted(bounds, place, "right") - 1
             inside = place + SEED_WORDS <= bounds[owner + 1]
             pairs = np.unique(owner[inside] * len(wanted) + row[inside])
@@ -155,10 +168,12 @@ def smith_waterman(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return best, end
 
 
-def _passages(items: Items, words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def _passages(
+    items: Items, words: np.ndarray, bounds: np.ndarray, sieve: np.ndarray
+) -> np.ndarray:
     """(text, item, from, to) of the places where an item's seeds gather."""
     grams = _mixed(words, SEED_WORDS)
-    place, row = _hits(grams, items.seed)
+    place, row = _hits(grams, items.seed, sieve)
     owner = np.searchsorted(bounds, place, "right") - 1
     inside = place + SEED_WORDS <= bounds[owner + 1]
     place, row, owner = place[inside], row[inside], owner[inside]
@@ -215,12 +230,12 @@ def align(items: Items, words: np.ndarray, passages: np.ndarray) -> tuple[np.nda
 
 
 def _leaks(
-    texts: list[str], table: WordHashes, items: Items
+    texts: list[str], table: WordHashes, items: Items, sieve: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, item, from, to) of the copies in some texts, their scores, ends, and bounds."""
     flat, bounds = flat_words(texts)
     words = table.array(flat)
-    found = _passages(items, words, bounds)
+    found = _passages(items, words, bounds, sieve)
     score, end = align(items, words, found)
     good = score >= MIN_SCORE
     return found[good], score[good], end[good], bounds
@@ -232,8 +247,9 @@ def _scan(docs: DataFrame, items: Items, item_type: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, wanted = WordHashes(8), shared.value
+        sieve = sieve_of(wanted.seed)
         for rows, texts in chunks(batches):
-            found, score, end, bounds = _leaks(texts, table, wanted)
+            found, score, end, bounds = _leaks(texts, table, wanted, sieve)
             base = bounds[found[:, 0]]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -287,10 +303,11 @@ def select_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            table = WordHashes(8)
+            table, wanted = WordHashes(8), shared.value
+            sieve = sieve_of(wanted.seed)
             for rows, texts in chunks(batches):
                 clean = np.ones(len(texts), bool)
-                clean[_leaks(texts, table, shared.value)[0][:, 0]] = False
+                clean[_leaks(texts, table, wanted, sieve)[0][:, 0]] = False
                 yield rows.filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, docs.schema)
