@@ -135,6 +135,44 @@ def test_toxicity_finds_words_and_spellings():
     assert ((scores >= 0) & (scores <= 1)).all() and scores[100] < 0.5
 
 
+def test_toxicity_learns_from_whole_long_and_short_texts(make_docs, make_labels):
+    """One word in a long text makes it toxic; a short one is a window of its own."""
+    rng = np.random.default_rng(6)
+    common = [f"plain{k}" for k in range(60)]
+
+    def text(k):
+        out = [common[j] for j in rng.integers(0, 60, 1500 if k % 4 < 2 else 12)]
+        if k % 2:
+            out[len(out) * 3 // 7] = "grolkish"
+        return " ".join(out)
+
+    rows = [(k, text(k)) for k in range(160)]
+    labels = make_labels([(k, None, k % 2) for k in range(160)])
+    words, windows, toxic = toxicity.training_texts(make_docs(rows), labels, 5, 0)
+    place = np.flatnonzero(windows.ids == words.index("grolkish"))
+    assert len(place) == toxic.sum()
+    seen = [((windows.first <= at) & (at < windows.first + windows.size)).any() for at in place]
+    assert all(seen)
+    model = toxicity.learn(words, windows, toxic)
+    scores = toxicity.Scorer(model).scores([t for _, t in rows])
+    right = [(s >= 0.5) == k % 2 for k, s in enumerate(scores)]
+    assert np.mean(right) >= 0.95
+
+
+def test_padding_changes_no_window():
+    rng = np.random.default_rng(3)
+    p = toxicity.new_network(rng)
+    lexicon = toxicity.Lexicon().rows([f"w{k}" for k in range(6)])
+    gates = toxicity.inputs(p, *lexicon) @ p["W"] + p["b"]
+    shut = np.zeros((2, 1, 3 * toxicity.HIDDEN), np.float32)
+    shut[..., : toxicity.HIDDEN] = toxicity.SHUT
+    ids = rng.integers(0, 6, (4, 5))
+    longer = np.concatenate([ids, np.full((4, 27), 6)], axis=1)
+    alone = toxicity.run_windows(p, gates, ids)[0]
+    padded = toxicity.run_windows(p, np.concatenate([gates, shut], axis=1), longer, 6)[0]
+    assert padded == pytest.approx(alone, abs=1e-5)
+
+
 def test_toxicity_gradients():
     rng = np.random.default_rng(2)
     p = {n: v.astype(np.float64) for n, v in toxicity.new_network(rng).items()}

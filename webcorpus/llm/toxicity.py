@@ -9,8 +9,8 @@ fitted on the training documents.
 
 Only documents are labelled. So windows take their document's label at first;
 later, in toxic documents, those the network finds clean are relabelled, but for
-the worst one. The network is trained with numpy on a bounded sample and
-broadcast; scoring is one pass over all texts.
+the worst one. The network is trained with numpy on all windows of a sample that
+is bounded in documents, and broadcast; scoring is one pass over all texts.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,18 +28,23 @@ from webcorpus.llm.texts import WordHashes, chunks, words_of
 from webcorpus.session import ddl
 
 WINDOW, STRIDE = 32, 16
-#: Labelled documents of each class, and windows of each, that are learnt from at most.
-MAX_PER_CLASS, MAX_WINDOWS = 1_500, 48
+#: Labelled documents of each class that are learnt from at most, with all their windows.
+MAX_PER_CLASS = 1_500
 WORD_ROWS, CHAR_ROWS, WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8_192, 4_096, 6, 8, 8, 8
-#: Training: rounds over the windows at most and steps in all, rows of a step, rate.
-ROUNDS, STEPS, BATCH, RATE = 25, 300, 256, 0.015
+#: Training: rounds over the windows at most, steps in all unless LEAST_ROUNDS over
+#: all windows take more, rows of a step, rate.
+ROUNDS, LEAST_ROUNDS, STEPS, BATCH, RATE = 25, 2, 300, 256, 0.015
 #: Share of word embeddings left out in a step, so that spelling counts too; and
 #: the decay of both embeddings.
 DROPPED, DECAY = 0.5, 0.02
 #: Every so many training documents one is kept for the final curve.
 CURVE_EVERY = 4
 SCORE_BATCH = 1_024
+#: Input to the update gate that leaves the state as it is.
+SHUT = 1e4
 CUT = 0.5
+#: Parts that the sample's texts reach the driver in.
+PARTS = 8
 #: Words whose inputs a task remembers.
 REMEMBERED = 150_000
 #: Cut from both ends of a word, which is read in lower case.
@@ -58,6 +62,15 @@ class Model(NamedTuple):
     lowest: float
 
 
+class Windows(NamedTuple):
+    """Windows as runs of word numbers: where each starts in `ids`, its words, its text."""
+
+    ids: np.ndarray
+    first: np.ndarray
+    size: np.ndarray
+    owner: np.ndarray
+
+
 class Lexicon:
     """Rows of embedding tables that words take their inputs from."""
 
@@ -113,11 +126,14 @@ def new_network(rng: np.random.Generator) -> Parameters:
     }
 
 
-def run_windows(p: Parameters, gates: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, dict]:
+def run_windows(
+    p: Parameters, gates: np.ndarray, ids: np.ndarray, pad: int | None = None
+) -> tuple[np.ndarray, dict]:
     """Logits of windows `ids` (rows of word numbers), and what the gradient needs.
 
     `gates` (2, words, 3 * HIDDEN) are the words' inputs to the gates in both
-    directions. Direction 1 reads a window from its end.
+    directions. Direction 1 reads a window from its end. Short windows end with
+    the word `pad`, whose gates are `SHUT` and which gets no attention.
     """
     n, length = ids.shape
     h = HIDDEN
@@ -137,6 +153,8 @@ def run_windows(p: Parameters, gates: np.ndarray, ids: np.ndarray) -> tuple[np.n
         states[length - 1 - t, :, h:] = state[1]
     hidden = np.tanh(states @ p["A"])
     energy = hidden @ p["v"]
+    if pad is not None:
+        energy[across == pad] = -np.inf
     share = np.exp(energy - energy.max(0))
     share /= share.sum(0)
     pooled = (share[..., None] * states).sum(0)
@@ -178,9 +196,13 @@ def gradients(p: Parameters, k: dict, error: np.ndarray, n_words: int) -> tuple[
 
 
 def step(p: Parameters, lexicon: tuple, ids: np.ndarray, target, weight, rng) -> dict:
-    """Gradients of the mean weighted log loss of some windows."""
+    """Gradients of the mean weighted log loss of some windows.
+
+    The number after the last word fills up short windows.
+    """
     word, chars, bounds = lexicon
     used, own = np.unique(ids, return_inverse=True)
+    used = used[used < len(word)]
     sizes = np.diff(bounds)[used]
     own_bounds = np.zeros(len(used) + 1, np.int64)
     np.cumsum(sizes, out=own_bounds[1:])
@@ -188,9 +210,13 @@ def step(p: Parameters, lexicon: tuple, ids: np.ndarray, target, weight, rng) ->
     x = inputs(p, word[used], own_chars, own_bounds)
     there = (rng.random((len(used), 1)) >= DROPPED) / np.float32(1 - DROPPED)
     x[:, :WORD_DIM] *= there
-    logit, kept = run_windows(p, x @ p["W"] + p["b"], own.reshape(ids.shape))
+    shut = np.zeros((2, 1, 3 * HIDDEN), np.float32)
+    shut[..., :HIDDEN] = SHUT
+    gates = np.concatenate([x @ p["W"] + p["b"], shut], axis=1)
+    logit, kept = run_windows(p, gates, own.reshape(ids.shape), len(used))
     error = ((_sigmoid(logit) - target) * weight / len(ids)).astype(np.float32)
-    g, d_gates = gradients(p, kept, error, len(used))
+    g, d_gates = gradients(p, kept, error, len(used) + 1)
+    d_gates = d_gates[:, :-1]
     g["W"] = x.T @ d_gates
     g["b"] = d_gates.sum(1, keepdims=True)
     d_x = (d_gates @ p["W"].transpose(0, 2, 1)).sum(0)
@@ -202,15 +228,15 @@ def step(p: Parameters, lexicon: tuple, ids: np.ndarray, target, weight, rng) ->
     return g
 
 
-def logits(p: Parameters, gates: np.ndarray, windows: list[np.ndarray]) -> np.ndarray:
+def logits(p: Parameters, gates: np.ndarray, windows: Windows) -> np.ndarray:
     """Of windows of any length; those of one length run together."""
-    out = np.zeros(len(windows), np.float32)
-    sizes = np.fromiter(map(len, windows), np.int64, len(windows))
-    for size in np.unique(sizes):
-        rows = np.flatnonzero(sizes == size)
+    out = np.zeros(len(windows.first), np.float32)
+    for size in np.unique(windows.size):
+        rows = np.flatnonzero(windows.size == size)
         for k in range(0, len(rows), SCORE_BATCH):
             some = rows[k : k + SCORE_BATCH]
-            out[some] = run_windows(p, gates, np.stack([windows[i] for i in some]))[0]
+            ids = windows.ids[windows.first[some, None] + np.arange(size)]
+            out[some] = run_windows(p, gates, ids)[0]
     return out
 
 
@@ -221,8 +247,27 @@ def starts(n_words: int) -> np.ndarray:
     return np.append(np.arange(0, n_words - WINDOW, STRIDE), n_words - WINDOW)
 
 
+def windows_of(texts: list[np.ndarray]) -> Windows:
+    """All windows of some texts, which are word numbers."""
+    ids = np.concatenate([np.zeros(0, np.int32), *texts])
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    begins = [starts(n) for n in lengths]
+    owner = np.repeat(np.arange(len(texts)), np.fromiter(map(len, begins), np.int64, len(texts)))
+    first = np.concatenate([np.zeros(0, np.int64), *begins])
+    size = np.minimum(lengths[owner] - first, WINDOW)
+    return Windows(ids, first + (np.cumsum(lengths) - lengths)[owner], size, owner)
+
+
 def train(windows: list[list[str]], owner: np.ndarray, toxic: np.ndarray) -> Model:
-    """`owner` is each window's document, in order; `toxic` its documents' labels.
+    """`learn` from windows of words; `owner` is each window's document, in order."""
+    numbers: dict[str, int] = {}
+    ids = np.array([numbers.setdefault(w, len(numbers)) for x in windows for w in x], np.int32)
+    size = np.fromiter(map(len, windows), np.int64, len(windows))
+    return learn(list(numbers), Windows(ids, np.cumsum(size) - size, size, owner), toxic)
+
+
+def learn(words: list[str], windows: Windows, toxic: np.ndarray) -> Model:
+    """`words` are those that the windows have numbers of; `toxic` the documents' labels.
 
     Without both classes the score is the smoothed share of toxic documents.
     """
@@ -231,22 +276,26 @@ def train(windows: list[list[str]], owner: np.ndarray, toxic: np.ndarray) -> Mod
     if len(toxic) < 20 or toxic.min() == toxic.max():
         return Model(None, 0.0, prior, 0.0)
     rng = np.random.default_rng(7)
-    numbers: dict[str, int] = {}
-    ids = [np.array([numbers.setdefault(w, len(numbers)) for w in x]) for x in windows]
-    lexicon = Lexicon().rows(list(numbers))
+    owner = windows.owner
+    lexicon = Lexicon().rows(words)
     learnt = np.arange(len(toxic)) % CURVE_EVERY > 0
-    whole = np.fromiter(map(len, ids), np.int64, len(ids)) == WINDOW
-    full = np.flatnonzero(whole & learnt[owner])
-    table = np.stack([ids[i] for i in full]) if len(full) else np.zeros((0, WINDOW), np.int64)
-    target = toxic[owner[full]].astype(np.float32)
+    used = np.flatnonzero(learnt[owner])
+    target = toxic[owner[used]].astype(np.float32)
     p = new_network(rng)
     mean = {n: np.zeros_like(v) for n, v in p.items()}
     square = {n: np.zeros_like(v) for n, v in p.items()}
     done = 0
-    total = max(1, min(STEPS, ROUNDS * -(-len(table) // BATCH))) if len(table) else 0
+    batches = -(-len(used) // BATCH)
+    total = min(max(STEPS, LEAST_ROUNDS * batches), ROUNDS * batches)
 
     def all_logits() -> np.ndarray:
-        return logits(p, inputs(p, *lexicon) @ p["W"] + p["b"], ids)
+        return logits(p, inputs(p, *lexicon) @ p["W"] + p["b"], windows)
+
+    def padded(some: np.ndarray) -> np.ndarray:
+        place = np.arange(WINDOW)
+        inside = place < windows.size[some, None]
+        at = windows.first[some, None] + np.where(inside, place, 0)
+        return np.where(inside, windows.ids[at], len(words))
 
     while done < total:
         if done >= total // 3:  # relabel the clean windows of toxic documents
@@ -254,13 +303,13 @@ def train(windows: list[list[str]], owner: np.ndarray, toxic: np.ndarray) -> Mod
             worst = np.full(len(toxic), -np.inf)
             np.maximum.at(worst, owner, found)
             bad = (found > 0) | (found >= worst[owner])
-            target = (toxic[owner[full]] & bad[full]).astype(np.float32)
+            target = (toxic[owner[used]] & bad[used]).astype(np.float32)
         balance = np.where(target > 0, 0.5 / max(target.mean(), 1e-3), 0.5 / max(1 - target.mean(), 1e-3))
         weight = np.minimum(balance, 4.0).astype(np.float32)
-        order = rng.permutation(len(table))
+        order = rng.permutation(len(used))
         for k in range(0, len(order), BATCH):
             some = order[k : k + BATCH]
-            grads = step(p, lexicon, table[some], target[some], weight[some], rng)
+            grads = step(p, lexicon, padded(used[some]), target[some], weight[some], rng)
             done += 1
             rate = RATE * (1 - 0.8 * done / total) * np.sqrt(1 - 0.999**done) / (1 - 0.9**done)
             for n, g in grads.items():
@@ -288,14 +337,14 @@ def train(windows: list[list[str]], owner: np.ndarray, toxic: np.ndarray) -> Mod
     return Model(p, float(max(coef[0], 1e-3)), float(coef[1]), lowest)
 
 
-def training_windows(
+def training_texts(
     docs: DataFrame, labels: DataFrame, folds: int, fold: int
-) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
-    """Windows of the bounded sample, their documents' numbers, and the labels.
+) -> tuple[list[str], Windows, np.ndarray]:
+    """The words, all windows and the labels of the bounded sample.
 
     Of each class the MAX_PER_CLASS labelled documents with the smallest hashes
-    of doc_id are taken, held-out ones excepted. A long text gives MAX_WINDOWS
-    windows spread evenly over the whole of it.
+    of doc_id are taken, held-out ones excepted, with their whole texts. The
+    texts reach the driver a part at a time and become word numbers there.
     """
     known = (
         labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -309,32 +358,18 @@ def training_windows(
     ]
     sample = F.broadcast(parts[0].unionAll(parts[1]))
     chosen = docs.select("doc_id", "text").join(sample, "doc_id")
-    schema = f"{ddl([chosen.schema['doc_id']])}, toxic int, windows array<string>"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in chunks(batches):
-            out = []
-            for text in texts:
-                words = words_of(text)
-                first = starts(len(words))
-                if len(first) > MAX_WINDOWS:
-                    first = first[np.linspace(0, len(first) - 1, MAX_WINDOWS).astype(int)]
-                out.append([" ".join(words[k : k + WINDOW]) for k in first])
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), rows.column("_toxic"), pa.array(out, pa.list_(pa.string()))],
-                names=["doc_id", "toxic", "windows"],
-            )
-
-    rows: pd.DataFrame = (
-        chosen.mapInArrow(run, schema)
-        .groupBy("doc_id")
-        .agg(F.max("toxic").alias("toxic"), F.max("windows").alias("windows"))
-        .orderBy("doc_id")
-        .toPandas()
+    whole = chosen.groupBy("doc_id").agg(
+        F.max("_toxic").alias("toxic"), F.max("text").alias("text")
     )
-    windows = [words_of(w) for row in rows["windows"] for w in row]
-    owner = np.repeat(np.arange(len(rows)), [len(row) for row in rows["windows"]])
-    return windows, owner, rows["toxic"].to_numpy(np.int64)
+    rows = sorted(whole.coalesce(PARTS).toLocalIterator(), key=lambda row: row["doc_id"])
+    numbers: dict[str, int] = {}
+    texts = []
+    for row in rows:
+        words = words_of(row["text"] or "")
+        ids = (numbers.setdefault(w, len(numbers)) for w in words)
+        texts.append(np.fromiter(ids, np.int32, len(words)))
+    toxic = np.array([row["toxic"] for row in rows], np.int64)
+    return list(numbers), windows_of(texts), toxic
 
 
 class Scorer:
@@ -360,20 +395,18 @@ class Scorer:
         if model.network is not None:
             if len(self.numbers) > REMEMBERED:
                 self.numbers.clear()
-            windows, owner = [], []
-            for k, text in enumerate(texts):
+            numbered = []
+            for text in texts:
                 words = words_of(text)
                 if unseen := [w for w in dict.fromkeys(words) if w not in self.numbers]:
                     self._learn(unseen)
-                ids = np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words))
-                first = starts(len(words))
-                windows += [ids[a : a + WINDOW] for a in first]
-                owner += [k] * len(first)
-            if windows:
-                found = logits(model.network, self.gates, windows)
-                top = np.full(len(texts), -np.inf)
-                np.maximum.at(top, np.array(owner), found)
-                worst = np.where(np.isfinite(top), top, worst)
+                numbered.append(
+                    np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words))
+                )
+            windows = windows_of(numbered)
+            top = np.full(len(texts), -np.inf)
+            np.maximum.at(top, windows.owner, logits(model.network, self.gates, windows))
+            worst = np.where(np.isfinite(top), top, worst)
         return _sigmoid(model.slope * worst + model.bias)
 
 
@@ -400,7 +433,7 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0)
     training; repeated rows get the same score; other columns are not read.
     Without labels of both classes all scores are the share of toxic labels.
     """
-    model = train(*training_windows(docs, labels, folds, fold))
+    model = learn(*training_texts(docs, labels, folds, fold))
     return score_texts(docs, model).select(
         "doc_id",
         held_out(F.col("doc_id"), folds, fold).alias("held_out"),
