@@ -148,7 +148,7 @@ def test_toxicity_learns_from_whole_long_and_short_texts(make_docs, make_labels)
 
     rows = [(k, text(k)) for k in range(160)]
     labels = make_labels([(k, None, k % 2) for k in range(160)])
-    words, windows, toxic = toxicity.training_texts(make_docs(rows), labels, 5, 0)
+    words, windows, toxic, _ = toxicity.training_texts(make_docs(rows), labels, 5, 0)
     place = np.flatnonzero(windows.ids == words.index("grolkish"))
     assert len(place) == toxic.sum()
     seen = [((windows.first <= at) & (at < windows.first + windows.size)).any() for at in place]
@@ -159,6 +159,30 @@ def test_toxicity_learns_from_whole_long_and_short_texts(make_docs, make_labels)
     assert np.mean(right) >= 0.95
 
 
+def test_the_curve_keeps_the_share_of_toxic_documents(make_docs, make_labels, monkeypatch):
+    """A sample with as many documents of each class stands for all labelled ones."""
+    monkeypatch.setattr(toxicity, "MAX_PER_CLASS", 50)
+    rng = np.random.default_rng(4)
+    rows, label = [], []
+    for k in range(600):
+        label.append(int(k % 8 == 0))
+        out = [f"plain{j}" for j in rng.integers(0, 60, 32)]
+        if rng.random() < (0.8 if label[k] else 0.2):  # no word tells for certain
+            out[rng.integers(32)] = "grolkish"
+        rows.append((k, " ".join(out)))
+    labels = make_labels([(k, None, x) for k, x in enumerate(label)])
+    words, windows, toxic, stands = toxicity.training_texts(make_docs(rows), labels, 5, 0)
+    learnt = [x for k, x in enumerate(label) if zlib.crc32(str(k).encode()) % 5]
+    assert len(toxic) == 100 and stands.sum() == pytest.approx(len(learnt))
+    assert (stands * toxic).sum() == pytest.approx(sum(learnt))
+    model = toxicity.learn(words, windows, toxic, stands)
+    texts = [" ".join(words[j] for j in row) for row in windows.ids.reshape(100, 32)]
+    curve = np.arange(100) % toxicity.CURVE_EVERY == 0
+    score = toxicity.Scorer(model).scores(texts)[curve]
+    wanted = np.average(toxic[curve], weights=stands[curve])
+    assert np.average(score, weights=stands[curve]) == pytest.approx(wanted, abs=0.02)
+
+
 def test_padding_changes_no_window():
     rng = np.random.default_rng(3)
     p = toxicity.new_network(rng)

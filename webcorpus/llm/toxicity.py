@@ -266,12 +266,17 @@ def train(windows: list[list[str]], owner: np.ndarray, toxic: np.ndarray) -> Mod
     return learn(list(numbers), Windows(ids, np.cumsum(size) - size, size, owner), toxic)
 
 
-def learn(words: list[str], windows: Windows, toxic: np.ndarray) -> Model:
+def learn(
+    words: list[str], windows: Windows, toxic: np.ndarray, stands: np.ndarray | None = None
+) -> Model:
     """`words` are those that the windows have numbers of; `toxic` the documents' labels.
 
+    `stands` is how many labelled documents each one stands for, so that the curve
+    has the classes' true shares however large the sample; one each by default.
     Without both classes the score is the smoothed share of toxic documents.
     """
-    share = (toxic.sum() + 0.5) / (len(toxic) + 1.0)
+    stands = np.ones(len(toxic)) if stands is None else stands
+    share = ((stands * toxic).sum() + 0.5) / (stands.sum() + 1.0)
     prior = float(np.log(share / (1 - share)))
     if len(toxic) < 20 or toxic.min() == toxic.max():
         return Model(None, 0.0, prior, 0.0)
@@ -329,18 +334,20 @@ def learn(words: list[str], windows: Windows, toxic: np.ndarray) -> Model:
     # The curve over the worst window's logit, by Newton's method with a small ridge.
     coef = np.array([1.0, 0.0])
     x, y = np.stack([worst, np.ones_like(worst)], axis=1)[kept], toxic[kept]
+    each = stands[kept]
     for _ in range(30):
         q = _sigmoid(x @ coef)
-        slope = x.T @ (q - y) + 1e-2 * (coef - [1.0, 0.0])
-        curve = (x * (q * (1 - q))[:, None]).T @ x + 1e-2 * np.eye(2)
+        slope = x.T @ (each * (q - y)) + 1e-2 * (coef - [1.0, 0.0])
+        curve = (x * (each * q * (1 - q))[:, None]).T @ x + 1e-2 * np.eye(2)
         coef = coef - np.clip(np.linalg.solve(curve, slope), -1, 1)
     return Model(p, float(max(coef[0], 1e-3)), float(coef[1]), lowest)
 
 
 def training_texts(
     docs: DataFrame, labels: DataFrame, folds: int, fold: int
-) -> tuple[list[str], Windows, np.ndarray]:
-    """The words, all windows and the labels of the bounded sample.
+) -> tuple[list[str], Windows, np.ndarray, np.ndarray]:
+    """The words, all windows and the labels of the bounded sample, and how many
+    labelled documents each of its documents stands for.
 
     Of each class the MAX_PER_CLASS labelled documents with the smallest hashes
     of doc_id are taken, held-out ones excepted, with their whole texts. The
@@ -352,6 +359,9 @@ def training_texts(
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("_toxic"))
     )
+    many = np.zeros(2)
+    for row in known.groupBy("_toxic").count().collect():
+        many[row["_toxic"]] = row["count"]
     parts = [
         known.filter(F.col("_toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_PER_CLASS)
         for c in (0, 1)
@@ -369,7 +379,8 @@ def training_texts(
         ids = (numbers.setdefault(w, len(numbers)) for w in words)
         texts.append(np.fromiter(ids, np.int32, len(words)))
     toxic = np.array([row["toxic"] for row in rows], np.int64)
-    return list(numbers), windows_of(texts), toxic
+    stands = np.maximum(many / MAX_PER_CLASS, 1.0)[toxic]
+    return list(numbers), windows_of(texts), toxic, stands
 
 
 class Scorer:
