@@ -357,3 +357,18 @@ def test_an_item_in_every_text_is_found(spark, make_docs):
     docs = make_docs([(k, f"own{k} text {item} end{k}") for k in range(200)])
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     assert decontaminate.find_leaks(docs, bench).count() == 200
+
+
+@pytest.mark.parametrize("n_copies", [90, 130])
+def test_edited_copies_of_an_item_in_many_texts_are_found(spark, make_docs, n_copies):
+    item = [f"leak{k}" for k in range(40)]
+    gone = (2, 5, 8, 11, 14, 17, 20)
+    early = [f"new{k}" if k in gone else w for k, w in enumerate(item)]
+    late = [f"new{k}" if 39 - k in gone else w for k, w in enumerate(item)]
+    rows = [(k, f"own{k} text {' '.join(item)} end{k}") for k in range(n_copies)]
+    edited = [early, late, item[18:], item[:22]]
+    rows += [(1000 + k, f"a b {' '.join(part)} c d") for k, part in enumerate(edited)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = {r.doc_id: r.score for r in decontaminate.find_leaks(make_docs(rows), bench).collect()}
+    assert found == pytest.approx({d: brute_share(t, " ".join(item)) for d, t in rows})
+    assert decontaminate.select_clean(make_docs(rows), bench).count() == 0

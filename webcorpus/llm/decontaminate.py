@@ -1,12 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-The word 3-grams of the test items are looked up in every text. An item's seeds
-are the rarer half of its 3-grams by the number of texts that have them, and all
-others that are in few texts, so an item that has leaked into very many texts
-keeps its seeds. Hits are gathered by item and place; where the seeds of one
-place weigh enough, the words of the passage and of the item are aligned
-locally. The score is the alignment's share of the best possible one, so edits,
-insertions and lost words lower it smoothly.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+The word 3-grams of the test items, all of them, are looked up in every text. None
+is left out for being common, so an item is found alike however many texts it has
+leaked into. Hits are gathered by item and place; where a place has enough
+different seeds, the words of the passage and of the item are aligned locally. The
+score is the alignment's share of the best possible one, so edits, insertions and
+lost words lower it smoothly.
 """
 
 from __future__ import annotations
@@ -24,8 +23,6 @@ from webcorpus.session import ddl
 
 #: Words in a seed.
 SEED_WORDS = 3
-#: Seeds of at most so many texts, or this share of all, are rare whatever their rank.
-RARE_TEXTS, RARE_SHARE = 100, 1e-3
 #: Distinct seeds of an item that a passage must hold: one for each SEED_EVERY
 #: words of the item, one at least and MIN_SEEDS at most.
 MIN_SEEDS, SEED_EVERY = 2, 12
@@ -99,49 +96,6 @@ def _hits(
     return place, row
 
 
-def seed_counts(docs: DataFrame, seeds: np.ndarray) -> np.ndarray:
-    """Number of texts that have each of the distinct seeds, over all of `docs`."""
-    shared = docs.sparkSession.sparkContext.broadcast(seeds)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, wanted = WordHashes(8), shared.value
-        sieve = sieve_of(wanted)
-        counts = np.zeros(len(wanted), np.int64)
-        for _, texts in chunks(batches):
-            flat, bounds = flat_words(texts)
-            grams = _mixed(table.array(flat), SEED_WORDS)
-            place, row = _hits(grams, wanted, sieve)
-            owner = np.searchsorted(bounds, place, "right") - 1
-            inside = place + SEED_WORDS <= bounds[owner + 1]
-            pairs = np.unique(owner[inside] * len(wanted) + row[inside])
-            counts += np.bincount(pairs % len(wanted), minlength=len(wanted))
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used), pa.array(counts[used])], names=["seed", "n"]
-        )
-
-    parts = docs.select("text").mapInArrow(run, "seed long, n long")
-    rows = parts.groupBy("seed").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(len(seeds), np.int64)
-    out[rows.column("seed").to_numpy()] = rows.column("n").to_numpy()
-    return out
-
-
-def rare_seeds(items: Items, counts: np.ndarray, n_docs: int) -> Items:
-    """Keep of each item the rarer half of its seeds, and all that few texts have."""
-    if not len(items.seed):
-        return items
-    # `counts` is by distinct seed.
-    n = counts[np.unique(items.seed, return_inverse=True)[1]]
-    order = np.lexsort((items.at, n, items.item))
-    size = np.bincount(items.item, minlength=len(items.ids))
-    first = np.cumsum(size) - size
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order)) - first[items.item[order]]
-    keep = (2 * rank < size[items.item] + 1) | (n <= max(RARE_TEXTS, RARE_SHARE * n_docs))
-    return items._replace(seed=items.seed[keep], item=items.item[keep], at=items.at[keep])
-
-
 def smith_waterman(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Best local score of each row of `a` with that of `b`, and where it ends in `a`.
 
@@ -286,20 +240,12 @@ def _scans(benchmark: DataFrame) -> Iterator[Items]:
         yield pack_items(ids, texts)
 
 
-def _rare_scans(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
-    """The lots of items with their rare seeds only, counted over all of `docs`."""
-    n_docs = None
-    for items in _scans(benchmark):
-        n_docs = docs.count() if n_docs is None else n_docs
-        yield rare_seeds(items, seed_counts(docs, np.unique(items.seed)), n_docs)
-
-
 def select_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs` whose text holds no copy of an item, with all their columns.
 
     A text is judged where it is read, so no text moves between tasks.
     """
-    for items in _rare_scans(docs, benchmark):
+    for items in _scans(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -326,7 +272,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     item_type = benchmark.schema["item_id"].dataType.simpleString()
     out = None
-    for items in _rare_scans(docs, benchmark):
+    for items in _scans(benchmark):
         part = _scan(docs, items, item_type)
         out = part if out is None else out.unionAll(part)
     if out is None:
