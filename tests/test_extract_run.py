@@ -216,3 +216,13 @@ def test_stream_dedup_with_watermark(spark, tmp_path):
     rows = S.ingest(spark, str(tmp_path / "in"), "k long, ts timestamp")
     S.write_table(S.stream_dedup(rows, ["k"], "ts", "1 hour"), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+@pytest.mark.parametrize("route", ["tree", "column"])
+def test_whole_prose_stays_without_the_language_filter(spark, route):
+    prose = "Several ordinary sentences together contain considerably longer words"
+    body = f"<p>{'short text ' * 30}</p><p>{prose}</p><p>the end</p>"
+    pages = spark.createDataFrame([(f"<html><body>{body}</body></html>",)], "html string")
+    assert prose not in extract.main_text(pages, route).first().text
+    whole = extract.main_text(pages, route, drop_language_blocks=False).first().text
+    assert prose in whole and whole.endswith("the end")

@@ -32,6 +32,8 @@ class CrawlConfig:
     include_pdfs: bool = True
     include_docx: bool = True
     include_xlsx: bool = True
+    # Drops long wordy lines and what follows them, prose too; see `clean_lines`.
+    drop_language_blocks: bool = True
     # Limits that leave something out apply only when they are set.
     max_content_chars: int | None = None
     max_pdf_bytes: int | None = None

@@ -30,19 +30,24 @@ from webcorpus.operators.rows import exploded
 from webcorpus.session import ddl
 
 
-def main_text_column(html: Column | str) -> Column:
+def main_text_column(html: Column | str, drop_language_blocks: bool = True) -> Column:
     """Main text of a page by the column route."""
-    return clean_lines(visible_text(F.col(html) if isinstance(html, str) else html))
+    text = visible_text(F.col(html) if isinstance(html, str) else html)
+    return clean_lines(text) if drop_language_blocks else text
 
 
 def parse_pages(
-    pages: DataFrame, article_first: bool = True, all_panes: bool = False
+    pages: DataFrame,
+    article_first: bool = True,
+    all_panes: bool = False,
+    drop_language_blocks: bool = True,
 ) -> DataFrame:
     """Replace `html` by `text`, `hrefs` and `panes` (id, text), tree route.
 
     `panes` has the elements that the page's own `#id` links point to, or all
     elements with an id. A page that the parser gives up on has an empty text,
     no links and panes, and says why in `parse_error`, which is null elsewhere.
+    `drop_language_blocks` applies `clean_lines`, which can drop prose too.
     """
     kept = [f for f in pages.schema.fields if f.name != "html"]
 
@@ -70,17 +75,22 @@ def parse_pages(
     )
     schema = f"{ddl(kept)}, {made}" if kept else made
     parsed = pages.select(*[f.name for f in kept], "html").mapInPandas(run, schema)
-    return parsed.withColumn("text", clean_lines("text"))
+    return parsed.withColumn("text", clean_lines("text")) if drop_language_blocks else parsed
 
 
 def main_text(
-    pages: DataFrame, route: str = "tree", max_chars: int | None = None
+    pages: DataFrame,
+    route: str = "tree",
+    max_chars: int | None = None,
+    drop_language_blocks: bool = True,
 ) -> DataFrame:
     """Replace `html` by the main text: the whole of it, or `max_chars` at most."""
     if route == "column":
-        texts = pages.withColumn("text", main_text_column("html")).drop("html")
+        text = main_text_column("html", drop_language_blocks)
+        texts = pages.withColumn("text", text).drop("html")
     elif route == "tree":
-        texts = parse_pages(pages).drop("hrefs", "panes", "parse_error")
+        parsed = parse_pages(pages, drop_language_blocks=drop_language_blocks)
+        texts = parsed.drop("hrefs", "panes", "parse_error")
     else:
         raise ValueError(f"route must be tree or column, not {route}")
     if max_chars is None:

@@ -133,7 +133,8 @@ def parsed_fetches(fetches: DataFrame, retry_count: int) -> tuple[DataFrame, Dat
                 "attempt",
                 last_modified("headers", "fetched_at").alias("last_modified"),
                 "html",
-            )
+            ),
+            drop_language_blocks=config.drop_language_blocks,
         ),
         "parsed",
     )
