@@ -75,5 +75,21 @@ def test_odd_rows(make_docs, odd_rows):
     assert by_id[5].n_removed < by_id[5].n_bytes  # a repeated row is not the earlier one
 
 
+@pytest.mark.parametrize("hot", [suffix.HOT, 3])
+def test_different_texts_under_null_and_equal_ids(make_docs, monkeypatch, hot):
+    monkeypatch.setattr(suffix, "HOT", hot)
+    texts = [text for _, text in repetitive(5)]
+    rows = [(None if k % 3 == 0 else k % 5, text) for k, text in enumerate(texts)]
+    docs = make_docs(rows)
+    keys = {r.text: r.key for r in docs.selectExpr("text", "xxhash64(text) as key").collect()}
+    distinct = sorted({(-1 if d is None else d, keys[t], t) for d, t in rows})
+    wanted = brute([(k, t) for k, (_, _, t) in enumerate(distinct)])
+    by_row = {(d, t): w[1:] for (d, _, t), w in zip(distinct, wanted)}
+    found = [tuple(r) for r in suffix.remove_repeats(docs).collect()]
+    assert sorted((-1 if r[0] is None else r[0], *r[1:]) for r in found) == sorted(
+        (d, *by_row[d, t]) for d, t in ((-1 if d is None else d, t) for d, t in rows)
+    )
+
+
 def test_empty(make_docs):
     assert suffix.remove_repeats(make_docs([])).count() == 0

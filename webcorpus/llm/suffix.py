@@ -1,14 +1,15 @@
 """Exact substring de-duplication with the interval tree of a suffix array.
 
 Every byte that lies in a string of LENGTH bytes which also starts earlier (in a
-smaller doc_id, or further to the left in the same text) is removed.
+smaller doc_id, or further to the left in the same text) is removed. A text is
+told from others by doc_id and `key`, a hash of the text.
 
 A window of LENGTH bytes is owned by one anchor: its leftmost substring of
 ANCHOR bytes with the smallest hash. Equal windows have equal anchors at the
 same place, so repeats need only be searched among the occurrences of one
 anchor. An occurrence is the stretch of text that its windows cover.
 
-1. One pass writes (anchor hash, stretch hash, doc_id, place) of all occurrences;
+1. One pass writes (anchor hash, stretch hash, doc_id, key, place) of all occurrences;
    equal stretches of one task are reduced to the first before anything moves.
 2. Sorted by anchor and stretch: of equal stretches all but the first are
    removed; anchors with several different stretches go on.
@@ -120,7 +121,7 @@ def _text_bytes(text: str) -> np.ndarray:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(anchor, stretch, doc_id, first, windows, known): the anchors of all texts.
+    """(anchor, stretch, doc_id, key, first, windows, known): the anchors of all texts.
 
     `known` marks stretches whose equal came earlier in the same task: they are
     removed whatever comes from elsewhere, so they get random anchors and are
@@ -130,12 +131,13 @@ def occurrences(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for rows, texts in chunks(batches):
-            ids = rows.column("doc_id").to_numpy()
-            for doc_id, text in zip(ids, texts):
+            ids, keys = (rows.column(c).to_numpy() for c in ("doc_id", "key"))
+            for doc_id, key, text in zip(ids, keys, texts):
                 data = _text_bytes(text)
                 anchor, stretch, first, windows = owners(data)
                 if len(anchor):
-                    held.append((anchor, stretch, np.full(len(anchor), doc_id), first, windows))
+                    doc, own = (np.full(len(anchor), x) for x in (doc_id, key))
+                    held.append((anchor, stretch, doc, own, first, windows))
                     size += len(data)
             if size >= LOCAL_BYTES:
                 yield _reduced(held)
@@ -143,28 +145,31 @@ def occurrences(docs: DataFrame) -> DataFrame:
         if held:
             yield _reduced(held)
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "anchor long, stretch long, doc_id long, first long, windows long, known boolean"
+    return docs.select("doc_id", "key", "text").mapInArrow(
+        run,
+        "anchor long, stretch long, doc_id long, key long, first long, windows long, known boolean",
     )
 
 
 def _reduced(held: list[tuple]) -> pa.RecordBatch:
-    anchor, stretch, doc, first, windows = (np.concatenate(x) for x in zip(*held))
-    order = np.lexsort((first, doc, stretch, anchor))
-    anchor, stretch, doc, first, windows = (
-        x[order] for x in (anchor, stretch, doc, first, windows)
+    anchor, stretch, doc, key, first, windows = (np.concatenate(x) for x in zip(*held))
+    order = np.lexsort((first, key, doc, stretch, anchor))
+    anchor, stretch, doc, key, first, windows = (
+        x[order] for x in (anchor, stretch, doc, key, first, windows)
     )
-    later, again = _later(anchor, stretch, doc, first)
-    anchor = np.where(later, _mix(_mix(doc.view(np.uint64)) + first.view(np.uint64)), anchor)
-    anchor, stretch, doc, first, windows, known = (
-        x[~again] for x in (anchor, stretch, doc, first, windows, later)
+    later, again = _later(anchor, stretch, doc, key, first)
+    place = _mix(_mix(doc.view(np.uint64)) + key.view(np.uint64)) + first.view(np.uint64)
+    anchor = np.where(later, _mix(place), anchor)
+    anchor, stretch, doc, key, first, windows, known = (
+        x[~again] for x in (anchor, stretch, doc, key, first, windows, later)
     )
-    names = ["anchor", "stretch", "doc_id", "first", "windows", "known"]
+    names = ["anchor", "stretch", "doc_id", "key", "first", "windows", "known"]
     return pa.RecordBatch.from_arrays(
         [
             pa.array(anchor.view(np.int64)),
             pa.array(stretch.view(np.int64)),
             pa.array(doc),
+            pa.array(key),
             pa.array(first),
             pa.array(windows),
             pa.array(known),
@@ -173,18 +178,18 @@ def _reduced(held: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _later(anchor, stretch, doc, first) -> tuple[np.ndarray, np.ndarray]:
+def _later(anchor, stretch, doc, key, first) -> tuple[np.ndarray, np.ndarray]:
     """Of sorted occurrences: those after the first equal one, and repeated rows of it."""
     starts = bounds_of([anchor, stretch])[:-1]
     head = np.repeat(starts, np.diff(np.append(starts, len(anchor))))
-    same_place = (doc == doc[head]) & (first == first[head])
+    same_place = (doc == doc[head]) & (key == key[head]) & (first == first[head])
     at_head = np.zeros(len(anchor), bool)
     at_head[starts] = True
     return ~same_place, same_place & ~at_head
 
 
 def _sorted_out(found: DataFrame) -> DataFrame:
-    """(doc_id, first, windows, anchor, hot, removed), from the occurrences.
+    """(doc_id, key, first, windows, anchor, hot, removed), from the occurrences.
 
     Stretches that are not the first of their kind are `removed`; the others are
     given where their anchor has several stretches, and `hot` where very many.
@@ -194,14 +199,14 @@ def _sorted_out(found: DataFrame) -> DataFrame:
         for rows, _ in whole_groups(batches, ("anchor",)):
             column = {c: rows.column(c).to_numpy() for c in rows.column_names}
             known = column.pop("known")
-            names = ("doc_id", "first", "windows", "anchor")
+            names = ("doc_id", "key", "first", "windows", "anchor")
             spread = [column[c][known] for c in names]
             column = {c: v[~known] for c, v in column.items()}
-            key = [column[c] for c in ("anchor", "stretch", "doc_id", "first")]
-            later, again = _later(*key) if len(key[0]) else (np.zeros(0, bool),) * 2
+            sort = [column[c] for c in ("anchor", "stretch", "doc_id", "key", "first")]
+            later, again = _later(*sort) if len(sort[0]) else (np.zeros(0, bool),) * 2
             new = np.zeros(len(later), bool)
-            new[bounds_of(key[:2])[:-1]] = True
-            bounds = bounds_of(key[:1])
+            new[bounds_of(sort[:2])[:-1]] = True
+            bounds = bounds_of(sort[:1])
             kinds = np.add.reduceat(new, bounds[:-1]) if len(new) else np.zeros(0, np.int64)
             kinds = np.repeat(kinds, np.diff(bounds))
             give = np.flatnonzero((later | (kinds > 1)) & ~again)
@@ -213,45 +218,48 @@ def _sorted_out(found: DataFrame) -> DataFrame:
                 names=[*names, "hot", "removed"],
             )
 
-    sorted_ = together(found, "anchor", order=("stretch", "doc_id", "first"))
+    sorted_ = together(found, "anchor", order=("stretch", "doc_id", "key", "first"))
     return sorted_.mapInArrow(
-        run, "doc_id long, first long, windows long, anchor long, hot boolean, removed boolean"
+        run,
+        "doc_id long, key long, first long, windows long, anchor long, hot boolean, removed boolean",
     )
 
 
 def _stretches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(part, doc_id, first, windows, bytes) of the wanted stretches."""
-    lists = wanted.groupBy(F.col("doc_id").alias("_doc")).agg(
+    """(part, doc_id, key, first, windows, bytes) of the wanted stretches."""
+    lists = wanted.groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).agg(
         F.collect_list(F.struct("first", "windows", "anchor", "hot")).alias("wanted")
     )
-    joined = docs.select("doc_id", "text").join(lists, F.col("doc_id") == F.col("_doc"))
+    same = (F.col("doc_id") == F.col("_doc")) & (F.col("key") == F.col("_key"))
+    joined = docs.select("doc_id", "key", "text").join(lists, same)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in chunks(batches):
             out = []
-            ids = rows.column("doc_id").to_pylist()
-            for doc_id, text, places in zip(ids, texts, rows.column("wanted").to_pylist()):
+            ids, keys, wanted = (rows.column(c).to_pylist() for c in ("doc_id", "key", "wanted"))
+            for doc_id, key, text, places in zip(ids, keys, texts, wanted):
                 data = text.encode("utf-8", "surrogatepass")
                 for place in places:
                     first, windows, part = place["first"], place["windows"], place["anchor"]
                     if not place["hot"]:
                         cut = data[first : first + windows - 1 + LENGTH]
-                        out.append((part, doc_id, first, windows, cut))
+                        out.append((part, doc_id, key, first, windows, cut))
                         continue
                     for k in range(first, first + windows):
                         cut = data[k : k + LENGTH]
                         own = hashlib.blake2b(cut, digest_size=8).digest()
-                        out.append((int.from_bytes(own, "big", signed=True), doc_id, k, 1, cut))
+                        part = int.from_bytes(own, "big", signed=True)
+                        out.append((part, doc_id, key, k, 1, cut))
             if out:
-                part, doc, first, windows, cut = zip(*out)
+                part, doc, key, first, windows, cut = zip(*out)
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(x, pa.int64()) for x in (part, doc, first, windows)],
+                    [*[pa.array(x, pa.int64()) for x in (part, doc, key, first, windows)],
                      pa.array(cut, pa.binary())],
-                    names=["part", "doc_id", "first", "windows", "bytes"],
+                    names=["part", "doc_id", "key", "first", "windows", "bytes"],
                 )
 
     return joined.mapInArrow(
-        run, "part long, doc_id long, first long, windows long, bytes binary"
+        run, "part long, doc_id long, key long, first long, windows long, bytes binary"
     )
 
 
@@ -366,52 +374,61 @@ def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts[new], reach[np.append(np.flatnonzero(new)[1:], len(starts)) - 1]
 
 
-def merged_by_doc(doc, starts, stops) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def merged_by_doc(doc, key, starts, stops) -> tuple[np.ndarray, ...]:
     """`merged` for each document; repeats inside repeats leave one interval."""
-    ids, number = np.unique(doc, return_inverse=True)
+    order = np.lexsort((key, doc))
+    heads = bounds_of([doc[order], key[order]])
+    number = np.empty(len(order), np.int64)
+    number[order] = np.repeat(np.arange(len(heads) - 1), np.diff(heads))
+    heads = order[heads[:-1]]
     # Documents side by side on one line, with a gap between them.
     step = int(stops.max()) + 2
     starts, stops = merged(starts + number * step, stops + number * step)
     number = starts // step
-    return ids[number], starts - number * step, stops - number * step
+    text = heads[number]
+    return doc[text], key[text], starts - number * step, stops - number * step
 
 
 def _repeat_spans(found: DataFrame) -> DataFrame:
-    """(doc_id, start, stop): occurrences of maximal repeats other than the first."""
+    """(doc_id, key, start, stop): occurrences of maximal repeats other than the first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, bounds in whole_groups(batches, ("part",)):
             if len(bounds) < 2 or len(rows) < 2:
                 continue
             doc, first = rows.column("doc_id").to_numpy(), rows.column("first").to_numpy()
-            windows = rows.column("windows").to_numpy()
+            key, windows = rows.column("key").to_numpy(), rows.column("windows").to_numpy()
             spans = []
             # Equal windows are in one part, so the parts of a table are one array.
             for length, owner, offset in maximal_repeats(rows.column("bytes").to_pylist(), windows):
-                docs, at = doc[owner], first[owner] + offset
-                head = np.lexsort((at, docs))[0]
-                order = np.flatnonzero((docs != docs[head]) | (at != at[head]))
-                spans.append((docs[order], at[order], at[order] + length))
+                docs, keys, at = doc[owner], key[owner], first[owner] + offset
+                head = np.lexsort((at, keys, docs))[0]
+                other = (docs != docs[head]) | (keys != keys[head]) | (at != at[head])
+                order = np.flatnonzero(other)
+                spans.append((docs[order], keys[order], at[order], at[order] + length))
             if spans:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x) for x in merged_by_doc(*map(np.concatenate, zip(*spans)))],
-                    names=["doc_id", "start", "stop"],
+                    names=["doc_id", "key", "start", "stop"],
                 )
 
-    return together(found, "part").mapInArrow(run, "doc_id long, start long, stop long")
+    return together(found, "part").mapInArrow(
+        run, "doc_id long, key long, start long, stop long"
+    )
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans): arrays of (start, stop) in bytes that are to be removed."""
+    """(doc_id, key, spans): arrays of (start, stop) in bytes that are to be removed."""
     out = materialize(_sorted_out(occurrences(docs)), "anchors")
-    wanted = out.filter("not removed").select("doc_id", "first", "windows", "anchor", "hot")
+    wanted = out.filter("not removed").drop("removed")
     searched = _repeat_spans(_stretches(docs, wanted))
     equal = out.filter("removed").select(
         "doc_id",
+        "key",
         F.col("first").alias("start"),
         (F.col("first") + F.col("windows") - 1 + LENGTH).alias("stop"),
     )
-    return equal.unionAll(searched).groupBy("doc_id").agg(
+    return equal.unionAll(searched).groupBy("doc_id", "key").agg(
         F.collect_list(F.struct("start", "stop")).alias("spans")
     )
 
@@ -420,14 +437,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), a row per row of `docs`.
 
     A null text is an empty one. Texts shorter than LENGTH bytes keep all. The
-    order of texts is that of doc_id, an integer; a null doc_id comes first. Rows
-    with one doc_id are taken for copies of one text, of which none is the
-    earlier. Other columns are not read.
+    order of texts is that of doc_id, an integer; a null doc_id comes first, and
+    different texts of one doc_id, null too, are in order of a hash. Rows with one
+    doc_id and equal texts are one text, of which none is the earlier. Other
+    columns are not read.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    key = F.xxhash64("text").alias("key")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key, "text")
     keyed = source.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    spans = repeated_spans(keyed).withColumnRenamed("doc_id", "_doc")
-    joined = keyed.join(spans, F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
+    spans = repeated_spans(keyed).withColumnsRenamed({"doc_id": "_doc", "key": "_key"})
+    same = (F.col("doc_id") == F.col("_doc")) & (F.col("key") == F.col("_key"))
+    joined = keyed.join(spans, same, "left").drop("key", "_doc", "_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in chunks(batches):
