@@ -61,6 +61,12 @@ def test_quality_of_odd_rows(make_docs, odd_rows, make_labels):
     )
 
 
+def test_all_good_documents_are_trusted(spark):
+    docs = spark.range(20_100).selectExpr("id as doc_id", "'a b' as text")
+    labels = docs.selectExpr("doc_id", "1 as quality", "0 as toxic")
+    assert quality.trusted_docs(docs, labels).count() == 20_100
+
+
 def test_quality_without_labels_or_rows(make_docs, make_labels):
     docs = make_docs([(1, " ".join(f"w{k}" for k in range(60)))])
     ratios = quality.fit_ratios(docs, make_labels([]))

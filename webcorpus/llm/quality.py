@@ -26,8 +26,6 @@ SCALE = 65_536
 SMOOTHING = 10.0
 #: Mean log ratio from which a document is kept.
 THRESHOLD = -0.1
-#: Documents that the trusted counts are taken from, at most.
-MAX_TRUSTED = 20_000
 MIN_WORDS = 50
 MAX_REPEATED = 50
 
@@ -114,15 +112,10 @@ def ngram_counts(docs: DataFrame) -> DataFrame:
     return parts.groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def trusted_docs(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRUSTED) -> DataFrame:
-    """Documents labelled good; of more than `limit`, those with the smallest hashes.
-
-    The list of ids has at most `limit` rows, so it is broadcast whatever the
-    size of the labels.
-    """
+def trusted_docs(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """All documents labelled good."""
     good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull())
-    ids = good.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return docs.join(F.broadcast(ids), "doc_id", "left_semi")
+    return docs.join(good.select("doc_id").distinct(), "doc_id", "left_semi")
 
 
 def _vector(counts: DataFrame) -> np.ndarray:
