@@ -111,7 +111,7 @@ def seeds_and_domains(
     return seeds, [row.domain for row in allow_domains(listed, seeds).collect()]
 
 
-def parsed_fetches(fetches: DataFrame, retry_count: int) -> tuple[DataFrame, DataFrame]:
+def parsed_fetches(fetches: DataFrame, config: CrawlConfig) -> tuple[DataFrame, DataFrame]:
     """(outcomes, parsed): the outcome per URL, and text, links and panes per page.
 
     The markup is read once and goes no further than the task that parses it;
@@ -119,7 +119,7 @@ def parsed_fetches(fetches: DataFrame, retry_count: int) -> tuple[DataFrame, Dat
     """
     outcomes = materialize(
         fetch.classify(
-            fetches.select("url", "attempt", "status", "error"), retry_count
+            fetches.select("url", "attempt", "status", "error"), config.retry_count
         ),
         "outcomes",
     )
@@ -266,7 +266,7 @@ def run_crawl(
 ) -> CrawlResult:
     """Run one crawl into `out`/store and `out`/logs; a batch may be run again."""
     seeds, domains = seeds_and_domains(spark, config, inputs.seeds)
-    outcomes, pages = parsed_fetches(inputs.fetches, config.retry_count)
+    outcomes, pages = parsed_fetches(inputs.fetches, config)
     links = filter_links(
         resolve_links(pages.select("url", "hrefs")),
         domains,
