@@ -14,6 +14,7 @@ from webcorpus.llm import (
     mixing,
     pii,
     quality,
+    resample,
     rules,
     suffix,
     tokencount,
@@ -94,3 +95,8 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_token_counts")
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query("op11_resampling")
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

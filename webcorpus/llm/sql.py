@@ -2,6 +2,7 @@
 
 from webcorpus.llm import fixity
 from webcorpus.llm import quality as q
+from webcorpus.llm import resample as r
 
 ORACLES: dict[str, str] = {}
 
@@ -86,3 +87,56 @@ SELECT file, begins AS file_offset, record_id, CAST(length AS BIGINT) AS first_l
   CASE WHEN record_id % 101 = 7 THEN NULL ELSE rotten END AS second_hash
 FROM placed WHERE record_id % 97 = 13 OR record_id % 101 = 7
 """
+
+
+def _crc_table() -> list[int]:
+    """Remainders of the 256 bytes for the reflected polynomial of CRC-32."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [(c >> 1) ^ (0xEDB88320 if c & 1 else 0) for c in table]
+    return table
+
+
+ORACLES["op11_resampling"] = rf"""
+WITH raw AS (
+  SELECT false AS target, row_number() OVER () AS row, doc_id, text FROM documents
+  UNION ALL SELECT true, row_number() OVER (), NULL, text FROM benchmark),
+words AS (
+  SELECT target, row, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM raw),
+per_word AS (SELECT target, row, w, count(*) AS n FROM words GROUP BY ALL),
+coded AS (
+  SELECT w, CAST(xor(list_reduce(
+    list_transform(range(1, 2 * octet_length(encode(w)), 2),
+      lambda i: CAST('0x' || substr(hex(w), i, 2) AS BIGINT)),
+    lambda c, byte: xor(c >> 8, list_extract({_crc_table()}::BIGINT[], 1 + (xor(c, byte) & 255))),
+    4294967295::BIGINT), 4294967295::BIGINT) % {r.BUCKETS} AS BIGINT) AS b
+  FROM (SELECT DISTINCT w FROM per_word)),
+features AS (SELECT target, row, b, n FROM per_word JOIN coded USING (w)),
+counts AS (
+  SELECT b, sum(n) FILTER (WHERE NOT target) AS s, sum(n) FILTER (WHERE target) AS t
+  FROM features GROUP BY b),
+filled AS (SELECT b, coalesce(s, 0)::DOUBLE AS s, coalesce(t, 0)::DOUBLE AS t FROM counts),
+gains AS (
+  SELECT b, CAST(floor(1000 * ln((t + 1) * (sum(s) OVER () + {r.BUCKETS})
+    / ((s + 1) * (sum(t) OVER () + {r.BUCKETS})))) AS BIGINT) AS g FROM filled),
+weights AS (
+  SELECT row, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(sum(n * g) / sum(n)) AS BIGINT) AS weight
+  FROM features JOIN gains USING (b) WHERE NOT target GROUP BY row),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256(
+      '{r.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+      / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM raw LEFT JOIN weights USING (row) WHERE NOT target),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= {r.MIN_WORDS}
+      ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place,
+    count(*) FILTER (WHERE n_features >= {r.MIN_WORDS}) OVER () AS able
+  FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_features >= {r.MIN_WORDS} AND place <= able * {r.PERCENT} // 100 THEN place END AS rank
+FROM ordered
+"""
