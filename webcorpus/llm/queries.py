@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webcorpus.llm import (
+    brown,
     decontaminate,
     fixity,
     jaccard,
@@ -100,3 +101,8 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_resampling")
 def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_brown_scores")
+def op12_brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score_texts(table(spark, sf_dir, "documents"))
