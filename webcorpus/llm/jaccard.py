@@ -5,14 +5,20 @@ embedded as T tokens, one minimum hash each. In every run a class follows the
 tokens whose hash, given the path so far, is small: about 1 / (LAMBDA * T) of
 them, so that two similar classes share one on average. Classes with the same
 path share a bucket. A bucket of at most LIMIT classes is searched by brute
-force on 1-byte sketches, a larger one is split on further tokens; what is still
-large after DEPTH tokens is searched by brute force in blocks. Runs repeat until
-a pair at the threshold is missed with a probability below 1 - RECALL.
+force on 1-byte sketches, a larger one is split on further tokens. Runs repeat
+until a pair at the threshold is missed with a probability below 1 - RECALL.
+
+Near copies of one text share their tokens, so no token splits them. They are
+compared with a few members of their bucket instead; a bucket whose classes are
+all connected by that needs no search and is closed. A large bucket that stays
+open after DEPTH tokens is searched in blocks, between classes not yet connected.
 
 Pairs that the sketches let pass only connect classes. Inside a connected part
-the sets themselves are compared, all with all in blocks, so the links that come
-out are exact, and each is counted once. Only counts and a spanning forest leave
-a block.
+the links are exact. The classes at a distance of at most half the threshold from
+the part's first class, the core, are linked to each other by the triangle
+inequality, which the Jaccard distance obeys; they are counted, not compared. The
+other classes are compared with all, set by set, in blocks. Only counts and a
+spanning forest leave a block.
 """
 
 from __future__ import annotations
@@ -23,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webcorpus.llm.groups import components, linked, together, whole_groups
@@ -41,8 +47,8 @@ LIMIT, DEPTH = 64, 4
 #: Share of equal sketch bytes from which two classes are compared exactly: five
 #: standard deviations below the threshold.
 SKETCH = 0.63
-#: Classes, and words of their texts, in a block of a brute-force search.
-BLOCK, BLOCK_SHINGLES = 256, 400_000
+#: Classes, and shingles of their texts, in a block of a brute-force search.
+BLOCK, BLOCK_SHINGLES = 2_048, 1_000_000
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xBF58476D1CE4E5B9)
@@ -130,8 +136,13 @@ def chosen(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, (_mix(hashes[row, at]) >> np.uint64(1)).astype(np.int64)
 
 
+def row_key() -> Column:
+    """The same for rows of one doc_id and text, whatever else they hold."""
+    return F.xxhash64("doc_id", "text").alias("row_key")
+
+
 def embed(docs: DataFrame) -> DataFrame:
-    """(doc_id, cid, n, sketch, keys): one row for a text with words, in one pass."""
+    """(doc_id, row_key, cid, n, sketch, keys): one row for a text with words, in one pass."""
     runs = runs_needed()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,17 +156,21 @@ def embed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column("doc_id").take(pa.array(some)),
+                    rows.column("row_key").take(pa.array(some)),
                     pa.array([class_number(sets[k]) for k in some], pa.int64()),
                     pa.array([len(sets[k]) for k in some], pa.int64()),
                     pa.array([r.tobytes() for r in embedder.sketch(tokens)], pa.binary()),
                     pa.array(embedder.paths(tokens), pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "cid", "n", "sketch", "keys"],
+                names=["doc_id", "row_key", "cid", "n", "sketch", "keys"],
             )
 
-    source = docs.select("doc_id", "text")
-    schema = f"{ddl([source.schema['doc_id']])}, cid long, n long, sketch binary, keys array<long>"
-    return source.mapInArrow(run, schema)
+    source = docs.select("doc_id", "text", row_key())
+    return source.mapInArrow(
+        run,
+        f"{ddl([source.schema['doc_id']])}, row_key long, cid long, n long, sketch binary, "
+        "keys array<long>",
+    )
 
 
 def _longer(rows: DataFrame) -> DataFrame:
@@ -177,10 +192,41 @@ def _longer(rows: DataFrame) -> DataFrame:
     return rows.select("key", "cid", "sketch").mapInArrow(run, "key long, cid long")
 
 
-def _leaves(classes: DataFrame) -> DataFrame:
-    """(key, cid, n): the buckets to search, each set of classes once."""
+def _stars(large: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): classes of large buckets whose sketch agrees with one of three members."""
+    some = large.groupBy("key").agg(
+        F.array(F.min("cid"), F.max("cid"), F.min_by("cid", F.xxhash64("cid"))).alias("some")
+    )
+    pairs = (
+        large.join(some, "key")
+        .select(F.col("cid").alias("a"), F.explode("some").alias("b"))
+        .filter("a <> b")
+        .distinct()
+    )
+    own = classes.select(F.col("cid").alias("a"), F.col("sketch").alias("left"))
+    other = classes.select(F.col("cid").alias("b"), F.col("sketch").alias("right"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, T)
+                for c in ("left", "right")
+            )
+            near = (left == right).sum(axis=1) >= math.ceil(SKETCH * T)
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    return pairs.join(own, "a").join(other, "b").select("a", "b", "left", "right").mapInArrow(
+        run, "a long, b long"
+    )
+
+
+def _leaves(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(leaves, edges): the buckets to search as (key, cid, label, n), each set of
+    classes once, and the links that closed the others. `label` is equal for
+    classes that these links connect.
+    """
     level = classes.select(F.explode("keys").alias("key"), "cid")
-    leaves = None
+    leaves = edges = labels = None
     for depth in range(1, DEPTH + 1):
         level = materialize(level, "paths")
         # Two hashes of the members tell buckets of the same classes.
@@ -190,17 +236,37 @@ def _leaves(classes: DataFrame) -> DataFrame:
             F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("y"),
         )
         size = materialize(size.filter("n > 1"), "buckets")
-        done = size if depth == DEPTH else size.filter(F.col("n") <= LIMIT)
-        done = done.groupBy("n", "x", "y").agg(F.min("key").alias("key"))
-        part = level.join(done.select("key", "n"), "key")
-        leaves = part if leaves is None else leaves.unionAll(part)
-        if depth == DEPTH:
-            break
         large = level.join(size.filter(F.col("n") > LIMIT).select("key"), "key")
-        if large.isEmpty():
+        if depth == 1:
+            large = materialize(large, "large")
+            if not large.isEmpty():
+                edges = materialize(_stars(large, classes), "stars")
+                labels = components(edges).select(
+                    F.col("id").alias("cid"), F.col("component").alias("label")
+                )
+        small = _distinct_buckets(size.filter(F.col("n") <= LIMIT))
+        part = level.join(small, "key").withColumn("label", F.col("cid"))
+        leaves = part if leaves is None else leaves.unionByName(part)
+        if labels is None:
+            break
+        named = large.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+        named = materialize(named, "large")
+        still = named.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b"))
+        still = materialize(still.filter("_a <> _b").select("key"), "open")
+        if still.isEmpty():
+            break
+        if depth == DEPTH:
+            last = _distinct_buckets(size.join(still, "key", "left_semi"))
+            leaves = leaves.unionByName(named.join(last, "key"))
             break
-        level = _longer(large.join(classes.select("cid", "sketch"), "cid"))
-    return leaves
+        rows = named.join(still, "key", "left_semi").select("key", "cid")
+        level = _longer(rows.join(classes.select("cid", "sketch"), "cid"))
+    return leaves, edges
+
+
+def _distinct_buckets(size: DataFrame) -> DataFrame:
+    """(key, n) of one bucket for each set of classes."""
+    return size.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n")
 
 
 def _in_blocks(rows: DataFrame, key: str, blocks: str) -> DataFrame:
@@ -220,22 +286,27 @@ def _in_blocks(rows: DataFrame, key: str, blocks: str) -> DataFrame:
     )
 
 
-def _pairs(bounds: np.ndarray, own: np.ndarray, i: np.ndarray, j: np.ndarray, some: int) -> Iterator:
-    """Row numbers (a, b) of the pairs that each group compares, `some` at a time."""
+def _pairs(
+    bounds: np.ndarray, own: np.ndarray, i: np.ndarray, j: np.ndarray, label: np.ndarray, some: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers (a, b) of the pairs of different labels in each group, about `some` at a time."""
     held_a, held_b, held = [], [], 0
     for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-        if i[start] == j[start]:
-            a, b = np.triu_indices(stop - start, 1)
-        else:
-            left = np.flatnonzero(own[start:stop] == i[start])
-            right = np.flatnonzero(own[start:stop] == j[start])
-            a, b = np.repeat(left, len(right)), np.tile(right, len(left))
-        held_a.append(a + start)
-        held_b.append(b + start)
-        held += len(a)
-        if held >= some:
-            yield np.concatenate(held_a), np.concatenate(held_b)
-            held_a, held_b, held = [], [], 0
+        left = start + np.flatnonzero(own[start:stop] == i[start])
+        right = start + np.flatnonzero(own[start:stop] == j[start])
+        step = max(1, some // max(len(right), 1))
+        for k in range(0, len(left), step):
+            part = left[k : k + step]
+            a, b = np.repeat(part, len(right)), np.tile(right, len(part))
+            keep = label[a] != label[b]
+            if i[start] == j[start]:
+                keep &= a < b
+            held_a.append(a[keep])
+            held_b.append(b[keep])
+            held += len(held_a[-1])
+            if held >= some:
+                yield np.concatenate(held_a), np.concatenate(held_b)
+                held_a, held_b, held = [], [], 0
     if held:
         yield np.concatenate(held_a), np.concatenate(held_b)
 
@@ -245,21 +316,20 @@ def _candidates(leaves: DataFrame, classes: DataFrame) -> DataFrame:
     rows = leaves.join(classes.select("cid", "sketch"), "cid").withColumn(
         "blocks", F.ceil(F.col("n") / (2 * BLOCK))
     )
-    dealt = _in_blocks(rows.select("key", "cid", "sketch", "blocks"), "key", "blocks")
+    dealt = _in_blocks(rows.select("key", "cid", "label", "sketch", "blocks"), "key", "blocks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = math.ceil(SKETCH * T)
         for rows, bounds in whole_groups(batches, ("key", "i", "j")):
-            column = {c: rows.column(c).to_numpy() for c in ("cid", "i", "j", "own")}
+            column = {c: rows.column(c).to_numpy() for c in ("cid", "i", "j", "own", "label")}
             sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8)
             sketch = sketch.reshape(-1, T)
             left, right = [], []
-            for a, b in _pairs(bounds, column["own"], column["i"], column["j"], 50_000):
-                for k in range(0, len(a), 50_000):
-                    pa_, pb = a[k : k + 50_000], b[k : k + 50_000]
-                    near = (sketch[pa_] == sketch[pb]).sum(axis=1) >= least
-                    left.append(pa_[near])
-                    right.append(pb[near])
+            places = (column[c] for c in ("own", "i", "j", "label"))
+            for a, b in _pairs(bounds, *places, 50_000):
+                near = (sketch[a] == sketch[b]).sum(axis=1) >= least
+                left.append(a[near])
+                right.append(b[near])
             if not left:
                 continue
             label = linked(len(sketch), np.concatenate(left), np.concatenate(right))
@@ -300,96 +370,152 @@ def _overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np
     return out.astype(np.int64)
 
 
-def _exact(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """(cid, other, links, text_links) within connected parts, from the sets.
-
-    `links` counts the documents, `text_links` the classes that a class is
-    linked to in one pair of blocks; `other` connects it to one of them.
-    """
+def _sets(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """(cid, component, copies, blocks, shingles) of the members, read from one text each."""
     # The members grow with the texts, so they are never broadcast, also when small.
-    texts = docs.select("doc_id", "text").hint("merge").join(
-        members.filter(F.col("rep_id").isNotNull()), F.col("doc_id") == F.col("rep_id")
-    )
+    texts = docs.select("text", row_key()).hint("merge").join(members, "row_key")
+    # Equal rows have one key; one of them is enough.
+    texts = texts.dropDuplicates(["row_key"])
 
-    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordHashes(8)
         for rows, some in chunks(batches):
             sets = shingle_sets(some, table)
-            cids = rows.column("cid").to_pylist()
-            good = [k for k, s in enumerate(sets) if len(s) and class_number(s) == cids[k]]
-            part = rows.take(pa.array(good, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[part.column(c) for c in ("cid", "component", "copies", "blocks")],
-                    pa.array([sets[k].tobytes() for k in good], pa.binary()),
+                    *[rows.column(c) for c in ("cid", "component", "copies", "blocks")],
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
                 ],
                 names=["cid", "component", "copies", "blocks", "shingles"],
             )
 
-    sets = texts.mapInArrow(
-        to_sets, "cid long, component long, copies long, blocks long, shingles binary"
+    return texts.mapInArrow(
+        run, "cid long, component long, copies long, blocks long, shingles binary"
+    )
+
+
+def _distances(sets: DataFrame) -> DataFrame:
+    """(cid, component, copies, blocks, core): whether a class is in its part's core.
+
+    The part's first class goes to every block of the part, every other class to one.
+    """
+    own = F.pmod(F.xxhash64("cid", F.lit(5)), F.col("blocks")).cast("int")
+    first = F.col("cid") == F.col("component")
+    every = F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)
+    dealt = sets.select(
+        "*", own.alias("own"), F.explode(F.when(first, every).otherwise(F.array(own))).alias("i")
     )
-    dealt = _in_blocks(sets, "component", "blocks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, bounds in whole_groups(batches, ("key", "i", "j")):
-            column = {c: rows.column(c).to_numpy() for c in ("cid", "i", "j", "own", "copies")}
+        for rows, bounds in whole_groups(batches, ("component", "i")):
+            column = {c: rows.column(c).to_numpy() for c in ("cid", "component", "i", "own")}
             binary = rows.column("shingles")
-            out = []
+            core = np.zeros(rows.num_rows, bool)
             for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                # A class comes once for each of its equal rows.
-                at = start + np.unique(column["cid"][start:stop], return_index=True)[1]
-                if len(at) < 2:
-                    continue
-                some = [np.frombuffer(binary[int(k)].as_py(), np.uint64) for k in at]
+                some = [np.frombuffer(binary[k].as_py(), np.uint64) for k in range(start, stop)]
                 size = np.fromiter(map(len, some), np.int64, len(some))
-                own, i, j = column["own"][at], column["i"][start], column["j"][start]
-                left, right = (np.flatnonzero(own == x) for x in (i, j))
+                at = np.flatnonzero(column["cid"][start:stop] == column["component"][start])
+                lead = some[int(at[0])]
+                flat = np.concatenate(some)
+                place = np.minimum(np.searchsorted(lead, flat), len(lead) - 1)
+                both = np.add.reduceat((lead[place] == flat).astype(np.int64), np.cumsum(size) - size)
+                union = size + len(lead) - both
+                core[start:stop] = 2 * OF * (union - both) <= (OF - SIMILAR) * union
+            mine = pa.array(column["own"] == column["i"])
+            out = rows.select(["cid", "component", "copies", "blocks"])
+            out = out.append_column("core", pa.array(core)).filter(mine)
+            yield from out.to_batches()
+
+    # No set is empty, so every block of a part holds the part's first class.
+    return together(dealt, "component", "i").mapInArrow(
+        run, "cid long, component long, copies long, blocks long, core boolean"
+    )
+
+
+def _exact(sets: DataFrame) -> DataFrame:
+    """(cid, other, links, text_links): the links within connected parts.
+
+    `links` counts the documents, `text_links` the classes that a class is
+    linked to, summed over the rows of a class; `other` connects it to one of them.
+    """
+    near = materialize(_distances(sets), "cores")
+    size = near.groupBy("component").agg(
+        F.sum(F.col("core").cast("long")).alias("cores"),
+        F.sum(F.when(F.col("core"), F.col("copies")).otherwise(0)).alias("core_copies"),
+        F.count("*").alias("classes"),
+    )
+    size = materialize(size, "parts")
+    inside = near.filter("core").join(size, "component").select(
+        "cid",
+        F.col("component").alias("other"),
+        (F.col("core_copies") - F.col("copies")).alias("links"),
+        (F.col("cores") - 1).alias("text_links"),
+    )
+    # Parts with classes outside the core: these meet all, in blocks of both.
+    open_ = size.filter("classes > cores").select(
+        "component", F.ceil((F.col("classes") - F.col("cores")) / BLOCK).alias("outer")
+    )
+    rows = sets.join(near.select("cid", "core"), "cid").join(open_, "component")
+    outer = F.greatest(F.col("outer"), F.lit(1)).cast("int")
+    own = F.pmod(F.xxhash64("cid", F.lit(5)), F.col("blocks")).cast("int")
+    mine = F.pmod(F.xxhash64("cid", F.lit(6)), outer).cast("int")
+    as_any = rows.select(
+        "component", "cid", "copies", "shingles", "core", F.lit(False).alias("seeks"),
+        F.explode(F.sequence(F.lit(0), outer - 1)).alias("i"), own.alias("j"),
+    )
+    as_outer = rows.filter("not core").select(
+        "component", "cid", "copies", "shingles", "core", F.lit(True).alias("seeks"),
+        mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).alias("j"),
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, bounds in whole_groups(batches, ("component", "i", "j")):
+            column = {c: rows.column(c).to_numpy() for c in ("cid", "copies", "core", "seeks")}
+            binary = rows.column("shingles")
+            out = []
+            for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                cid, copies, core, seeks = (
+                    column[c][start:stop] for c in ("cid", "copies", "core", "seeks")
+                )
+                left, right = np.flatnonzero(seeks), np.flatnonzero(~seeks)
                 if not len(left) or not len(right):
                     continue
+                some = [np.frombuffer(binary[k].as_py(), np.uint64) for k in range(start, stop)]
+                size = np.fromiter(map(len, some), np.int64, len(some))
                 both = _overlaps(some, left, right)
                 near = OF * both >= SIMILAR * (size[left][:, None] + size[right] - both)
-                if i == j:
-                    np.fill_diagonal(near, False)
-                a, b = np.nonzero(near)
+                a, b = np.nonzero(near & (cid[left][:, None] != cid[right]))
                 a, b = left[a], right[b]
-                label = linked(len(at), a, b)
-                copies = column["copies"][at]
-                if i != j:  # counted from both sides
-                    a, b = np.concatenate([a, b]), np.concatenate([b, a])
-                links = np.bincount(a, copies[b], len(at)).astype(np.int64)
-                n = np.bincount(a, minlength=len(at))
+                # A core class never seeks, so its links are counted from the other side.
+                back = core[b]
+                to, at = np.concatenate([a, b[back]]), np.concatenate([b, a[back]])
+                # A class is here twice, once in each role; both are one row.
+                names, where = np.unique(cid, return_inverse=True)
+                links = np.bincount(where[to], copies[at], len(names)).astype(np.int64)
+                n = np.bincount(where[to], minlength=len(names))
+                label = linked(len(names), where[a], where[b])
                 seen = np.flatnonzero(n)
-                cid = column["cid"][at]
-                out.append((cid[seen], cid[label[seen]], links[seen], n[seen]))
+                out.append((names[seen], names[label[seen]], links[seen], n[seen]))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(x)) for x in zip(*out)],
                     names=["cid", "other", "links", "text_links"],
                 )
 
-    return together(dealt, "key", "i", "j").mapInArrow(
+    outside = together(as_any.unionByName(as_outer), "component", "i", "j").mapInArrow(
         run, "cid long, other long, links long, text_links long"
     )
+    return inside.unionByName(outside)
 
 
-def jaccard_join(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id, copy_of, n_links, n_text_links), a row per row of `docs`.
-
-    Two documents are linked when the Jaccard similarity of their sets of
-    SHINGLE-word shingles is at least SIMILAR / OF. `class_id` is the smallest
-    doc_id that a document is connected to by links, `copy_of` the smallest with
-    the same set, `n_links` the number of other documents it is linked to and
-    `n_text_links` that of other sets. A null, empty or blank text has no
-    shingle and no link, its class is its own id. A text of fewer than SHINGLE
-    words is one shingle. Repeated rows are linked copies. Rows with a null
-    doc_id count as copies; where a set has such rows only, its links to other
-    sets are not searched. Other columns are not read.
-    """
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): (doc_id, row_key, cid) of the texts with words, and each
+    class's first row, copies, group and links."""
     embedded = materialize(embed(docs), "embedded")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key"))
     classes = materialize(
         embedded.groupBy("cid").agg(
-            F.min("doc_id").alias("rep_id"),
+            first.alias("rep"),
             F.count("*").alias("copies"),
             F.first("n").alias("n"),
             F.first("sketch").alias("sketch"),
@@ -397,14 +523,19 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    parts = components(_candidates(_leaves(classes), classes))
-    narrow = classes.select("cid", "rep_id", "copies", "n")
+    leaves, edges = _leaves(classes)
+    candidates = _candidates(leaves, classes)
+    parts = components(candidates if edges is None else candidates.unionByName(edges))
+    narrow = classes.select("cid", "rep", "copies", "n")
     inside = narrow.join(parts.withColumnRenamed("id", "cid"), "cid")
     size = inside.groupBy("component").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).alias("blocks")
     )
-    members = materialize(inside.join(size, "component"), "members")
-    exact = materialize(_exact(members, docs), "exact")
+    members = inside.join(size, "component").select(
+        "cid", "component", "copies", "blocks", "rep.row_key"
+    )
+    sets = materialize(_sets(materialize(members, "members"), docs), "sets")
+    exact = materialize(_exact(sets), "exact")
     links = exact.groupBy("cid").agg(
         F.sum("links").alias("links"), F.sum("text_links").alias("text_links")
     )
@@ -412,14 +543,31 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
         exact.filter("cid <> other").select(F.col("cid").alias("a"), F.col("other").alias("b"))
     )
     named = narrow.join(joined.withColumnRenamed("id", "cid"), "cid", "left").select(
-        "cid", "rep_id", "copies", F.coalesce("component", "cid").alias("component")
+        "cid", "rep", "copies", F.coalesce("component", "cid").alias("component")
     )
-    first = named.groupBy("component").agg(F.min("rep_id").alias("class_id"))
-    named = materialize(named.join(first, "component").join(links, "cid", "left"), "named")
-    found = embedded.select("doc_id", "cid").join(named, "cid").select(
+    first = named.groupBy("component").agg(F.min("rep").alias("first"))
+    named = named.join(first, "component").join(links, "cid", "left").drop("component")
+    return embedded.select("doc_id", "row_key", "cid"), materialize(named, "named")
+
+
+def jaccard_join(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id, copy_of, n_links, n_text_links), a row per row of `docs`.
+
+    Two documents are linked when the Jaccard similarity of their sets of
+    SHINGLE-word shingles is at least SIMILAR / OF. `class_id` is the smallest
+    doc_id that a document is connected to by links, `copy_of` the smallest with
+    the same set, `n_links` the number of other documents it is linked to and
+    `n_text_links` that of other sets. A null, empty or blank text has no
+    shingle and no link, its class is its own id. A text of fewer than SHINGLE
+    words is one shingle. Repeated rows are linked copies. Rows with a null
+    doc_id are linked like others; a class of such rows only has a null class_id.
+    One doc_id may have several texts. Other columns are not read.
+    """
+    rows, classes = _grouped(docs)
+    found = rows.join(classes, "cid").select(
         "doc_id",
-        "class_id",
-        F.col("rep_id").alias("copy_of"),
+        F.col("first.doc_id").alias("class_id"),
+        F.col("rep.doc_id").alias("copy_of"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.coalesce("text_links", F.lit(0)).alias("n_text_links"),
     )
@@ -433,13 +581,21 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
 def select_first(docs: DataFrame) -> DataFrame:
     """The rows of `docs` without all but one document of each group of linked ones.
 
-    The document with the smallest doc_id stays, equal rows of it once; rows
-    with a null doc_id stay. All columns are kept.
+    The row with the smallest doc_id stays (null last, ties by a hash of id and
+    text). Rows equal in doc_id and text stay once, with or without words; of
+    rows that differ in other columns only, the one with the smallest hash of
+    them. All columns are kept.
     """
     names = docs.columns
-    found = jaccard_join(docs).filter("doc_id <> class_id").select("doc_id").distinct()
-    left = docs.join(materialize(found, "dropped"), "doc_id", "left_anti").select(
-        F.struct(*names).alias("_row"), "doc_id", F.xxhash64("text").alias("_text")
+    rows, classes = _grouped(docs)
+    dropped = rows.join(classes.select("cid", "first"), "cid").filter(
+        F.col("row_key") != F.col("first.row_key")
+    )
+    # The whole rows move once: both steps go by one key.
+    dropped = materialize(dropped.select("row_key").distinct(), "dropped")
+    left = docs.select(F.struct(*names).alias("_row"), row_key()).join(
+        dropped, "row_key", "left_anti"
     )
-    again = Window.partitionBy("doc_id", "_text").orderBy("doc_id")
+    others = F.to_json(F.struct(*[F.col("_row")[c] for c in names if c not in ("doc_id", "text")]))
+    again = Window.partitionBy("row_key").orderBy(F.xxhash64(others))
     return left.withColumn("_n", F.row_number().over(again)).filter("_n = 1").select("_row.*")
