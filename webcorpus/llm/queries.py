@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webcorpus.llm import (
+    align,
     brown,
     decontaminate,
     fixity,
@@ -106,3 +107,8 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_brown_scores")
 def op12_brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.score_texts(table(spark, sf_dir, "documents"))
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents"))
