@@ -29,6 +29,12 @@ def unpacked(data: bytes, count: int) -> np.ndarray:
     return np.frombuffer(raw, np.uint32).astype(np.int64)
 
 
+def sliced(names: list[str], *columns: np.ndarray, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """Columns of one length as batches of bounded size."""
+    for k in range(0, len(columns[0]), rows):
+        yield pa.RecordBatch.from_arrays([pa.array(c[k : k + rows]) for c in columns], names=names)
+
+
 def by_frequency(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(things, codes): the distinct keys, most frequent first, and each key's place there."""
     things, codes, counts = np.unique(keys, return_inverse=True, return_counts=True)

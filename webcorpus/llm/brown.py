@@ -29,19 +29,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webcorpus.llm.blocks import by_frequency, id_type, listed, looked_up, packed, stored, unpacked
+from webcorpus.llm.blocks import (
+    by_frequency,
+    id_type,
+    listed,
+    looked_up,
+    packed,
+    sliced,
+    stored,
+    unpacked,
+)
 from webcorpus.llm.rules import held_out
 from webcorpus.llm.texts import chunks
 from webcorpus.session import materialize
 
 #: Classes that words are exchanged between, and words that are exchanged.
-CLASSES, TOP = 64, 32_768
+CLASSES, TOP = 64, 16_384
 #: Turns of the exchange; a turn may move every EVERY-th word.
 TURNS, EVERY = 9, 3
 #: Weight of the classes' own shares in the transitions after each class.
 ALPHA = 64.0
 #: Tokens from which a block is closed.
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 2_000_000
 #: Folds of the documents, and the one that is never learnt from.
 FOLDS, HELD = 7, 2
 
@@ -178,21 +187,22 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def top_pairs(blocks: DataFrame, top: Top) -> DataFrame:
-    """(w, after, after_n, before, before_n): the pairs of top words, one row per word.
+    """(w, beside): the neighbours of each top word among the top words, one row per word.
 
-    A row holds at most as many entries as there are top words.
+    `beside` lists (at, n): 2 k for word k after it, 2 k + 1 for word k before it. A
+    list holds at most two entries per top word.
     """
     shared = blocks.sparkSession.sparkContext.broadcast(top)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top, parts, held = shared.value, [], 0
+        size = len(top.numbers)
 
-        def given() -> pa.RecordBatch:
+        def given() -> Iterator[pa.RecordBatch]:
             pairs, n = _merged(parts)
-            left, right = pairs // len(top.numbers), pairs % len(top.numbers)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(left), pa.array(right), pa.array(n)], names=["a", "b", "n"]
-            )
+            left, right = (pairs // size).astype(np.int32), (pairs % size).astype(np.int32)
+            yield from sliced(["w", "at", "n"], left, 2 * right, n)
+            yield from sliced(["w", "at", "n"], right, 2 * left + 1, n)
 
         for batch in batches:
             for k in range(batch.num_rows):
@@ -200,31 +210,22 @@ def top_pairs(blocks: DataFrame, top: Top) -> DataFrame:
                 ids = top.ids(_numpy(batch, "words", k))[codes]
                 left = _before(ids, top.end)
                 some = learnt & (ids >= 0) & (left >= 0)
-                pairs = left[some] * len(top.numbers) + ids[some]
-                parts.append(np.unique(pairs, return_counts=True))
+                parts.append(np.unique(left[some] * size + ids[some], return_counts=True))
                 held += len(parts[-1][0])
                 if held > 3_000_000:
-                    yield given()
+                    yield from given()
                     parts, held = [], 0
         if held:
-            yield given()
+            yield from given()
 
     source = blocks.select("sizes", "held", "codes", "words")
-    pairs = source.mapInArrow(run, "a long, b long, n long")
-    # One exchange for the sums and the lists; a word's rows are at most tasks x TOP.
-    after = (
-        pairs.repartition("a").groupBy("a", "b").agg(F.sum("n").alias("n"))
-        .groupBy("a").agg(F.collect_list(F.struct("b", "n")).alias("l"))
-        .select(F.col("a").alias("w"), F.col("l.b").alias("after"), F.col("l.n").alias("after_n"))
+    # One exchange for the sums and the lists.
+    lists = (
+        source.mapInArrow(run, "w int, at int, n long")
+        .repartition("w").groupBy("w", "at").agg(F.sum("n").alias("n"))
+        .groupBy("w").agg(F.collect_list(F.struct("at", "n")).alias("beside"))
     )
-    after = materialize(after, "pairs")
-    before = (
-        after.select("w", F.explode(F.arrays_zip("after", "after_n")).alias("e"))
-        .groupBy(F.col("e.after").alias("w"))
-        .agg(F.collect_list(F.struct("w", "e.after_n")).alias("l"))
-        .select("w", F.col("l.w").alias("before"), F.col("l.after_n").alias("before_n"))
-    )
-    return materialize(after.join(before, "w", "full_outer"), "pairs")
+    return materialize(lists, "pairs")
 
 
 def _phi(x: np.ndarray) -> np.ndarray:
@@ -259,33 +260,32 @@ def move_gains(matrix: np.ndarray, own: int, after: np.ndarray, before: np.ndarr
     return gain - gain[own]
 
 
-def _by_class(batch, name: str, classes: np.ndarray, size: int) -> np.ndarray:
-    """Neighbours of each row's word, counted by class: rows x size."""
-    lists, counts = batch.column(name), batch.column(f"{name}_n")
-    out = np.zeros((batch.num_rows, size))
-    for k in range(batch.num_rows):
-        if lists[k].is_valid:
-            ids = lists[k].values.to_numpy()
-            out[k] = np.bincount(classes[ids], counts[k].values.to_numpy(), size)
-    return out
+def _by_class(batch, k: int, classes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """What follows and precedes the word of row `k`, by class, and its pairs with itself."""
+    beside = batch.column("beside")[k].values
+    at, n = (beside.field(c).to_numpy() for c in ("at", "n"))
+    cell = classes[at >> 1] * 2 + (at & 1)
+    counts = np.bincount(cell, n, 2 * size).reshape(size, 2)
+    return counts[:, 0], counts[:, 1], float(n[at == 2 * batch.column("w")[k].as_py()].sum())
 
 
 def _class_matrix(pairs: DataFrame, classes: np.ndarray, size: int) -> np.ndarray:
-    """Class pair counts under a class map; size^2 rows reach the driver."""
+    """Class pair counts under a class map. Every task sends its sums as one row.
+
+    The pairs are at most TOP rows of bounded lists, so their tasks are few.
+    """
     shared = pairs.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((size, size))
         for batch in batches:
-            own = shared.value[batch.column("w").to_numpy()]
-            np.add.at(total, own, _by_class(batch, "after", shared.value, size))
-        cell = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cell), pa.array(total.reshape(-1)[cell].astype(np.int64))], names=["cell", "n"]
-        )
+            for k, word in enumerate(batch.column("w").to_pylist()):
+                total[shared.value[word]] += _by_class(batch, k, shared.value, size)[0]
+        yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
 
-    rows = pairs.select("w", "after", "after_n").mapInArrow(run, "cell long, n long")
-    return _matrix(rows, size, size)
+    rows = pairs.mapInArrow(run, "sums binary").toArrow().column("sums").to_pylist()
+    parts = [np.frombuffer(row).reshape(size, size) for row in rows]
+    return sum(parts, np.zeros((size, size)))
 
 
 def _matrix(cells: DataFrame, height: int, width: int) -> np.ndarray:
@@ -304,17 +304,10 @@ def _proposals(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, matrix = shared.value
         for batch in batches:
-            words = batch.column("w").to_numpy()
-            after = _by_class(batch, "after", classes, len(matrix))
-            before = _by_class(batch, "before", classes, len(matrix))
             out = []
-            for k, word in enumerate(words.tolist()):
-                own = int(classes[word])
-                self_ = 0.0
-                if batch.column("after")[k].is_valid:
-                    same = _numpy(batch, "after", k) == word
-                    self_ = float(_numpy(batch, "after_n", k)[same].sum())
-                gain = move_gains(matrix, own, after[k], before[k], self_)
+            for k, word in enumerate(batch.column("w").to_pylist()):
+                beside = _by_class(batch, k, classes, len(matrix))
+                gain = move_gains(matrix, int(classes[word]), *beside)
                 best = int(np.argmax(gain))
                 if gain[best] > 1e-6:
                     out.append((word, best, float(gain[best])))
@@ -378,10 +371,8 @@ def rest_classes(blocks: DataFrame, top: Top, classes: np.ndarray, matrix: np.nd
                 some = learnt & (ids[codes] < 0) & ((left < none) | (right < none))
                 key = (codes[some] * wide + left[some]) * wide + right[some]
                 key, n = np.unique(key, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(words[key // wide**2]), pa.array((key % wide**2).astype(np.int32)), pa.array(n)],
-                    names=["h", "beside", "n"],
-                )
+                beside = (key % wide**2).astype(np.int32)
+                yield from sliced(["h", "beside", "n"], words[key // wide**2], beside, n)
 
     row, column = matrix.sum(1), matrix.sum(0)
     smooth = matrix + 0.5
