@@ -11,8 +11,9 @@ between them. Composition is associative, so a tree of pairs reduces a text of
 any length; only open ends move up the tree, closed groups stay where they arose.
 
 How many documents link a pair of ids is one aggregate over all of them. The
-most frequent pairs are looked up in a broadcast of fixed size, all others by a
-join, so that every link gets its exact count.
+texts are read and tokenised once, into blocks that keep their links as numbers of
+the block's own pairs (see `blocks`); the counts return to the blocks, so that
+every link gets its exact count whatever the number of pairs.
 """
 
 from __future__ import annotations
@@ -29,7 +30,15 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webcorpus.llm.blocks import id_type, packed, unpacked
+from webcorpus.llm.blocks import (
+    by_frequency,
+    id_type,
+    listed,
+    looked_up,
+    packed,
+    stored,
+    unpacked,
+)
 from webcorpus.llm.groups import together, whole_groups
 from webcorpus.llm.texts import chunks, sums
 from webcorpus.session import materialize
@@ -39,8 +48,6 @@ VOCABULARIES = "/opt/tokenizers"
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of a range of a long text; a text of at most as many is not cut.
 RANGE = 1 << 16
-#: Pairs of ids in the broadcast.
-FREQUENT = 500_000
 
 #: Fixed value: the pattern that splits a text before the merges of FILE_A.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -229,104 +236,65 @@ def _flat(encoded: list[tuple[list[int], list[int]]], made: Tokenizers) -> tuple
     return Tokens(a, a_ends, b, b_ends), stops
 
 
-def _short(docs: DataFrame, limit: int) -> DataFrame:
-    return docs.filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= limit)
-
-
-def _whole_pairs(docs: DataFrame, files) -> DataFrame:
-    """(pair, n): documents that link a pair, summed within each task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, parts, held = Tokenizers(*files.value), [], 0
-        n_pairs = len(made.bytes_a) * len(made.bytes_b)
-
-        def given() -> pa.RecordBatch:
-            pairs, at = np.unique(np.concatenate([p for p, _ in parts]), return_inverse=True)
-            n = np.bincount(at.reshape(-1), np.concatenate([n for _, n in parts]))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(pairs), pa.array(n.astype(np.int64))], names=["pair", "n"]
-            )
-
-        for _, texts in chunks(batches):
-            tokens, stops = _flat(made.encode(texts), made)
-            ends, a, b = links(tokens)
-            if not len(ends):
-                continue
-            pairs = made.pair(tokens.a[a], tokens.b[b])
-            # A document has many links of one pair; it counts once.
-            doc = np.searchsorted(stops, ends)
-            once = np.unique(doc * n_pairs + pairs) % n_pairs
-            parts.append(np.unique(once, return_counts=True))
-            held += len(parts[-1][0])
-            if held > 2_000_000:
-                yield given()
-                parts, held = [], 0
-        if held:
-            yield given()
-
-    return docs.select("text").mapInArrow(run, "pair long, n long")
-
-
 _DOC = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 _MADE = [field.split(" ")[0] for field in _DOC.split(", ")]
+_KEPT = ("n_a", "n_b", "n_groups", "n_links")
 
 
-def _whole_rows(docs: DataFrame, files, frequent) -> DataFrame:
-    """A row per document, with the links that the frequent pairs do not settle.
+def _blocks(docs: DataFrame, files) -> DataFrame:
+    """Blocks of aligned documents: what is known of each, and their links.
 
-    `frequent` shares (pairs, counts, whether best), ordered by pair.
+    `codes` numbers the block's `pairs`, `holders` counts the documents of the
+    block that link a pair.
     """
-    ids = id_type(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = Tokenizers(*files.value)
-        known, count, best = frequent.value
         for rows, texts in chunks(batches):
             encoded = made.encode(texts)
             tokens, stops = _flat(encoded, made)
             ends, a, b = links(tokens)
             cuts = common_ends(tokens)
-            pairs, code = np.unique(made.pair(tokens.a[a], tokens.b[b]), return_inverse=True)
-            code = code.reshape(-1)
-            at = np.searchsorted(known, pairs)
-            found = np.zeros(len(pairs), bool)
-            inside = at < len(known)
-            found[inside] = known[at[inside]] == pairs[inside]
-            value, top = np.zeros((2, len(pairs)), np.int64)
-            value[found], top[found] = count[at[found]], best[at[found]]
-            bound = np.append(0, np.searchsorted(ends, stops, "right"))
-            groups = np.diff(np.append(0, np.searchsorted(cuts, stops, "right")))
-            n_a = np.array([len(x) for x, _ in encoded], np.int64)
-            n_b = np.array([len(y) for _, y in encoded], np.int64)
-            shown = written_order(tokens, cuts, len(made.bytes_a))
+            pairs, codes = by_frequency(made.pair(tokens.a[a], tokens.b[b]))
+            # A document has many links of one pair; it holds the pair once.
+            once = np.unique(np.searchsorted(stops, ends) * len(pairs) + codes) % max(len(pairs), 1)
+            n_a = [len(x) for x, _ in encoded]
+            n_b = [len(y) for _, y in encoded]
+            shown = written_order(tokens, cuts, len(made.bytes_a)).tolist()
             shas, start = [], 0
-            for size in (n_a + n_b).tolist():
-                text = b"".join(map(made.written.__getitem__, shown[start : start + size].tolist()))
+            for size in map(sum, zip(n_a, n_b)):
+                text = b"".join(map(made.written.__getitem__, shown[start : start + size]))
                 shas.append(hashlib.sha256(text[:-1]).hexdigest() if size else "")
                 start += size
-            open_ = np.flatnonzero(~found[code])
-            doc = np.searchsorted(bound, open_, "right") - 1
-            key, times = np.unique(doc * len(pairs) + code[open_], return_counts=True)
-            doc = key // max(len(pairs), 1)
-            rest = np.searchsorted(doc, np.arange(len(texts) + 1)).astype(np.int32)
-            left = pa.StructArray.from_arrays(
-                [pa.array(pairs[key - doc * len(pairs)]), pa.array(times)], names=["pair", "times"]
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column("doc_id"),
-                    *map(pa.array, (n_a, n_b, groups, np.diff(bound))),
-                    pa.array(sums(top[code], bound)),
-                    pa.array(sums(value[code], bound)),
-                    pa.array(shas, pa.string()),
-                    pa.ListArray.from_arrays(pa.array(rest), left),
-                ],
-                names=["doc_id", *_MADE, "rest"],
+            counts = (
+                n_a,
+                n_b,
+                np.diff(np.append(0, np.searchsorted(cuts, stops, "right"))),
+                np.diff(np.append(0, np.searchsorted(ends, stops, "right"))),
             )
-
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {ids}, {_DOC}, rest array<struct<pair long, times long>>"
-    )
+            columns = {"docs": rows.column("doc_id"), "groups_sha256": pa.array(shas, pa.string())}
+            columns |= {c: pa.array(x, pa.int64()) for c, x in zip(_KEPT, counts)}
+            columns |= {"pairs": pa.array(pairs), "holders": pa.array(np.bincount(once, minlength=len(pairs)))}
+            lists = {c: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for c, x in columns.items()}
+            yield pa.RecordBatch.from_pydict({"codes": pa.array([packed(codes)], pa.binary()), **lists})
+
+    numbers = ", ".join(f"{c} array<long>" for c in (*_KEPT, "pairs", "holders"))
+    schema = f"codes binary, docs array<{id_type(docs)}>, groups_sha256 array<string>, {numbers}"
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def _counted(left: pa.Table, right: pa.Table) -> pa.Table:
+    """A row per document of a block, from the block and its pairs' counts."""
+    block = left.combine_chunks().to_batches()[0]
+    lists = {c: block.column(c)[0].values for c in ("docs", "groups_sha256", *_KEPT)}
+    bounds = np.append(0, np.cumsum(lists["n_links"].to_numpy()))
+    codes = unpacked(block.column("codes")[0].as_py(), int(bounds[-1]))
+    at = right.column("at").to_numpy()
+    n, best = np.zeros((2, int(codes.max(initial=0)) + 1), np.int64)
+    n[at], best[at] = right.column("n").to_numpy(), right.column("best").to_numpy()
+    sums_ = {"n_best": pa.array(sums(best[codes], bounds)), "count_sum": pa.array(sums(n[codes], bounds))}
+    lists["doc_id"] = lists.pop("docs")
+    return pa.table({c: (lists | sums_)[c] for c in ("doc_id", *_MADE)})
 
 
 # -- long texts -----------------------------------------------------------------------
@@ -470,7 +438,7 @@ def _hashes(parts: DataFrame, files) -> DataFrame:
 
 
 def _long(docs: DataFrame, files, size: int) -> tuple[DataFrame, DataFrame]:
-    """(rows, links): a row per long text without counts, and its (row, pair, times)."""
+    """(rows, links): a row per long text without its pairs' counts, and (row, pair, times)."""
     ranges = materialize(_ranges(docs, files, size), "ranges")
     most = ranges.agg(F.max("ranges")).first()[0] or 1
     level = materialize(_fragments(ranges, files), "fragments")
@@ -493,20 +461,17 @@ def _long(docs: DataFrame, files, size: int) -> tuple[DataFrame, DataFrame]:
     rows = (
         sizes.join(groups, "row").join(total, "row", "left").join(_hashes(parts, files), "row", "left")
         .select(
-            (-1 - F.col("row")).alias("row"), "doc_id", "n_a", "n_b", "n_groups",
-            F.coalesce("n_links", none).alias("n_links"), none.alias("n_best"), none.alias("count_sum"),
+            "row", "doc_id", "n_a", "n_b", "n_groups", F.coalesce("n_links", none).alias("n_links"),
             F.coalesce("groups_sha256", F.lit("")).alias("groups_sha256"),
         )
     )
-    return rows, linked.withColumn("row", -1 - F.col("row"))
+    return rows, linked
 
 
 # -- all texts ------------------------------------------------------------------------
 
 
-def align(
-    docs: DataFrame, vocabularies: str = VOCABULARIES, size: int = RANGE, frequent: int = FREQUENT
-) -> DataFrame:
+def align(docs: DataFrame, vocabularies: str = VOCABULARIES, size: int = RANGE) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256), a row per row.
 
     `docs` has doc_id and text. Null and empty texts, and texts that a tokenizer's
@@ -518,12 +483,13 @@ def align(
     contents = read_files(vocabularies)
     files = spark.sparkContext.broadcast(contents)
     n_b = len(sentencepiece.SentencePieceProcessor(model_proto=contents.b))
-    short = _short(docs, size)
+    short = docs.filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= size)
+    blocks = stored(_blocks(short, files), "blocks")
     long_rows, long_links = _long(docs.filter(F.octet_length("text") > size), files, size)
     counts = materialize(
-        _whole_pairs(short, files)
+        listed(blocks, "pairs", "holders").select(F.col("pairs").alias("pair"), "holders")
         .unionAll(long_links.select("pair", F.lit(1).cast("long")))
-        .groupBy("pair").agg(F.sum("n").alias("n")),
+        .groupBy("pair").agg(F.sum("holders").alias("n")),
         "pairs",
     )
     of_a = F.floor(F.col("pair") / F.lit(n_b)).alias("a")
@@ -531,30 +497,18 @@ def align(
     highest = counts.groupBy(of_a).agg(F.max("n").alias("highest"))
     values = materialize(
         counts.withColumn("a", of_a).join(F.broadcast(highest), "a")
-        .select("pair", "n", (F.col("n") == F.col("highest")).alias("best")),
+        .select("pair", "n", (F.col("n") == F.col("highest")).cast("long").alias("best")),
         "pairs",
     )
-    top = values.orderBy(F.desc("n"), "pair").limit(frequent).toArrow().sort_by("pair")
-    shared = spark.sparkContext.broadcast(
-        tuple(top.column(c).to_numpy() for c in ("pair", "n", "best"))
+    rows = looked_up(
+        blocks.drop("holders"), "pairs", values, "pair", _counted, f"doc_id {id_type(docs)}, {_DOC}"
     )
-    rows = materialize(
-        _whole_rows(short, files, shared).withColumn("row", F.monotonically_increasing_id()),
-        "aligned",
+    settled = long_links.join(values, "pair").groupBy("row").agg(
+        F.sum(F.col("times") * F.col("best")).alias("n_best"),
+        F.sum(F.col("times") * F.col("n")).alias("count_sum"),
     )
-    rest = rows.select("row", F.explode("rest").alias("l")).select("row", "l.pair", "l.times")
-    settled = (
-        rest.unionAll(long_links.select("row", "pair", "times")).join(values, "pair").groupBy("row")
-        .agg(
-            F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("_best"),
-            F.sum(F.col("times") * F.col("n")).alias("_sum"),
-        )
-    )
-    names = ["row", "doc_id", *_MADE]
-    every = rows.select(*names).unionAll(long_rows.select(*names)).join(settled, "row", "left")
-    return every.select(
-        "doc_id", "n_a", "n_b", "n_groups", "n_links",
-        (F.col("n_best") + F.coalesce("_best", F.lit(0))).alias("n_best"),
-        (F.col("count_sum") + F.coalesce("_sum", F.lit(0))).alias("count_sum"),
-        "groups_sha256",
-    )
+    none = F.lit(0).cast("long")
+    long_rows = long_rows.join(settled, "row", "left").withColumns(
+        {c: F.coalesce(c, none) for c in ("n_best", "count_sum")}
+    )
+    return rows.unionByName(long_rows.select("doc_id", *_MADE))
