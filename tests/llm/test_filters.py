@@ -64,7 +64,20 @@ def test_quality_of_odd_rows(make_docs, odd_rows, make_labels):
 def test_all_good_documents_are_trusted(spark):
     docs = spark.range(20_100).selectExpr("id as doc_id", "'a b' as text")
     labels = docs.selectExpr("doc_id", "1 as quality", "0 as toxic")
-    assert quality.trusted_docs(docs, labels).count() == 20_100
+    counts = quality.ngram_counts(docs, labels).agg({"raw": "sum", "trusted": "sum"}).first()
+    assert sorted(counts) == [3 * 20_100] * 2
+
+
+def test_texts_move_as_codes_with_one_plan(spark, make_docs, make_labels):
+    docs, labels = make_docs([(1, "a b c")]), make_labels([(1, 1, 0)])
+    plans = []
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        plans.append(quality.ngram_counts(docs, labels)._jdf.queryExecution().sparkPlan().toString())
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all("SortMergeJoin" in plan and "Broadcast" not in plan for plan in plans)
+    joined = plans[0].split("SortMergeJoin")[1]
+    assert "codes" in joined and "text" not in joined.split("MapInArrow")[0]
 
 
 def test_quality_without_labels_or_rows(make_docs, make_labels):

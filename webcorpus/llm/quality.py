@@ -92,38 +92,68 @@ def ngram_buckets(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, n
     return one, two
 
 
-def ngram_counts(docs: DataFrame) -> DataFrame:
-    """(bucket, n) over all texts; each task sends every bucket at most once."""
+def coded(docs: DataFrame) -> DataFrame:
+    """(doc_id, n, codes): each text's words as 2-byte buckets, compressed.
+
+    The bucket of a word pair follows from those of its words, so this is all
+    that the counts need of a text, and far less to move.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordHashes(4)
-        counts = np.zeros(2 * BUCKETS, np.int64)
-        for _, texts in chunks(batches):
+        for rows, texts in chunks(batches):
             flat, bounds = flat_words(texts)
-            one, two = ngram_buckets(table.array(flat), bounds)
-            counts += np.bincount(one, minlength=2 * BUCKETS)
-            counts += np.bincount(two[two >= 0], minlength=2 * BUCKETS)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used), pa.array(counts[used])], names=["bucket", "n"]
-        )
+            codes = (table.array(flat) % np.uint64(BUCKETS)).astype(np.uint16)
+            parts = [
+                pa.compress(codes[a:b].tobytes(), codec="zstd", asbytes=True)
+                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc_id"), pa.array(np.diff(bounds)), pa.array(parts, pa.binary())],
+                names=["doc_id", "n", "codes"],
+            )
+
+    source = docs.select("doc_id", "text")
+    return source.mapInArrow(run, f"{ddl([source.schema['doc_id']])}, n long, codes binary")
 
-    parts = docs.select("text").mapInArrow(run, "bucket long, n long")
-    return parts.groupBy("bucket").agg(F.sum("n").alias("n"))
 
+def ngram_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, raw, trusted): n-grams of all texts, and of those labelled good.
 
-def trusted_docs(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """All documents labelled good."""
+    The texts are read once. Their codes meet the labels by one exchange, with
+    the same plan at every size; each task sends every bucket at most once.
+    """
     good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull())
-    return docs.join(good.select("doc_id").distinct(), "doc_id", "left_semi")
+    good = good.select("doc_id", F.lit(True).alias("trusted")).distinct()
+    judged = coded(docs).hint("merge").join(good, "doc_id", "left")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, 2 * BUCKETS), np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n = batch.column("n").to_numpy()
+            raw = b"".join(
+                pa.decompress(data, decompressed_size=2 * size, codec="zstd", asbytes=True)
+                for data, size in zip(batch.column("codes").to_pylist(), n.tolist())
+            )
+            codes = np.frombuffer(raw, np.uint16).astype(np.uint64)
+            one, two = ngram_buckets(codes, np.append(0, np.cumsum(n)))
+            good = np.repeat([bool(x) for x in batch.column("trusted").to_pylist()], n)
+            for total, some in ((counts[0], slice(None)), (counts[1], good)):
+                paired = two[some]
+                total += np.bincount(one[some], minlength=2 * BUCKETS)
+                total += np.bincount(paired[paired >= 0], minlength=2 * BUCKETS)
+        used = np.flatnonzero(counts[0])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used), pa.array(counts[0][used]), pa.array(counts[1][used])],
+            names=["bucket", "raw", "trusted"],
+        )
 
-def _vector(counts: DataFrame) -> np.ndarray:
-    """Counts by bucket; at most 2 * BUCKETS rows reach the driver."""
-    out = np.zeros(2 * BUCKETS, np.int64)
-    rows = counts.toArrow()
-    out[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
-    return out
+    parts = judged.select("n", "codes", "trusted").mapInArrow(
+        run, "bucket long, raw long, trusted long"
+    )
+    return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
 
 
 def log_ratios(trusted: np.ndarray, raw: np.ndarray) -> np.ndarray:
@@ -135,9 +165,14 @@ def log_ratios(trusted: np.ndarray, raw: np.ndarray) -> np.ndarray:
 
 
 def fit_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    """Log ratios by bucket. Without labelled good documents all are zero."""
-    raw = _vector(ngram_counts(docs))
-    trusted = _vector(ngram_counts(trusted_docs(docs, labels)))
+    """Log ratios by bucket. Without labelled good documents all are zero.
+
+    At most 2 * BUCKETS rows reach the driver.
+    """
+    raw, trusted = np.zeros((2, 2 * BUCKETS), np.int64)
+    rows = ngram_counts(docs, labels).toArrow()
+    at = rows.column("bucket").to_numpy()
+    raw[at], trusted[at] = rows.column("raw").to_numpy(), rows.column("trusted").to_numpy()
     return log_ratios(trusted if trusted.any() else raw, raw)
 
 
