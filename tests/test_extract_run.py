@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from webcorpus.config import CrawlConfig
 from webcorpus.functions import markup as M
 from webcorpus.operators import chunks as C
-from webcorpus.operators import extract, links, store
+from webcorpus.operators import extract, keyed, links, store
 from webcorpus.operators.dom import walk
+from webcorpus.plans import corpus
 from webcorpus.plans import fixtures as I
 from webcorpus.plans.corpus import RECORD, CrawlInputs, run_crawl
 from webcorpus.sources import office
@@ -203,7 +204,7 @@ def test_streams_equal_batches(spark, tmp_path):
     chunks = C.emit_chunks(texts, 60, 10)
     path = str(tmp_path / "store")
     for state in ("one", "two"):
-        S.stream_upsert(chunks, path, str(tmp_path / state), record).awaitTermination()
+        S.stream_upsert(chunks, path, str(tmp_path / state)).awaitTermination()
     batch = C.emit_chunks(
         extract.main_text(I.table(spark, SF, "pages"), "column").select("url", "text", F.lit("v1").alias("last_modified")), 60, 10
     )
@@ -226,3 +227,136 @@ def test_whole_prose_stays_without_the_language_filter(spark, route):
     assert prose not in extract.main_text(pages, route).first().text
     whole = extract.main_text(pages, route, drop_language_blocks=False).first().text
     assert prose in whole and whole.endswith("the end")
+
+
+FETCHES = "url string, attempt int, status int, headers map<string,string>, html string, error string"
+
+
+def fetched(spark, pages, version="v1"):
+    rows = [(u, 1, 200, {"last-modified": version}, h, None) for u, h in pages.items()]
+    return spark.createDataFrame(rows, FETCHES).withColumn("fetched_at", F.lit("2024-01-01").cast("timestamp"))
+
+
+def test_runs_that_remember(spark, tmp_path):
+    first = {"https://x.org/": "<body><a href='/p'>p</a>home</body>", "https://x.org/p": "<body>page</body>"}
+    second = first | {"https://x.org/p": "<body><a href='/n'>n</a>changed</body>", "https://x.org/new": "<body><a href='/p'>p</a>new</body>"}
+    seeds = spark.createDataFrame([("https://x.org/",), ("https://x.org/new",)], "seed string")
+    out = str(tmp_path / "out")
+
+    def run(batch, pages, version, **more):
+        config = CrawlConfig(max_depth=2, embedding_token_limit=140, token_overlap=10, **more)
+        result = run_crawl(spark, config, CrawlInputs(fetched(spark, pages, version), seeds=seeds), out, batch)
+        return {r.norm_url for r in result.frontier.collect()}, {r.url: r.content.strip() for r in result.written.collect()}
+
+    assert run(0, first, "v1")[0] == {"https://x.org", "https://x.org/p", "https://x.org/new"}
+    # The next run leaves out what the first visited, also as a target of links.
+    for _ in range(2):
+        walked, written = run(1, second, "v2", skip_visited=True)
+        assert (walked, written) == (set(), {})
+    # Visited again, but chunks that were emitted stay out even when they changed.
+    for _ in range(2):
+        walked, written = run(1, second, "v2", skip_seen=True)
+        assert "https://x.org/n" in walked and written == {"https://x.org/new": "p\nnew"}
+    walked, written = run(2, second, "v3")
+    assert written == {"https://x.org": "p\nhome", "https://x.org/p": "n\nchanged", "https://x.org/new": "p\nnew"}
+
+
+def test_files_that_were_not_received(spark, tmp_path):
+    home = "<body><a href='/a.docx'>a</a><a href='/b.docx'>b</a><a href='/c.xlsx'>c</a><a href='/d.xlsx'>d</a>home</body>"
+    rows = [
+        ("https://x.org/a.docx", bytearray(I.docx_bytes(["one"])), 200, None), ("https://x.org/b.docx", None, 404, None),
+        ("https://x.org/c.xlsx", None, None, "timed out"), ("https://x.org/d.xlsx", bytearray(b"broken"), 200, None),
+        ("https://x.org/never.docx", None, 500, None),
+    ]
+    files = spark.createDataFrame(rows, "url string, content binary, status int, error string").withColumns(
+        {"headers": F.lit(None).cast("map<string,string>"), "fetched_at": F.lit("2024-01-01").cast("timestamp"), "length": F.lit(1)}
+    )
+    config = CrawlConfig(base_urls="https://x.org/", embedding_token_limit=140, token_overlap=10)
+    inputs = CrawlInputs(fetched(spark, {"https://x.org/": home}), files=files)
+    result = run_crawl(spark, config, inputs, str(tmp_path / "out"))
+    assert {r.url for r in result.written.collect()} == {"https://x.org", "https://x.org/a.docx"}
+    failed = {r.url[14:]: r.reason for r in result.failures.collect()}
+    assert failed.pop("d.xlsx").startswith("XLSX parse error: ")
+    assert failed == {"b.docx": "DOCX parse error: HTTP 404", "c.xlsx": "XLSX parse error: timed out"}
+
+
+def test_one_of_many_variants_of_a_url_counts(spark, tmp_path):
+    """A hot normal form: links lose their queries, so the smallest variant counts alone."""
+    pages = {f"https://x.org/list?page={k}": f"<body><a href='/to{k}'>t</a>text {k}</body>" for k in range(300)}
+    pages["https://x.org/"] = "<body><a href='/list?page=7'>l</a>home</body>"
+    config = CrawlConfig(base_urls="https://x.org/", max_depth=2, embedding_token_limit=140, token_overlap=10)
+    result = run_crawl(spark, config, CrawlInputs(fetched(spark, pages)), str(tmp_path / "out"))
+    assert {r.url: r.content.strip() for r in result.written.collect()} == {"https://x.org": "l\nhome", "https://x.org/list": "t\ntext 0"}
+    assert {r.norm_url for r in result.frontier.collect()} == {"https://x.org", "https://x.org/list", "https://x.org/to0"}
+
+
+def test_texts_move_once_before_chunking(spark):
+    schema = "url string, attempt int, last_modified string, text string, hrefs array<string>, panes array<struct<id:string,text:string>>"
+    parsed = spark.createDataFrame([("https://x.org/a", 1, "v", "t", ["#p"], [("p", "pane")])], schema)
+    chosen = spark.createDataFrame([("https://x.org/a", 1, "https://x.org/a", True)], "url string, attempt int, norm_url string, panes_allowed boolean")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        chunks = C.emit_chunks(corpus.html_documents(parsed, chosen, CrawlConfig()), 100, 10)
+        assert chunks.count() == 2
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+        plan = chunks._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 2 and "Window" not in plan  # the texts, and the narrow rows that choose
+
+
+def progress(query):
+    return [p for p in query.recentProgress if p["numInputRows"]]
+
+
+def test_stream_upsert_reads_no_earlier_batch(spark, tmp_path):
+    record = "blob_name string, last_modified string, content string"
+    path, source, state = (str(tmp_path / x) for x in ("store", "in", "state"))
+
+    def arrive(k, rows):
+        spark.createDataFrame(rows, record).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        query = S.stream_upsert(S.ingest(spark, source, record), path, state)
+        query.awaitTermination()
+        return query
+
+    batches = [
+        [("a", "1", "x"), ("b", "1", "x"), ("b", "0", "old")], [("a", "1", "y"), ("b", "2", "y")], [("a", "1", "z"), ("b", "1", "z"), ("c", None, "z")],
+        [("c", None, "w"), ("d", "", "w")], [("d", "", "v"), ("a", "1", "v")],
+    ]
+    written = [{"a", "b"}, {"b"}, {"b", "c"}, {"c", "d"}, {"d"}]
+    for k, rows in enumerate(batches):
+        arrive(k, rows)
+        query = run()  # a new query each time: what is known comes from the checkpoint
+        assert {r.blob_name for r in store.read_batch(spark, path, record, k).collect()} == written[k]
+        (last,) = progress(query)
+        assert last["stateOperators"][0]["numRowsUpdated"] <= len(rows)
+    assert {r.blob_name: r.content for r in store.read_store(spark, path, record).collect()} == {"a": "x", "b": "z", "c": "w", "d": "v"}
+
+
+def test_stream_upsert_onto_an_earlier_store(spark, tmp_path):
+    record = "blob_name string, last_modified string, content string"
+    path, source = str(tmp_path / "store"), str(tmp_path / "in")
+    store.write_batch(spark.createDataFrame([("a", "1", "run"), ("b", "1", "run")], record), path, 0)
+    spark.createDataFrame([("a", "1", "x"), ("b", "2", "x"), ("c", "1", "x")], record).write.parquet(source)
+    S.stream_upsert(S.ingest(spark, source, record), path, str(tmp_path / "state"), first=1).awaitTermination()
+    assert {r.blob_name: r.content for r in store.read_store(spark, path, record).collect()} == {"a": "run", "b": "x", "c": "x"}
+
+
+def test_stream_distinct_with_bounded_state(spark, tmp_path):
+    """Fifty batches an hour apart: state stays small, and late repeats are known."""
+    schema, n = "k string, arrived timestamp", 50
+    source = tmp_path / "in"
+    for hour in range(n):
+        keys = [f"new{hour}-{j}" for j in range(4)] + ["often", f"new{hour // 2}-1", f"new{max(0, hour - 30)}-2", "often"]
+        rows = spark.createDataFrame([(k,) for k in keys], "k string").withColumn("arrived", F.timestamp_seconds(F.lit((hour + 500_000) * 3600)))
+        rows.coalesce(1).write.parquet(str(source / f"h{hour:02}"))
+    stream = S.ingest(spark, str(source / "*"), schema, max_files=1)
+    query = S.stream_distinct(stream, ["k"], str(tmp_path / "out"), str(tmp_path / "state"), "arrived", "2 hours")
+    query.awaitTermination()
+    sizes = [p["stateOperators"][0]["numRowsTotal"] for p in progress(query)]
+    assert len(sizes) >= 45 and max(sizes[10:]) <= 30
+    table = keyed.read_batches(spark, str(tmp_path / "out"), schema, ["k"])
+    found = [r.k for r in table.collect()]
+    assert sorted(found) == sorted({"often"} | {f"new{h}-{j}" for h in range(n) for j in range(4)})

@@ -1,8 +1,11 @@
+import random
+from collections import deque
+
 import pytest
 from pyspark.sql import functions as F
 
 from webcorpus.operators import chunks as C
-from webcorpus.operators import fetch, frontier, report, store
+from webcorpus.operators import fetch, frontier, keyed, report, store
 from webcorpus.operators.embed import embed, embed_guard
 from webcorpus.session import bucketed
 from webcorpus.sources.sitemaps import sitemap_locs
@@ -16,11 +19,11 @@ def _links(spark, edges):
     return spark.createDataFrame(rows, "src_norm string, dst_url string, dst_norm string")
 
 
-@pytest.mark.parametrize("hot_degree", [100, 1])
-def test_walk_depth_is_minimal(spark, hot_degree):
+@pytest.mark.parametrize("ranked", [False, True])
+def test_walk_depth_is_minimal(spark, ranked):
     edges = [("a", "b"), ("a", "c"), ("b", "d"), ("c", "d"), ("d", "a"), ("d", "e"), ("e", "f"), ("s", "z"), ("b", "s")]
     seeds = spark.createDataFrame([("http://www.x/a/?q",), ("https://x/a",)], "url string")
-    walked = frontier.crawl_frontier(seeds, _links(spark, edges), 2, ["/s$"], hot_degree=hot_degree)
+    walked = frontier.crawl_frontier(seeds, _links(spark, edges), 2, ["/s$"], ranked=ranked)
     got = {r.norm_url[10:]: (r.depth, r.processed) for r in walked.collect()}
     assert got == {"a": (0, True), "b": (1, True), "c": (1, True), "d": (2, True), "s": (2, False), "e": (3, False)}
     pages = spark.createDataFrame([("https://x/a",), ("https://x/d/",)], "url string")
@@ -72,23 +75,82 @@ def test_sitemap_or_seed(spark):
     assert got == [("https://a/", "https://a/1", True), ("https://a/", "https://a/2", True), ("https://b", "https://b", False)]
 
 
-def test_levels_do_not_move_the_links(spark):
+def queue_walk(seeds, pages, max_depth):
+    """The walk as a queue that takes one page after the other."""
+    known, queue, out = set(), deque(), []
+    for url in seeds:
+        if url not in known:
+            known.add(url)
+            queue.append((url, 0))
+    while queue:
+        url, depth = queue.popleft()
+        out.append((url, depth))
+        if depth <= max_depth:
+            for target in pages.get(url, []):
+                if target not in known:
+                    known.add(target)
+                    queue.append((target, depth + 1))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rank_is_the_place_in_the_queue(spark, seed):
+    rng = random.Random(seed)
+    pages = {f"https://x/{k}": [f"https://x/{rng.randrange(60)}" for _ in range(rng.randrange(6))] for k in range(60)}
+    rows = [(page, target, target, page, pos) for page, targets in pages.items() for pos, target in enumerate(targets)]
+    links = spark.createDataFrame(rows, "src_norm string, dst_url string, dst_norm string, src_url string, pos int")
+    starts = ["https://x/9", "https://x/3", "https://x/9", "https://x/41"]
+    seeds = spark.createDataFrame(list(enumerate(starts)), "pos int, url string")
+    walked = frontier.crawl_frontier(seeds, links.repartition(5), 3, ranked=True)
+    got = [(r.norm_url, r.depth, r["rank"]) for r in frontier.ordered(walked).collect()]
+    assert got == [(url, depth, k) for k, (url, depth) in enumerate(queue_walk(starts, pages, 3))]
+
+
+def test_one_page_counts_for_a_normalised_url(spark):
+    rows = [
+        ("https://x/a", "https://x/a?1", "https://x/one"), ("https://x/a", "https://x/a?2", "https://x/two"),
+        ("https://x/b", "https://x/b?1", "https://x/three"), ("https://x/b", "https://x/b?2", "https://x/four"),
+    ]
+    links = spark.createDataFrame([(n, u, t, t) for n, u, t in rows], "src_norm string, src_url string, dst_url string, dst_norm string")
+    seeds = spark.createDataFrame([("https://x/a?2",), ("https://x/b",)], "url string")
+    walked = frontier.crawl_frontier(seeds, links, 1).filter("depth = 1").collect()
+    assert {r.norm_url for r in walked} == {"https://x/two", "https://x/three"}
+
+
+def plan_of(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    return df._jdf.queryExecution().explainString(mode).splitlines()
+
+
+def below(lines, at):
+    """Operators of the right branch that ends in line `at`, up to the join above."""
+    up = list(reversed(lines[:at]))
+    branch = up[: next(k for k, line in enumerate(up) if "Join" in line)]
+    return [line for line in branch if ":" not in line.split("- ")[0]]
+
+
+def test_levels_move_neither_links_nor_earlier_levels(spark, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        links = _links(spark, [(str(i), str(j)) for i in range(50) for j in range(5)])
-        hot = frontier._hot_pages(links, 100)
-        level = links.select(F.col("src_norm").alias("norm_url")).distinct()
-        with bucketed(frontier.salt_links(links, hot), ("src_norm", "salt"), "t", 4) as table:
-            reached = frontier.expand(frontier.salt_level(level, hot), table)
+        pages = frontier.adjacency(_links(spark, [(str(i), str(j)) for i in range(50) for j in range(5)]))
+        level = pages.select(F.col("src_norm").alias("norm_url"), F.col("src_norm").alias("url"), F.lit(1).alias("rank"))
+        path = str(tmp_path / "known")
+        for depth in (0, 1):
+            rows = level.select("norm_url", "url", F.lit(depth).alias("depth"), F.lit(True).alias("processed"), F.lit(0).cast("long").alias("rank"))
+            keyed.write_batch(rows, path, depth, ["norm_url"], 4)
+        known = keyed.read_batches(spark, path, frontier._VISITED, ["norm_url"])
+        with bucketed(pages, ("src_norm",), "t", 4) as table:
+            reached = frontier.expand(known.filter("batch = 1"), table)
             assert reached.count() == 250
-            mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
-            plan = reached._jdf.queryExecution().explainString(mode)
+            lines = plan_of(reached)
+            assert not any("Exchange" in line for line in lines)
+        left = frontier.drop_visited(level.repartition(4, "norm_url"), known)
+        assert left.count() == 0
+        lines = plan_of(left)
+        at = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+        assert not any("Exchange" in line for line in below(lines, at))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    lines = plan.splitlines()
-    at = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
-    above = [line.split("+- ")[-1].split()[0].lstrip("*") for line in lines[at - 2 : at]]
-    assert not any("Exchange" in line for line in lines[at - 2 : at]), above
 
 
 SCHEMA = "blob_name string, last_modified string, content string"
@@ -116,6 +178,7 @@ def test_stored_batches(spark, tmp_path):
     store.write_batch(spark.createDataFrame([("a", "1", "x"), ("b", "1", "x")], SCHEMA), path, 0)
     for content in ("y", "z"):
         store.write_batch(spark.createDataFrame([("b", "2", content)], SCHEMA), path, 1)
+    assert [tuple(r) for r in store.read_index(spark, path).orderBy("blob_name").collect()] == [("a", "1", 0), ("b", "2", 1)]
     current = {r.blob_name: r.content for r in store.read_store(spark, path, SCHEMA).collect()}
     assert current == {"a": "x", "b": "z"}
     assert {r.content for r in store.read_store(spark, path, SCHEMA, before=1).collect()} == {"x"}
@@ -127,6 +190,56 @@ def test_stored_batches(spark, tmp_path):
     assert store.read_store(spark, str(tmp_path / "compact"), SCHEMA).count() == 2
 
 
+def test_changed_rows_of_a_batch(spark, tmp_path):
+    path = str(tmp_path / "store")
+    store.write_batch(spark.createDataFrame([("a", "1", "x"), ("b", "1", "x"), ("d", "", "x")], SCHEMA), path, 0)
+    rows = [("a", "1", "new"), ("b", "0", "old"), ("b", "2", "y"), ("b", "2", "y"), ("c", "1", "z"), ("c", None, "w"), ("d", "", "v")]
+    for _ in range(2):
+        fresh = store.changed_rows(spark.createDataFrame(rows, SCHEMA).repartition(3), path, 1, "last_modified")
+        assert sorted(tuple(r) for r in fresh.collect()) == [("b", "2", "y"), ("c", "1", "z"), ("d", "", "v")]
+        store.write_batch(fresh, path, 1)
+    again = store.changed_rows(spark.createDataFrame(rows, SCHEMA), path, 2, "last_modified")
+    assert [r.blob_name for r in again.collect()] == ["d"]
+    same = [store.changed_rows(spark.createDataFrame([("e", "1", c) for c in "xyz"], SCHEMA).repartition(n), path, 2, "last_modified").first() for n in (1, 3)]
+    assert same[0] == same[1]
+
+
+def test_many_batches_cost_one_pass_over_the_index(spark, tmp_path):
+    path, n = str(tmp_path / "store"), 20
+    for batch in range(n):
+        rows = [(f"k{(batch + j) % 7}", f"v{batch}", "text") for j in range(3)]
+        store.write_batch(spark.createDataFrame(rows, SCHEMA), path, batch, compact_every=4)
+    expected = {}
+    for batch in range(n):
+        expected |= {f"k{(batch + j) % 7}": f"v{batch}" for j in range(3)}
+    assert {r.blob_name: r.last_modified for r in store.read_store(spark, path, SCHEMA).collect()} == expected
+    # Since the last whole batch, the rows read are the keys and a few batches' changes.
+    assert store._index_batches(spark, path, None).count() <= 7 + 4 * 3
+    # An earlier state is still there.
+    assert {r.last_modified for r in store.read_index(spark, path, before=1).collect()} == {"v0"}
+    # A repeat of an old batch and the ones after it gives the same.
+    for batch in range(12, n):
+        rows = [(f"k{(batch + j) % 7}", f"v{batch}", "text") for j in range(3)]
+        store.write_batch(spark.createDataFrame(rows, SCHEMA), path, batch, compact_every=4)
+    assert {r.blob_name: r.last_modified for r in store.read_index(spark, path).collect()} == expected
+
+
+def test_the_index_is_not_exchanged(spark, tmp_path):
+    path = str(tmp_path / "store")
+    for batch in range(3):
+        store.write_batch(spark.createDataFrame([(f"k{j}", f"v{batch}", "x" * 50) for j in range(40)], SCHEMA), path, batch)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        count = keyed.bucket_count(spark, f"{path}/index")
+        incoming = spark.createDataFrame([("k1", "v9", "y")], SCHEMA).repartition(count, "blob_name")
+        lines = plan_of(store.upsert_actions(incoming, store.read_index(spark, path)))
+        at = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+        assert not any("Exchange" in line for line in below(lines, at))
+        assert "content" not in lines[at]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_seen(spark, tmp_path):
     assert read_seen(spark, str(tmp_path / "none")).count() == 0
     (tmp_path / "docs.json").write_text('[{"url": "u"}, {"url": "u", "chunk_index": 2}, {"url": "u", "chunk_index": 1}]')

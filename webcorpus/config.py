@@ -41,6 +41,9 @@ class CrawlConfig:
     token_overlap: int = 300
     retry_count: int | None = None
     user_agent: str = DEFAULT_USER_AGENT
+    # Leave out what earlier runs into the same folder visited, or emitted.
+    skip_visited: bool = False
+    skip_seen: bool = False
 
     @property
     def window_size(self) -> int:

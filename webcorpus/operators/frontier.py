@@ -1,8 +1,8 @@
 """Graph traversal: the depth-limited crawl frontier and sitemap expansion.
 
 The driver only counts levels. Each level is a join, a pre-aggregated
-de-duplication and an anti-join, written to the shared folder so that a lost
-executor re-reads files and the lineage does not grow.
+de-duplication and an anti-join, written to the shared folder as a batch of the
+visited URLs, so that a lost executor re-reads files and the lineage does not grow.
 """
 
 from __future__ import annotations
@@ -13,16 +13,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webcorpus.functions.urls import normalize_url
+from webcorpus.operators import keyed
+from webcorpus.operators.ordered import positions
 from webcorpus.operators.policy import robots_allowed, should_skip
-from webcorpus.session import bucketed, materialize
+from webcorpus.operators.rows import exploded
+from webcorpus.session import bucketed, materialize, new_folder
 
-# Links of one page beyond which the page is spread over several partitions.
-HOT_DEGREE = 100_000
+# Links in one bucket of the link table, on average.
+LINKS_PER_BUCKET = 2_000_000
 
+# A visited URL; the batch of its row is its depth.
+_VISITED = "norm_url string, url string, depth int, processed boolean, rank long"
 
-def distinct_targets(candidates: DataFrame, norm: str, url: str) -> DataFrame:
-    """One row per normalised URL with the smallest raw URL that leads to it."""
-    return candidates.groupBy(F.col(norm).alias("norm_url")).agg(F.min(url).alias("url"))
+
+def distinct_targets(candidates: DataFrame, norm: str, url: str, order: str | None = None) -> DataFrame:
+    """One row per normalised URL, with the raw URL that leads to it.
+
+    That is the smallest, or with `order` the one that was found first, whose
+    place is kept as `found`.
+    """
+    if order is None:
+        return candidates.groupBy(F.col(norm).alias("norm_url")).agg(F.min(url).alias("url"))
+    return candidates.groupBy(F.col(norm).alias("norm_url")).agg(
+        F.min_by(url, F.struct(order, url)).alias("url"), F.min(order).alias("found")
+    )
 
 
 def drop_visited(candidates: DataFrame, visited: DataFrame) -> DataFrame:
@@ -30,12 +44,24 @@ def drop_visited(candidates: DataFrame, visited: DataFrame) -> DataFrame:
     return candidates.join(visited.select("norm_url"), "norm_url", "left_anti")
 
 
-def expand(level: DataFrame, adjacency: DataFrame) -> DataFrame:
-    """(dst_norm, dst_url) that the pages of a level link to.
+def expand(level: DataFrame, pages: DataFrame) -> DataFrame:
+    """(dst_norm, dst_url, found) that the pages of a level link to.
 
-    `level` and `adjacency` carry `src_norm` and `salt`.
+    `level` has (norm_url, url, rank); `pages` has (src_norm, src_url, links), a
+    row per page. Of several pages with one normalised URL the one that was
+    walked counts, else the smallest. `found` is the place of the link in the
+    walk: the rank of its page, and its position there.
     """
-    return level.join(adjacency, ["src_norm", "salt"]).select("dst_norm", "dst_url")
+    other = F.col("src_url") != F.col("url")
+    linked = (
+        level.select("norm_url", "url", "rank")
+        .join(pages, F.col("norm_url") == F.col("src_norm"))
+        .groupBy("norm_url")
+        .agg(F.first("rank").alias("rank"), F.min_by("links", F.struct(other, "src_url")).alias("links"))
+    )
+    return exploded(linked, ["rank"], F.col("links"), "_link").select(
+        "_link.dst_norm", "_link.dst_url", F.struct("rank", F.col("_link.pos")).alias("found")
+    )
 
 
 def minus(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -43,34 +69,27 @@ def minus(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return left.join(right.select(*keys), list(keys), "left_anti")
 
 
-def _hot_pages(links: DataFrame, hot_degree: int) -> DataFrame:
-    """(src_norm, salts) of the pages with more links than one partition should hold."""
-    return (
-        links.groupBy("src_norm")
-        .agg(F.count(F.lit(1)).alias("_degree"))
-        .filter(F.col("_degree") > hot_degree)
-        .select(
-            "src_norm", F.ceil(F.col("_degree") / F.lit(hot_degree)).cast("int").alias("salts")
-        )
-    )
-
+def adjacency(links: DataFrame) -> DataFrame:
+    """(src_norm, src_url, links): the links of each page as one array, in order.
 
-def salt_links(links: DataFrame, hot: DataFrame) -> DataFrame:
-    """Spread the links of hot pages over their salts by target."""
-    salt = F.pmod(F.xxhash64("dst_norm"), F.coalesce("salts", F.lit(1))).cast("int")
-    return links.join(hot, "src_norm", "left").select(
-        "src_norm", salt.alias("salt"), "dst_norm", "dst_url"
+    `links` has (src_norm, dst_url, dst_norm) and optionally `src_url` and `pos`,
+    the link's position on its page; without one, links are in order of URL.
+    """
+    position = F.col("pos").cast("long") if "pos" in links.columns else F.lit(0).cast("long")
+    source = "src_url" if "src_url" in links.columns else "src_norm"
+    target = F.struct(position.alias("pos"), "dst_url", "dst_norm")
+    return (
+        links.groupBy("src_norm", F.col(source).alias("_url"))
+        .agg(F.array_sort(F.collect_list(target)).alias("links"))
+        .select("src_norm", F.col("_url").alias("src_url"), "links")
     )
 
 
-def salt_level(level: DataFrame, hot: DataFrame) -> DataFrame:
-    """Repeat each hot page of a level once per salt."""
-    salts = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
-    return (
-        level.select(F.col("norm_url").alias("src_norm"))
-        .join(hot, "src_norm", "left")
-        .select("src_norm", F.explode(salts).alias("salt"))
-    )
+def _bucket_count(pages: DataFrame) -> int:
+    """Buckets for a link table of any size."""
+    found = pages.agg(F.sum(F.size("links"))).first()[0] or 0
+    least = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-found // LINKS_PER_BUCKET))
 
 
 def crawl_frontier(
@@ -80,38 +99,55 @@ def crawl_frontier(
     skip_patterns: Sequence[str] = (),
     policies: DataFrame | None = None,
     visited: DataFrame | None = None,
-    hot_degree: int = HOT_DEGREE,
+    ranked: bool = False,
 ) -> DataFrame:
-    """Breadth-first walk: (norm_url, url, depth, processed).
+    """Breadth-first walk: (norm_url, url, depth, processed), with `rank` if asked for.
+
+    `seeds` has `url` and optionally `pos`; `links` is already filtered and has a
+    row per link or, as `adjacency` gives it, per page. Every normalised URL
+    appears once, at its smallest depth. URLs at depth `max_depth` + 1 and URLs
+    that policy rejects are visited but not processed. `visited` holds URLs
+    (norm_url) of earlier runs. `rank` is the place in the queue of a walk that
+    takes pages one by one and follows their links in order.
 
-    `seeds` has `url`; `links` has (src_norm, dst_url, dst_norm), already
-    filtered. Every normalised URL appears once, at its smallest depth. URLs
-    at depth `max_depth` + 1 and URLs that policy rejects are visited but not
-    processed. `visited` holds URLs (norm_url) of earlier runs.
+    Links and visited URLs are bucketed alike. A level's candidates move to them;
+    neither links nor earlier levels move again.
     """
-    links = materialize(links.select("src_norm", "dst_norm", "dst_url"), "links")
-    hot = materialize(_hot_pages(links, hot_degree), "hot-pages")
-    candidates = distinct_targets(
-        seeds.select("url", normalize_url("url").alias("_norm")), "_norm", "url"
+    spark = seeds.sparkSession
+    pages = materialize(links if "links" in links.columns else adjacency(links), "links")
+    count = _bucket_count(pages)
+    known = new_folder(spark, "visited")
+    place = F.col("pos") if "pos" in seeds.columns else F.lit(0)
+    seed = F.struct(F.lit(0).cast("long").alias("rank"), place.cast("long").alias("pos"))
+    reached = seeds.select(
+        normalize_url("url").alias("dst_norm"), F.col("url").alias("dst_url"), seed.alias("found")
     )
-    known = [] if visited is None else [visited.select("norm_url")]
-    levels: list[DataFrame] = []
-    # The links move once, into buckets by page; no level moves them again.
-    with bucketed(salt_links(links, hot), ("src_norm", "salt"), "adjacency") as adjacency:
+    total = 0
+    with bucketed(pages, ("src_norm",), "adjacency", count) as table:
         for depth in range(max_depth + 2):
-            if known:
-                candidates = drop_visited(candidates, _union(known))
-            level = materialize(
-                _admit(candidates, depth, max_depth, skip_patterns, policies),
-                f"level-{depth}",
-            )
-            if depth and level.isEmpty():
+            candidates = distinct_targets(reached, "dst_norm", "dst_url", "found" if ranked else None)
+            candidates = candidates.repartition(count, "norm_url")
+            if depth:
+                candidates = drop_visited(
+                    candidates, keyed.read_batches(spark, known, _VISITED, ["norm_url"])
+                )
+            if visited is not None:
+                candidates = drop_visited(candidates, visited)
+            level = _admit(candidates, depth, max_depth, skip_patterns, policies)
+            if ranked:
+                level = positions(level, ["found", "url"], "rank", total)
+            else:
+                level = level.withColumn("rank", F.lit(None).cast("long"))
+            names = ["norm_url", "url", "depth", "processed", "rank"]
+            keyed.write_batch(level.select(*names), known, depth, ["norm_url"], count)
+            walked = keyed.read_batches(spark, known, _VISITED, ["norm_url"])
+            level = walked.filter(F.col("batch") == depth)
+            size = level.count()
+            total += size
+            if not size:
                 break
-            levels.append(level)
-            known.append(level.select("norm_url"))
-            reached = expand(salt_level(level.filter("processed"), hot), adjacency)
-            candidates = distinct_targets(reached, "dst_norm", "dst_url")
-    return _union(levels)
+            reached = expand(level.filter("processed"), table)
+    return walked.drop("batch") if ranked else walked.drop("batch", "rank")
 
 
 def _admit(
@@ -126,7 +162,9 @@ def _admit(
         candidates = robots_allowed(candidates, "norm_url", policies)
         wanted = wanted & F.col("allowed")
     return candidates.select(
-        "norm_url", "url", F.lit(depth).alias("depth"), wanted.alias("processed")
+        *[c for c in ("norm_url", "url", "found") if c in candidates.columns],
+        F.lit(depth).alias("depth"),
+        wanted.alias("processed"),
     )
 
 
@@ -138,8 +176,8 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def ordered(frontier: DataFrame) -> DataFrame:
-    """Stable listing of a frontier, level by level."""
-    return frontier.orderBy("depth", "norm_url")
+    """Listing of a frontier in queue order if it is ranked, else level by level."""
+    return frontier.orderBy("rank") if "rank" in frontier.columns else frontier.orderBy("depth", "norm_url")
 
 
 def pending(frontier: DataFrame, pages: DataFrame) -> DataFrame:

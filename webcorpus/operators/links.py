@@ -34,21 +34,24 @@ def page_hrefs(pages: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def resolve_links(linked: DataFrame, *keep: str) -> DataFrame:
+def resolve_links(linked: DataFrame, *keep: str, positions: bool = False) -> DataFrame:
     """(src_url, *keep, src_norm, dst_url, dst_norm, fragment), distinct per page.
 
     `linked` has (url, *keep, hrefs). Links are resolved and made distinct
-    inside the row of their page, so nothing is shuffled.
+    inside the row of their page, so nothing is shuffled. With `positions` also
+    `pos`, a link's place on its page.
     """
     source = [F.col("url").alias("src_url"), *keep, normalize_url("url").alias("src_norm")]
     targets = real_links(directory_base("url"), "hrefs")
-    return exploded(linked, source, targets, "dst_url").select(
+    more = ["pos"] if positions else []
+    return exploded(linked, source, targets, "dst_url", *more).select(
         "src_url",
         *keep,
         "src_norm",
         "dst_url",
         normalize_url("dst_url").alias("dst_norm"),
         url_part("dst_url", "fragment").alias("fragment"),
+        *more,
     )
 
 

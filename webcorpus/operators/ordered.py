@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from webcorpus.session import materialize
+
 BLOCK = 4096
 
 
@@ -102,3 +104,21 @@ def carry_forward(
         .withColumn(into, F.coalesce("_seen", "_carried"))
         .drop("_seen", "_carried", "_block")
     )
+
+
+def positions(df: DataFrame, order: Sequence[str], into: str, first: int = 0) -> DataFrame:
+    """Add each row's position in a total order, from `first`, without a sort in one task.
+
+    Rows are sorted in ranges. Where a range begins is the number of rows in the
+    ranges before it, so only one short row per range meets the others.
+    """
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = materialize(ranges.withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sizes.select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_begin")
+    )
+    inside = Window.partitionBy("_range").orderBy(*order)
+    place = F.col("_begin") + F.row_number().over(inside) - 1 + first
+    return ranges.join(begins, "_range").withColumn(into, place.cast("long")).drop("_range", "_begin")

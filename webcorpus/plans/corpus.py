@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webcorpus.config import CrawlConfig
-from webcorpus.functions.text import last_modified, strip, truncate_text
-from webcorpus.functions.urls import directory_base, normalize_url
+from webcorpus.functions.text import last_modified, non_blank, strip, truncate_text
+from webcorpus.functions.urls import directory_base, normalize_url, resolve
 from webcorpus.operators import chunks as C
 from webcorpus.operators import fetch, report, store
 from webcorpus.operators.embed import Embedder, embed
-from webcorpus.operators.extract import fragment_docs_in_row, parse_pages
+from webcorpus.operators.extract import parse_pages
 from webcorpus.operators.frontier import (
+    adjacency,
     crawl_frontier,
     expand_sitemaps,
     sitemap_of,
@@ -23,7 +24,8 @@ from webcorpus.operators.frontier import (
 )
 from webcorpus.operators.links import filter_links, resolve_links
 from webcorpus.operators.ordered import join_pages
-from webcorpus.operators.policy import robots_policies, route
+from webcorpus.operators.policy import allow_domain_semi, robots_policies, route, should_skip
+from webcorpus.operators.rows import exploded
 from webcorpus.session import materialize
 from webcorpus.sinks.files import (
     write_chunks,
@@ -36,7 +38,7 @@ from webcorpus.sources.pages import size_cut
 from webcorpus.sources.robots import robots_rules
 from webcorpus.sources.seeds import allow_domains, seeds_from, spec_table
 from webcorpus.sources.sitemaps import sitemap_locs
-from webcorpus.sources.state import seen_keys
+from webcorpus.sources.state import remember, seen_before, seen_keys, visited_before
 
 RECORD = (
     "id string, url string, title string, chunk_index int, chunk_total int, "
@@ -51,7 +53,8 @@ class CrawlInputs:
     fetches    url, attempt, status, headers, html, error, fetched_at
     robots     base, status, body
     sitemaps   sitemap_url, status, xml
-    files      url, length, content, headers, fetched_at; Word and Excel files
+    files      url, length, content, headers, fetched_at and optionally status, error;
+               Word and Excel files
     pdf_pages  url, page_no, text
     pdf_fetches url, attempt, status, content_type, headers, length, error, fetched_at
     seen       url, chunk_index of chunks never to be emitted again
@@ -112,7 +115,7 @@ def seeds_and_domains(
 
 
 def parsed_fetches(fetches: DataFrame, config: CrawlConfig) -> tuple[DataFrame, DataFrame]:
-    """(outcomes, parsed): the outcome per URL, and text, links and panes per page.
+    """(outcomes, parsed): the outcome per URL, and text, links and panes per attempt.
 
     The markup is read once and goes no further than the task that parses it;
     outcomes and pages are matched on narrow rows.
@@ -120,7 +123,7 @@ def parsed_fetches(fetches: DataFrame, config: CrawlConfig) -> tuple[DataFrame,
     outcomes = materialize(
         fetch.classify(
             fetches.select("url", "attempt", "status", "error"), config.retry_count
-        ),
+        ).withColumn("norm_url", normalize_url("url")),
         "outcomes",
     )
     usable = fetches.filter(
@@ -138,68 +141,95 @@ def parsed_fetches(fetches: DataFrame, config: CrawlConfig) -> tuple[DataFrame,
         ),
         "parsed",
     )
-    good = outcomes.filter("outcome = 'ok'").select("url", "attempt")
-    pages = parsed.join(good, ["url", "attempt"], "left_semi").withColumn(
-        "norm_url", normalize_url("url")
-    )
-    return outcomes, pages
+    return outcomes, parsed
 
 
-def html_documents(
-    pages: DataFrame, processed: DataFrame, config: CrawlConfig, domains: Domains
+def page_links(
+    parsed: DataFrame, outcomes: DataFrame, domains: Domains, skip_patterns: Sequence[str]
 ) -> DataFrame:
-    """(url, text, last_modified) of the pages and of their linked panes.
+    """(src_norm, src_url, links): the crawlable links of every page that was received."""
+    good = outcomes.filter("outcome = 'ok'").select("url", "attempt")
+    received = parsed.select("url", "attempt", "hrefs").join(good, ["url", "attempt"], "left_semi")
+    # `pos` is the first place of a link on its page.
+    resolved = resolve_links(received.select("url", "hrefs"), positions=True)
+    return adjacency(filter_links(resolved, domains, skip_patterns))
+
+
+def chosen_pages(outcomes: DataFrame, processed: DataFrame, domains: Domains) -> DataFrame:
+    """(url, attempt, norm_url, panes_allowed): the attempt that counts per walked URL.
 
-    Of several fetched URLs with one normal form the walked one counts, else
-    the smallest.
+    Of several received URLs with one normal form the walked one counts, else the
+    smallest. All columns are narrow, and every task hands on one row per URL.
     """
-    wanted = processed.filter("kind = 'html'").select(
-        "norm_url", F.col("url").alias("_walked")
-    )
-    choice = Window.partitionBy("norm_url").orderBy(F.col("url") != F.col("_walked"), "url")
-    chosen = (
-        pages.join(wanted, "norm_url")
-        .withColumn("_rank", F.row_number().over(choice))
-        .filter("_rank = 1")
+    received = outcomes.filter("outcome = 'ok'").select("norm_url", "url", "attempt")
+    wanted = processed.filter("kind = 'html'").select("norm_url", F.col("url").alias("_walked"))
+    best = F.min(F.struct(F.col("url") != F.col("_walked"), "url", "attempt")).alias("_best")
+    chosen = received.join(wanted, "norm_url").groupBy("norm_url").agg(best).select(
+        "_best.url", "_best.attempt", "norm_url"
     )
+    chosen = materialize(chosen, "chosen")
+    # A pane has the host of its page.
+    allowed = allow_domain_semi(chosen, "url", domains).select("url", F.lit(True).alias("panes_allowed"))
+    return chosen.join(allowed, "url", "left")
+
+
+def html_documents(parsed: DataFrame, chosen: DataFrame, config: CrawlConfig) -> DataFrame:
+    """(url, text, last_modified) of the chosen pages and of their linked panes.
+
+    Texts move once, to the narrow rows that choose them; page and panes then
+    come out of one row.
+    """
     base = directory_base("url")
-    linked = F.transform(
+    wanted = F.transform(
         F.filter("hrefs", lambda h: strip(h).startswith("#")),
         lambda h: F.substring(strip(h), 2, 2**31 - 1),
     )
-    panes = filter_links(
-        fragment_docs_in_row(chosen, base, linked, "last_modified").withColumnRenamed(
-            "url", "dst_url"
-        ),
-        domains,
-        config.skip_patterns,
-    ).withColumnRenamed("dst_url", "url")
+    hits = F.when(
+        F.col("panes_allowed"), F.filter("panes", lambda p: F.array_contains(wanted, p["id"]))
+    ).otherwise(F.filter("panes", lambda p: F.lit(False)))
+    page = F.struct(F.lit(None).cast("string").alias("id"), F.col("text"))
+    rows = exploded(
+        parsed.join(chosen, ["url", "attempt"]),
+        ["norm_url", base.alias("_base"), "last_modified"],
+        F.concat(F.array(page), hits),
+        "_part",
+    )
+    pane = F.col("_part.id").isNotNull()
+    url = F.when(pane, resolve(F.col("_base"), F.concat(F.lit("#"), "_part.id"))).otherwise(
+        F.col("norm_url")
+    )
+    text = F.col("_part.text")
     limit = config.max_content_chars
-    whole = F.col("text") if limit is None else truncate_text("text", limit)
-    return chosen.select(
-        F.col("norm_url").alias("url"),
-        whole.alias("text"),
-        "last_modified",
-    ).unionByName(panes.select("url", "text", "last_modified"))
+    whole = text if limit is None else F.when(pane, text).otherwise(truncate_text(text, limit))
+    kept = ~pane | (non_blank(text) & ~should_skip(url, config.skip_patterns))
+    return rows.filter(kept).select(url.alias("url"), whole.alias("text"), "last_modified")
 
 
 def file_documents(
     files: DataFrame, processed: DataFrame, config: CrawlConfig
 ) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Documents and failures of the walked Word and Excel files."""
+    """Documents and failures of the walked Word and Excel files.
+
+    Files may have `status` and `error`: one that was not received is a failure.
+    """
     kinds = {"docx": docx_text, "xlsx": xlsx_text}
     keyed = files.withColumn("norm_url", normalize_url("url"))
+    reason = F.lit(None).cast("string")
+    if "status" in files.columns:
+        status = F.col("status")
+        reason = F.when(status >= 400, F.concat(F.lit("HTTP "), status.cast("string")))
+    if "error" in files.columns:
+        reason = F.coalesce(F.col("error"), reason)
     documents, failed = [], []
     for kind, reader in kinds.items():
         if kind not in config.routes:
             continue
         of_kind = F.lower("norm_url").endswith(f".{kind}")
         walked = processed.filter(F.col("kind") == kind).select("norm_url")
+        mine = keyed.filter(of_kind).join(walked, "norm_url", "left_semi")
         decoded = materialize(
             reader(
-                keyed.filter(of_kind)
-                .join(walked, "norm_url", "left_semi")
-                .select(
+                mine.filter(reason.isNull()).select(
                     "url",
                     "norm_url",
                     last_modified("headers", "fetched_at").alias("last_modified"),
@@ -214,6 +244,10 @@ def file_documents(
             )
         )
         failed.append(failures_of(decoded))
+        label = F.lit(f"{kind.upper()} parse error: ")
+        failed.append(
+            mine.filter(reason.isNotNull()).select("url", F.concat(label, reason).alias("reason"))
+        )
     return documents, failed
 
 
@@ -264,38 +298,40 @@ def run_crawl(
     make_embedder: Callable[[], Embedder] | None = None,
     make_codec: Callable[[], C.Codec] | None = None,
 ) -> CrawlResult:
-    """Run one crawl into `out`/store and `out`/logs; a batch may be run again."""
+    """Run one crawl into `out`/store and `out`/logs; a batch may be run again.
+
+    Visited URLs and emitted chunks of every batch stay below `out`/state. With
+    `skip_visited` and `skip_seen` in the settings a run leaves out those of the
+    batches before it, so a repeat of a batch gives the same.
+    """
     seeds, domains = seeds_and_domains(spark, config, inputs.seeds)
-    outcomes, pages = parsed_fetches(inputs.fetches, config)
-    links = filter_links(
-        resolve_links(pages.select("url", "hrefs")),
-        domains,
-        config.skip_patterns,
-    )
+    outcomes, parsed = parsed_fetches(inputs.fetches, config)
+    links = page_links(parsed, outcomes, domains, config.skip_patterns)
     policies = None
     if config.respect_robots and inputs.robots is not None:
         policies = materialize(
             robots_policies(inputs.robots, robots_rules(inputs.robots), config.user_agent),
             "policies",
         )
+    visited = f"{out}/state/visited"
     frontier = crawl_frontier(
         start_urls(seeds, config, inputs.sitemaps),
         links,
         config.max_depth,
         config.skip_patterns,
         policies,
+        visited_before(spark, visited, batch) if config.skip_visited else None,
     )
     processed = frontier.filter("processed").withColumn(
         "kind", route("norm_url", config.routes)
     )
+    chosen = materialize(chosen_pages(outcomes, processed, domains), "chosen")
 
-    documents = [html_documents(pages, processed, config, domains)]
+    documents = [html_documents(parsed, chosen, config)]
     failed = [
-        fetch.failures(outcomes.withColumn("norm_url", normalize_url("url")).join(
-            processed.select("norm_url"), "norm_url", "left_semi"
-        )),
-        pages.filter("parse_error is not null")
-        .join(processed.select("norm_url"), "norm_url", "left_semi")
+        fetch.failures(outcomes.join(processed.select("norm_url"), "norm_url", "left_semi")),
+        parsed.filter("parse_error is not null")
+        .join(chosen, ["url", "attempt"], "left_semi")
         .select("url", F.concat(F.lit("HTML error: "), "parse_error").alias("reason")),
     ]
     if inputs.files is not None:
@@ -318,30 +354,24 @@ def run_crawl(
     )
     if inputs.seen is not None:
         emitted = C.drop_seen(emitted, seen_keys(inputs.seen))
-    # One record per key, so that the outcome does not depend on write order.
-    incoming = fetch.latest_per_key(emitted, store.KEY, "last_modified", "content")
-    current = store.read_store(spark, f"{out}/store", RECORD, before=batch)
-    fresh = C.with_ids(store.changed(store.upsert_actions(incoming, current)))
+    seen = f"{out}/state/seen"
+    if config.skip_seen:
+        emitted = C.drop_seen(emitted, seen_before(spark, seen, batch))
+    incoming = materialize(emitted, "chunks")
+    fresh = C.with_ids(store.changed_rows(incoming, f"{out}/store", batch, "last_modified"))
     if make_embedder is None:
         fresh = fresh.withColumn("embedding", F.lit(None).cast("array<float>"))
     else:
         fresh = embed(fresh, make_embedder, config.embedding_token_limit)
     store.write_batch(fresh, f"{out}/store", batch)
-    written = (
-        spark.read.schema(f"{RECORD}, batch long")
-        .parquet(f"{out}/store")
-        .filter(F.col("batch") == batch)
-        .drop("batch")
-    )
+    written = store.read_batch(spark, f"{out}/store", RECORD, batch)
 
     all_failures = failed[0]
     for more in failed[1:]:
         all_failures = all_failures.unionByName(more)
     all_failures = materialize(all_failures, "failures")
     gone = fetch.not_found_records(
-        outcomes.withColumn("norm_url", normalize_url("url")).join(
-            processed.select("norm_url"), "norm_url", "left_semi"
-        ),
+        outcomes.join(processed.select("norm_url"), "norm_url", "left_semi"),
         config.save_404,
         "norm_url",
     )
@@ -350,6 +380,7 @@ def run_crawl(
     write_failures(all_failures, f"{out}/logs/failed_urls")
     write_emitted_urls(report.emitted_urls(written), f"{out}/logs/sitemap")
     write_emitted_docs(written.drop("blob_name"), f"{out}/logs/docs")
+    remember(frontier, written, visited, seen, batch)
     return CrawlResult(
         frontier, written, all_failures, gone, report.run_summary(frontier, all_failures)
     )

@@ -33,19 +33,25 @@ def document_rows(documents: DataFrame) -> DataFrame:
     )
 
 
-def page_edges(pages: DataFrame) -> DataFrame:
-    """(src_norm, dst_url, dst_norm): page n links to pages 2n+1 and 3n+2 (mod count)."""
+def page_edges(pages: DataFrame, position: str | None = None) -> DataFrame:
+    """(src_norm, dst_url, dst_norm): page n links to pages 2n+1 and 3n+2 (mod count).
+
+    With `position` also the page's URL as src_url and the link's place on it.
+    """
     total = pages.agg(F.count(F.lit(1))).scalar()
     numbered = pages.select("page_id", "url", total.alias("_n"))
-    target = F.explode(
+    target = F.posexplode(
         F.array(
             (F.col("page_id") * 2 + 1) % F.col("_n"), (F.col("page_id") * 3 + 2) % F.col("_n")
         )
-    )
-    wanted = numbered.select(normalize_url("url").alias("src_norm"), target.alias("page_id"))
+    ).alias("_pos", "_target")
+    wanted = numbered.select(
+        normalize_url("url").alias("src_norm"), F.col("url").alias("src_url"), target
+    ).withColumnRenamed("_target", "page_id")
+    more = ["src_url", F.col("_pos").alias(position)] if position else []
     return wanted.join(
         pages.select("page_id", F.col("url").alias("dst_url")), "page_id"
-    ).select("src_norm", "dst_url", normalize_url("dst_url").alias("dst_norm"))
+    ).select("src_norm", "dst_url", normalize_url("dst_url").alias("dst_norm"), *more)
 
 
 def host_seeds(pages: DataFrame) -> DataFrame:

@@ -255,6 +255,40 @@ frontier AS (
          min(depth) <= {DEPTH} AND NOT {skipped("norm_url")} AS processed
   FROM walk GROUP BY norm_url)"""
 
+
+
+def queue_levels() -> str:
+    """CTEs level_0 .. of a walk over the numbered page graph in queue order."""
+    out = f"""
+named AS (SELECT page_id, url, {norm("url")} AS norm_url FROM pages),
+total AS (SELECT count(*) AS n FROM pages),
+level_0 AS (
+  SELECT norm_url, min(url) AS url, 0 AS depth, row_number() OVER (ORDER BY min(url)) - 1 AS rank,
+         NOT {skipped("norm_url")} AS processed
+  FROM (SELECT seed AS url, {norm("seed")} AS norm_url FROM (
+    SELECT min(url) AS seed FROM pages GROUP BY {host("url")})) GROUP BY norm_url)"""
+    known = "SELECT norm_url, rank FROM level_0"
+    for depth in range(1, DEPTH + 2):
+        out += f""",
+chosen_{depth} AS (
+  SELECT rank, page_id FROM level_{depth - 1} AS l JOIN named AS p USING (norm_url) WHERE processed
+  QUALIFY row_number() OVER (PARTITION BY norm_url ORDER BY p.url <> l.url, p.url) = 1),
+found_{depth} AS (
+  SELECT c.rank, 0 AS pos, t.* FROM chosen_{depth} AS c, total, named AS t WHERE t.page_id = (2 * c.page_id + 1) % n
+  UNION ALL
+  SELECT c.rank, 1, t.* FROM chosen_{depth} AS c, total, named AS t WHERE t.page_id = (3 * c.page_id + 2) % n),
+first_{depth} AS (
+  SELECT norm_url, url, rank, pos FROM found_{depth} WHERE norm_url NOT IN (SELECT norm_url FROM ({known}))
+  QUALIFY row_number() OVER (PARTITION BY norm_url ORDER BY rank, pos, url) = 1),
+level_{depth} AS (
+  SELECT norm_url, url, {depth} AS depth,
+    (SELECT count(*) FROM ({known})) + row_number() OVER (ORDER BY rank, pos, url) - 1 AS rank,
+    {depth <= DEPTH} AND NOT {skipped("norm_url")} AS processed
+  FROM first_{depth})"""
+        known += f" UNION ALL SELECT norm_url, rank FROM level_{depth}"
+    return out
+
+
 _ROBOTS = f"""
 robots AS (
   SELECT 'https://' || host AS base,
@@ -388,6 +422,10 @@ ORACLES: dict[str, str] = {
                (row_number() OVER (PARTITION BY page_id ORDER BY i) - 1)::INTEGER AS pos, href AS loc
         FROM f""",
     "bfs_frontier": f"WITH RECURSIVE {_GRAPH} SELECT norm_url, depth, processed FROM frontier",
+    "bfs_order": f"WITH {queue_levels()} "
+    + " UNION ALL ".join(
+        f"SELECT rank, norm_url, url, depth::INTEGER AS depth, processed FROM level_{d}" for d in range(DEPTH + 2)
+    ),
     "bfs_visited_count": f"""
         WITH RECURSIVE {_GRAPH} SELECT depth, processed, count(*) AS urls FROM frontier GROUP BY ALL""",
     "bfs_pending": f"""

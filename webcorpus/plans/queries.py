@@ -11,7 +11,17 @@ from webcorpus.config import CrawlConfig
 from webcorpus.functions import text as X
 from webcorpus.functions import urls as U
 from webcorpus.operators import chunks as C
-from webcorpus.operators import extract, fetch, frontier, links, ordered, policy, report, store
+from webcorpus.operators import (
+    extract,
+    fetch,
+    frontier,
+    keyed,
+    links,
+    ordered,
+    policy,
+    report,
+    store,
+)
 from webcorpus.operators.embed import embed, embed_guard
 from webcorpus.operators.rows import exploded
 from webcorpus.plans import fixtures as I
@@ -297,6 +307,15 @@ def bfs_frontier(spark, sf):
     return _frontier(spark, sf).select("norm_url", "depth", "processed")
 
 
+@query
+def bfs_order(spark, sf):
+    """Queue order of the walk over the numbered page graph."""
+    pages = _pages(spark, sf)
+    seeds = I.host_seeds(pages).select(F.col("seed").alias("url"))
+    walked = frontier.crawl_frontier(seeds, I.page_edges(pages, "pos"), DEPTH, SKIP, ranked=True)
+    return frontier.ordered(walked).select("rank", "norm_url", "url", "depth", "processed")
+
+
 @query
 def bfs_visited_count(spark, sf):
     return _frontier(spark, sf).groupBy("depth", "processed").agg(
@@ -758,8 +777,16 @@ def stream_ingest(spark, sf):
 
 @query
 def stream_dedup(spark, sf):
-    urls = _page_stream(spark, sf).select(U.normalize_url("url").alias("norm_url"))
-    return _streamed(S.stream_dedup(urls, ["norm_url"]))
+    path = new_folder(spark, "stream-urls")
+    urls = _page_stream(spark, sf).select(
+        U.normalize_url("url").alias("norm_url"), F.current_timestamp().alias("arrived")
+    )
+    S.stream_distinct(
+        urls, ["norm_url"], f"{path}/table", f"{path}/state", "arrived", "1 hour"
+    ).awaitTermination()
+    return keyed.read_batches(
+        spark, f"{path}/table", ddl(urls.schema.fields), ["norm_url"]
+    ).select("norm_url")
 
 
 @query
@@ -769,11 +796,10 @@ def stream_upsert(spark, sf):
         U.normalize_url("url").alias("url"), "text", F.lit("v1").alias("last_modified")
     )
     chunks = C.emit_chunks(texts, SIZE, OVERLAP)
-    record = ddl(chunks.schema.fields)
     S.stream_upsert(
-        chunks, f"{path}/store", f"{path}/state", record, ("last_modified", "content")
+        chunks, f"{path}/store", f"{path}/state", ("last_modified", "content")
     ).awaitTermination()
-    return store.read_store(spark, f"{path}/store", record)
+    return store.read_store(spark, f"{path}/store", ddl(chunks.schema.fields))
 
 
 @query
