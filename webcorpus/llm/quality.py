@@ -22,6 +22,8 @@ from webcorpus.session import ddl
 #: Hash buckets for each n-gram length; a prime.
 BUCKETS = 10_007
 SCALE = 65_536
+#: Words that are counted at once.
+WORDS = 300_000
 #: Added to the count of each bucket in both multinomials.
 SMOOTHING = 10.0
 #: Mean log ratio from which a document is kept.
@@ -127,23 +129,31 @@ def ngram_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     good = good.select("doc_id", F.lit(True).alias("trusted")).distinct()
     judged = coded(docs).hint("merge").join(good, "doc_id", "left")
 
+    def add(counts: np.ndarray, codes: list[bytes], n: list[int], trusted: list[bool]) -> None:
+        words = np.frombuffer(b"".join(codes), np.uint16).astype(np.uint64)
+        one, two = ngram_buckets(words, np.append(0, np.cumsum(n)))
+        good = np.repeat(trusted, n)
+        for total, some in ((counts[0], slice(None)), (counts[1], good)):
+            paired = two[some]
+            total += np.bincount(one[some], minlength=2 * BUCKETS)
+            total += np.bincount(paired[paired >= 0], minlength=2 * BUCKETS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, 2 * BUCKETS), np.int64)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            n = batch.column("n").to_numpy()
-            raw = b"".join(
-                pa.decompress(data, decompressed_size=2 * size, codec="zstd", asbytes=True)
-                for data, size in zip(batch.column("codes").to_pylist(), n.tolist())
-            )
-            codes = np.frombuffer(raw, np.uint16).astype(np.uint64)
-            one, two = ngram_buckets(codes, np.append(0, np.cumsum(n)))
-            good = np.repeat([bool(x) for x in batch.column("trusted").to_pylist()], n)
-            for total, some in ((counts[0], slice(None)), (counts[1], good)):
-                paired = two[some]
-                total += np.bincount(one[some], minlength=2 * BUCKETS)
-                total += np.bincount(paired[paired >= 0], minlength=2 * BUCKETS)
+            held, words = ([], [], []), 0
+            columns = (batch.column(c) for c in ("codes", "n", "trusted"))
+            for data, n, trusted in zip(*columns):
+                size = n.as_py()
+                raw = pa.decompress(data.as_buffer(), 2 * size, codec="zstd", asbytes=True)
+                for kept, value in zip(held, (raw, size, bool(trusted.as_py()))):
+                    kept.append(value)
+                words += size
+                if words >= WORDS:
+                    add(counts, *held)
+                    held, words = ([], [], []), 0
+            if held[1]:
+                add(counts, *held)
         used = np.flatnonzero(counts[0])
         yield pa.RecordBatch.from_arrays(
             [pa.array(used), pa.array(counts[0][used]), pa.array(counts[1][used])],
