@@ -10,8 +10,9 @@ until a pair at the threshold is missed with a probability below 1 - RECALL.
 
 Near copies of one text share their tokens, so no token splits them. They are
 compared with a few members of their bucket instead; a bucket whose classes are
-all connected by that needs no search and is closed. A large bucket that stays
-open after DEPTH tokens is searched in blocks, between classes not yet connected.
+all connected by that needs no search and is closed. Where few pairs are left that
+are not connected, these are searched at once, in blocks, and so are all that are
+left after DEPTH tokens.
 
 Pairs that the sketches let pass only connect classes. Inside a connected part
 the links are exact. The classes at a distance of at most half the threshold from
@@ -221,9 +222,12 @@ def _stars(large: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _leaves(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """(leaves, edges): the buckets to search as (key, cid, label, n), each set of
-    classes once, and the links that closed the others. `label` is equal for
-    classes that these links connect.
+    """(leaves, edges): the buckets to search, and the links that settle large ones.
+
+    `leaves` has (key, cid, label, major, outer, inner), each set of classes once.
+    Classes of one label are connected by `edges`. In a large bucket the classes
+    of its most frequent label are `major` and need to meet the others only. The
+    others are searched in `outer` blocks and the major ones in `inner` blocks.
     """
     level = classes.select(F.explode("keys").alias("key"), "cid")
     leaves = edges = labels = None
@@ -245,21 +249,43 @@ def _leaves(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
                     F.col("id").alias("cid"), F.col("component").alias("label")
                 )
         small = _distinct_buckets(size.filter(F.col("n") <= LIMIT))
-        part = level.join(small, "key").withColumn("label", F.col("cid"))
+        part = level.join(small, "key").select(
+            "key", "cid", F.col("cid").alias("label"), F.lit(False).alias("major"),
+            F.lit(1).alias("outer"), F.lit(0).alias("inner"),
+        )
         leaves = part if leaves is None else leaves.unionByName(part)
         if labels is None:
             break
         named = large.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
         named = materialize(named, "large")
-        still = named.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b"))
-        still = materialize(still.filter("_a <> _b").select("key"), "open")
-        if still.isEmpty():
-            break
+        parts = named.groupBy("key", "label").agg(F.count("*").alias("c"))
+        # Pairs of classes that are not connected, from both sides.
+        open_ = parts.groupBy("key").agg(
+            F.sum("c").alias("n"),
+            (F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("cross"),
+            F.max(F.struct("c", "label")).alias("top"),
+        )
+        open_ = materialize(open_.filter("cross > 0"), "open")
+        few = F.col("cross") <= 2 * LIMIT * F.col("n")
+        done = open_ if depth == DEPTH else open_.filter(few)
+        once = _distinct_buckets(size.join(done, "key", "left_semi")).select("key")
+        both = done.join(once, "key", "left_semi").select(
+            "key",
+            F.col("top.label").alias("_top"),
+            F.ceil((F.col("n") - F.col("top.c")) / (2 * BLOCK)).cast("int").alias("outer"),
+            F.ceil(F.col("top.c") / (2 * BLOCK)).cast("int").alias("inner"),
+        )
+        leaves = leaves.unionByName(
+            named.join(both, "key").select(
+                "key", "cid", "label", (F.col("label") == F.col("_top")).alias("major"),
+                "outer", "inner",
+            )
+        )
         if depth == DEPTH:
-            last = _distinct_buckets(size.join(still, "key", "left_semi"))
-            leaves = leaves.unionByName(named.join(last, "key"))
             break
-        rows = named.join(still, "key", "left_semi").select("key", "cid")
+        rows = named.join(open_.filter(~few), "key", "left_semi").select("key", "cid")
+        if rows.isEmpty():
+            break
         level = _longer(rows.join(classes.select("cid", "sketch"), "cid"))
     return leaves, edges
 
@@ -269,20 +295,26 @@ def _distinct_buckets(size: DataFrame) -> DataFrame:
     return size.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n")
 
 
-def _in_blocks(rows: DataFrame, key: str, blocks: str) -> DataFrame:
-    """Rows dealt to pairs of blocks (i, j) of their group, `own` their block.
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Leaves dealt to pairs of blocks (i, j) of their bucket, `own` their block.
 
-    A group of one block is one pair; in a larger one a row goes to one pair for
-    each block, so that any two rows meet once.
+    A row that is not major goes to a pair with every block, a major one to a
+    pair with every block of others, so that any two rows meet once, but for
+    two major ones, which are connected.
     """
-    mine = F.pmod(F.xxhash64("cid", F.lit(5)), F.col(blocks)).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col(blocks).cast("int") - 1)).alias("_other")
-    dealt = rows.withColumn("own", mine).select("*", other)
+    number = F.xxhash64("cid", F.lit(5))
+    own = F.when(F.col("major"), F.col("outer") + F.pmod(number, F.greatest("inner", F.lit(1)))).otherwise(
+        F.pmod(number, F.col("outer"))
+    )
+    last = F.col("outer") + F.when(F.col("major"), F.lit(0)).otherwise(F.col("inner")) - 1
+    dealt = rows.withColumn("own", own.cast("int")).select(
+        "*", F.explode(F.sequence(F.lit(0), last)).alias("_other")
+    )
     return dealt.select(
-        F.col(key).alias("key"),
+        "key",
         F.least("own", "_other").alias("i"),
         F.greatest("own", "_other").alias("j"),
-        *[c for c in dealt.columns if c not in (key, "_other", blocks)],
+        *[c for c in dealt.columns if c not in ("key", "_other", "outer", "inner", "major")],
     )
 
 
@@ -313,10 +345,7 @@ def _pairs(
 
 def _candidates(leaves: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b): a forest that connects the classes whose sketches agree in a bucket."""
-    rows = leaves.join(classes.select("cid", "sketch"), "cid").withColumn(
-        "blocks", F.ceil(F.col("n") / (2 * BLOCK))
-    )
-    dealt = _in_blocks(rows.select("key", "cid", "label", "sketch", "blocks"), "key", "blocks")
+    dealt = _in_blocks(leaves.join(classes.select("cid", "sketch"), "cid"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = math.ceil(SKETCH * T)
