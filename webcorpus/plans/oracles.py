@@ -311,6 +311,55 @@ rules AS (
 
 _CONV = "conv_id AS url"
 
+_PDF = f"'https://' || {host('url')} || '/files/' || page_id || '.pdf'"
+# A whole run: what is received, where the walk starts and goes, what is admitted.
+_CRAWL = f"""{_MAIN}, {_LINKS}, {_ROBOTS},
+named AS (SELECT page_id, url, {norm("url")} AS norm_url FROM pages),
+total AS (SELECT count(*) AS n FROM pages),
+received AS (
+  SELECT * FROM named WHERE page_id % 20 NOT IN (5, 13, 15, 17, 19)),
+start AS (
+  SELECT norm_url, min(url) AS url FROM (
+    SELECT norm_url, url FROM named WHERE NOT {skipped("url")}
+    UNION ALL
+    SELECT {norm("seed")}, seed FROM (
+      SELECT regexp_extract(url, '^([a-z]+://[^/]*)', 1) || '/' AS seed FROM pages
+      GROUP BY 1 HAVING bool_and({skipped("url")})))
+  GROUP BY norm_url),
+chosen AS (
+  SELECT r.page_id, r.url, norm_url FROM received AS r LEFT JOIN start AS s USING (norm_url)
+  QUALIFY row_number() OVER (PARTITION BY norm_url ORDER BY r.url <> coalesce(s.url, norm_url), r.url) = 1),
+edges AS (
+  SELECT * FROM (
+    SELECT a.norm_url AS src, b.norm_url AS dst FROM chosen AS a, total, named AS b
+    WHERE b.page_id IN ((2 * a.page_id + 1) % n, (3 * a.page_id + 2) % n)
+    UNION SELECT a.norm_url, l.dst_url FROM chosen AS a JOIN links AS l USING (page_id)
+    UNION SELECT norm_url, {_PDF} FROM chosen WHERE page_id % 3 = 0)
+  WHERE NOT {skipped("dst")}),
+known AS (SELECT norm_url AS u FROM start UNION SELECT dst FROM edges),
+first_rule AS (
+  SELECT u, min_by(allow, rule_no) AS allow FROM known
+  JOIN rules ON base = 'https://' || {netloc("u")} AND group_no = 2 AND starts_with({path("u")}, prefix)
+  GROUP BY u),
+admitted AS (
+  SELECT u FROM known LEFT JOIN robots ON base = 'https://' || {netloc("u")} LEFT JOIN first_rule USING (u)
+  WHERE NOT {skipped("u")}
+    AND CASE WHEN status IN (403, 503) THEN false ELSE coalesce(allow, true) END),
+walk AS (
+  SELECT norm_url, 0 AS depth FROM start
+  UNION
+  SELECT dst, depth + 1 FROM walk JOIN edges ON src = norm_url JOIN admitted ON u = norm_url
+  WHERE depth <= 3),
+processed AS (
+  SELECT norm_url FROM walk JOIN admitted ON u = norm_url GROUP BY 1 HAVING min(depth) <= 3),
+pdfs AS (SELECT page_id, {_PDF} AS url FROM pages WHERE page_id % 3 = 0),
+crawled AS (
+  SELECT norm_url AS url, text, NULL AS last_modified
+  FROM chosen JOIN processed USING (norm_url) JOIN cleaned USING (page_id)
+  UNION ALL
+  SELECT p.url, d.text, NULL FROM pdfs AS p JOIN processed ON norm_url = p.url
+  JOIN documents AS d ON doc_id = page_id WHERE page_id % 2 = 0 OR page_id % 5 <> 4)"""
+
 ORACLES: dict[str, str] = {
     "url_normalize": f"SELECT page_id, {norm('url')} AS norm_url FROM pages",
     "url_normalize_keep_query": f"""
@@ -528,6 +577,16 @@ ORACLES: dict[str, str] = {
         WITH {outcomes(3)} SELECT 'ok' AS status, count(*) AS visited,
                count(*) FILTER (WHERE outcome = 'failure') AS failed FROM outcomes""",
     "robots_rules_table": f"WITH {_ROBOTS} SELECT * FROM rules",
+    "crawl_run": f"""
+        WITH RECURSIVE {_CRAWL}, {chunked("crawled")}
+        SELECT url, chunk_index, chunk_total, content, blob_name FROM chunks""",
+    "crawl_failures": f"""
+        WITH RECURSIVE {_CRAWL}
+        SELECT url, CASE WHEN page_id % 20 = 19 THEN 'All fetch attempts failed or invalid HTML' ELSE 'HTTP 403' END AS reason
+        FROM named JOIN processed USING (norm_url) WHERE page_id % 20 IN (15, 17, 19)
+        UNION ALL
+        SELECT url, unnest(['PDF HTTP 403 (GET)', 'PDF HTTP 404 (GET)']) FROM pdfs JOIN processed ON norm_url = url
+        WHERE page_id % 2 = 1 AND page_id % 5 = 4""",
     "robots_allowed": f"""
         WITH {_ROBOTS}, u AS (SELECT page_id, {norm('url')} AS url FROM pages),
         hits AS (

@@ -25,7 +25,7 @@ from webcorpus.operators import (
 from webcorpus.operators.embed import embed, embed_guard
 from webcorpus.operators.rows import exploded
 from webcorpus.plans import fixtures as I
-from webcorpus.plans.corpus import CrawlInputs, run_crawl
+from webcorpus.plans.corpus import CrawlInputs, CrawlResult, run_crawl
 from webcorpus.session import ddl, materialize, new_folder
 from webcorpus.sinks.files import write_chunks
 from webcorpus.sources import office
@@ -814,28 +814,65 @@ def stream_summary(spark, sf):
 # --- a whole run ------------------------------------------------------------------------
 
 
-@query
-def crawl_run(spark, sf):
-    """Seeds to stored chunks: pages get a link to two other pages, so that the
-    walk goes somewhere; robots files and sitemaps come from the pages too."""
+def _crawl(spark: SparkSession, sf: str) -> CrawlResult:
+    """A run over all pages as fetched ones.
+
+    A page gets links to two other pages and every third one to a PDF, whose
+    pages are the halves of a document. Sitemaps list all pages of a site, robots
+    files come from the pages too. Attempts fail, are repeated and end for good
+    by the number of the page.
+    """
     pages = _pages(spark, sf)
-    targets = (
-        I.page_edges(pages)
-        .groupBy(F.col("src_norm").alias("_norm"))
+    anchors = (
+        I.page_edges(pages, "pos")
+        .groupBy(F.col("src_url").alias("_url"))
         .agg(F.concat_ws("", F.collect_set(_anchor("dst_url"))).alias("_anchors"))
     )
-    linked = (
-        pages.withColumn("_norm", U.normalize_url("url"))
-        .join(targets, "_norm")
+    number = F.col("page_id")
+    last = number % 20
+    first = (
+        F.when(number % 10 == 3, 503).when(number % 10 == 7, 429)
+        .when(last == 5, 404).when(last == 15, 403).when(number % 10 != 9, 200)
+    )
+    second = F.when(last == 13, 404).when(last == 17, 403).when(last == 19, 500).otherwise(200)
+    again = (number % 10).isin(3, 7, 9)
+    attempts = F.filter(
+        F.array(
+            F.struct(F.lit(1).alias("attempt"), first.alias("status")),
+            F.struct(F.lit(2).alias("attempt"), F.when(again, second).otherwise(-1).alias("status")),
+        ),
+        lambda a: a["status"].isNull() | (a["status"] >= 0),
+    )
+    pdf = F.when(
+        number % 3 == 0, _anchor(F.concat(F.lit("/files/"), number.cast("string"), F.lit(".pdf")))
+    ).otherwise("")
+    fetches = (
+        pages.join(anchors, F.col("url") == F.col("_url"))
+        .select("url", F.concat("_anchors", pdf, "html").alias("html"), F.explode(attempts).alias("_a"))
         .select(
-            "url",
-            F.lit(1).alias("attempt"),
-            F.lit(200).alias("status"),
+            "url", "_a.attempt", "_a.status", "html",
             F.lit(None).cast("map<string,string>").alias("headers"),
-            F.concat("_anchors", "html").alias("html"),
-            F.lit(None).cast("string").alias("error"),
+            F.when(F.col("_a.status").isNull(), "timed out").alias("error"),
             F.timestamp_seconds(F.lit(0)).alias("fetched_at"),
         )
+    )
+    base = F.concat(F.lit("https://"), U.host_key("url"), F.lit("/files/"))
+    pdfs = pages.filter(number % 3 == 0).select(
+        "page_id", F.concat(base, number.cast("string"), F.lit(".pdf")).alias("url")
+    )
+    pdf_attempts = F.array(
+        F.struct(F.lit(1).alias("attempt"), F.when(number % 2 == 1, 403).otherwise(200).alias("status")),
+        F.struct(F.lit(2).alias("attempt"), F.when(number % 5 == 4, 404).otherwise(200).alias("status")),
+    )
+    pdf_fetches = pdfs.select("url", F.inline(pdf_attempts)).select(
+        "url", "attempt", "status", F.lit("application/pdf").alias("content_type"),
+        F.lit(None).cast("map<string,string>").alias("headers"), F.lit(1).alias("length"),
+        F.lit(None).cast("string").alias("error"), F.timestamp_seconds(F.lit(0)).alias("fetched_at"),
+    )
+    halves = F.array(F.expr("left(text, 500)"), F.expr("substring(text, 501)"))
+    texts = I.table(spark, sf, "documents").select(F.col("doc_id").alias("page_id"), "text")
+    pdf_pages = pdfs.join(texts, "page_id").select(
+        "url", F.posexplode(halves).alias("page_no", "text")
     )
     config = CrawlConfig(
         allow_domains="example.com;example.org;example.net",
@@ -844,18 +881,30 @@ def crawl_run(spark, sf):
         token_overlap=OVERLAP,
     )
     inputs = CrawlInputs(
-        fetches=linked,
+        fetches=fetches,
         robots=I.robots_files(pages),
-        sitemaps=_site_sitemaps(pages.filter(F.col("url").contains("/en/"))),
+        sitemaps=_site_sitemaps(pages),
+        pdf_pages=pdf_pages,
+        pdf_fetches=pdf_fetches,
         seeds=pages.select(
             F.concat(F.substring_index("url", "/", 3), F.lit("/")).alias("seed")
         ).distinct(),
     )
-    written = run_crawl(spark, config, inputs, new_folder(spark, "crawl")).written
+    return run_crawl(spark, config, inputs, new_folder(spark, "crawl"))
+
+
+@query
+def crawl_run(spark, sf):
+    written = _crawl(spark, sf).written
     return written.select("url", "chunk_index", "chunk_total", "content", "blob_name")
 
 
-def _anchor(url: str) -> Column:
+@query
+def crawl_failures(spark, sf):
+    return _crawl(spark, sf).failures
+
+
+def _anchor(url: Column | str) -> Column:
     return F.concat(
         F.lit('<a href="'), F.replace(url, F.lit("&"), F.lit("&amp;")), F.lit('">x</a>')
     )
