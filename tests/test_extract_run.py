@@ -280,6 +280,29 @@ def test_files_that_were_not_received(spark, tmp_path):
     assert failed == {"b.docx": "DOCX parse error: HTTP 404", "c.xlsx": "XLSX parse error: timed out"}
 
 
+def test_a_run_repairs_missing_vectors(spark, tmp_path):
+    pages = {"https://x.org/": "<body><a href='/p'>p</a>home</body>", "https://x.org/p": "<body>bad page</body>"}
+    config = CrawlConfig(base_urls="https://x.org/", embedding_token_limit=140, token_overlap=10)
+    out = str(tmp_path / "out")
+
+    def client(broken):
+        def call(texts):
+            if broken and any("bad" in t for t in texts):
+                raise ConnectionError("down")
+            return [[1.0] for _ in texts]
+
+        return lambda: call
+
+    first = run_crawl(spark, config, CrawlInputs(fetched(spark, pages)), out, 0, client(True))
+    assert [(r.url, r.reason) for r in first.not_embedded.collect()] == [("https://x.org/p", "ConnectionError: down")]
+    assert {r.url: r.embedding for r in first.written.collect()} == {"https://x.org": [1.0], "https://x.org/p": None}
+    for batch in (1, 1):
+        second = run_crawl(spark, config, CrawlInputs(fetched(spark, pages)), out, batch, client(False))
+        assert {r.url: r.embedding for r in second.written.collect()} == {"https://x.org/p": [1.0]}
+    third = run_crawl(spark, config, CrawlInputs(fetched(spark, pages)), out, 2, client(False))
+    assert third.written.count() == 0 and third.not_embedded.count() == 0
+
+
 def test_one_of_many_variants_of_a_url_counts(spark, tmp_path):
     """A hot normal form: links lose their queries, so the smallest variant counts alone."""
     pages = {f"https://x.org/list?page={k}": f"<body><a href='/to{k}'>t</a>text {k}</body>" for k in range(300)}

@@ -342,6 +342,40 @@ def test_embedding(spark):
     assert df.filter(embed_guard("content", 4)).count() == 4
 
 
+def test_embedding_errors_and_the_codecs_limit(spark):
+    class Letters:
+        """A codec with a token per letter."""
+
+        def encode(self, text):
+            return list(text)
+
+    def client():
+        def call(texts):
+            if any("bad" in t for t in texts):
+                raise ValueError("service")
+            return [[float(len(t))] for t in texts]
+
+        return call
+
+    rows = [(0, "a bb"), (1, "bad"), (2, "far too long"), (3, " "), (4, None), (5, "five5")]
+    df = spark.createDataFrame(rows, "i int, content string").coalesce(1)
+    got = {r.i: (r.embedding, r.why) for r in embed(df, client, 5, 4, make_codec=Letters, errors="why").collect()}
+    assert got == {
+        0: ([4.0], None), 1: (None, "ValueError: service"), 2: (None, None), 3: (None, None), 4: (None, None), 5: ([5.0], None),
+    }
+
+
+def test_rows_to_retry_are_written_again(spark, tmp_path):
+    path, schema = str(tmp_path / "store"), f"{SCHEMA}, why string"
+    rows = spark.createDataFrame([("a", "1", "x", None), ("b", "1", "y", "service")], schema)
+    store.write_batch(rows, path, 0, retry="why")
+    again = store.changed_rows(rows.drop("why"), path, 1, "last_modified")
+    assert [r.blob_name for r in again.collect()] == ["b"]
+    store.write_batch(again.withColumn("why", F.lit(None).cast("string")), path, 1, retry="why")
+    assert store.changed_rows(rows.drop("why"), path, 2, "last_modified").count() == 0
+    assert {r.blob_name: r.content for r in store.read_store(spark, path, SCHEMA).collect()} == {"a": "x", "b": "y"}
+
+
 def test_latest_limits_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("blob_name"), "id")
     latest = fetch.latest_per_key(df, "blob_name", "id")

@@ -115,20 +115,31 @@ def read_batch(spark: SparkSession, path: str, schema: str, batch: int) -> DataF
 
 
 def write_batch(
-    rows: DataFrame, path: str, batch: int, compact_every: int = COMPACT_EVERY
+    rows: DataFrame,
+    path: str,
+    batch: int,
+    compact_every: int = COMPACT_EVERY,
+    retry: str | None = None,
 ) -> None:
     """Add the changed rows of a run. Running a batch again replaces it.
 
+    A row whose `retry` column is not null counts as one of no known version, so
+    the next upsert writes it again though it did not change.
+
     After some batches the index is written whole, so that a lookup reads about
     one row per key however many batches there are.
     """
     spark = rows.sparkSession
     # The batch's own folder is replaced, so a repeat without rows leaves none.
     rows.drop("batch").write.mode("overwrite").parquet(f"{path}/records/batch={batch}")
-    written = spark.read.schema(f"{KEY} string, last_modified string").parquet(
+    more = f", {retry} string" if retry else ""
+    written = spark.read.schema(f"{KEY} string, last_modified string{more}").parquet(
         f"{path}/records/batch={batch}"
     )
-    fresh = written.select("*", F.lit(batch).cast("long").alias("since"))
+    version = F.when(F.col(retry).isNull(), F.col("last_modified")) if retry else F.col("last_modified")
+    fresh = written.select(
+        KEY, version.alias("last_modified"), F.lit(batch).cast("long").alias("since")
+    )
     earlier = _index_batches(spark, path, batch)
     whole = earlier.agg(F.count_distinct("batch")).first()[0] >= compact_every
     if whole:

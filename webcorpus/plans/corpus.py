@@ -44,6 +44,8 @@ RECORD = (
     "id string, url string, title string, chunk_index int, chunk_total int, "
     "content string, last_modified string, embedding array<float>, blob_name string"
 )
+# Why a stored chunk has no vector.
+ERROR = "embedding_error"
 
 
 @dataclass(frozen=True)
@@ -78,6 +80,7 @@ class CrawlResult:
     failures: DataFrame
     not_found: DataFrame
     summary: DataFrame
+    not_embedded: DataFrame
 
 
 def start_urls(
@@ -360,11 +363,18 @@ def run_crawl(
     incoming = materialize(emitted, "chunks")
     fresh = C.with_ids(store.changed_rows(incoming, f"{out}/store", batch, "last_modified"))
     if make_embedder is None:
-        fresh = fresh.withColumn("embedding", F.lit(None).cast("array<float>"))
+        none = {"embedding": F.lit(None).cast("array<float>"), ERROR: F.lit(None).cast("string")}
+        fresh = fresh.withColumns(none)
     else:
-        fresh = embed(fresh, make_embedder, config.embedding_token_limit)
-    store.write_batch(fresh, f"{out}/store", batch)
-    written = store.read_batch(spark, f"{out}/store", RECORD, batch)
+        limit = config.embedding_token_limit
+        fresh = embed(fresh, make_embedder, limit, make_codec=make_codec, errors=ERROR)
+    # Chunks without a vector because of an error are written again by the next run.
+    store.write_batch(fresh, f"{out}/store", batch, retry=ERROR)
+    stored = store.read_batch(spark, f"{out}/store", f"{RECORD}, {ERROR} string", batch)
+    written = stored.drop(ERROR)
+    not_embedded = stored.filter(F.col(ERROR).isNotNull()).select(
+        store.KEY, "url", "chunk_index", F.col(ERROR).alias("reason")
+    )
 
     all_failures = failed[0]
     for more in failed[1:]:
@@ -382,5 +392,10 @@ def run_crawl(
     write_emitted_docs(written.drop("blob_name"), f"{out}/logs/docs")
     remember(frontier, written, visited, seen, batch)
     return CrawlResult(
-        frontier, written, all_failures, gone, report.run_summary(frontier, all_failures)
+        frontier,
+        written,
+        all_failures,
+        gone,
+        report.run_summary(frontier, all_failures),
+        not_embedded,
     )
