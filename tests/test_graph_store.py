@@ -68,6 +68,33 @@ def test_sitemaps(spark):
     ]
 
 
+def test_shared_sitemaps_are_followed_once(spark, monkeypatch):
+    """Many seeds whose sitemaps list one index: each level has every sitemap once."""
+    n = 40
+    rows = [(f"https://s{k}/sitemap.xml", "index", 0, "https://shared/index") for k in range(n)]
+    rows += [("https://shared/index", "index", k, f"https://shared/{k % 3}") for k in range(4)]
+    rows += [("https://shared/1", "index", 0, "https://shared/index")]
+    rows += [("https://shared/0", "urlset", k, f"https://x/{k % 5}") for k in range(7)]
+    rows += [("https://shared/2", "urlset", 0, "https://x/a.css"), ("https://e/sitemap.xml", "index", 0, "https://nowhere")]
+    locs = spark.createDataFrame(rows, "sitemap_url string, kind string, pos int, loc string")
+    seeds = spark.createDataFrame([(f"https://s{k}/",) for k in range(n)] + [("https://e/",), ("https://f",)], "seed string")
+    sizes = []
+    kept = frontier.materialize
+
+    def counted(df, label):
+        out = kept(df, label)
+        if label == "sitemaps-reached":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(frontier, "materialize", counted)
+    starts = frontier.sitemap_starts(seeds, locs, [r"\.css$"])
+    assert sorted(r.url for r in starts.collect()) == sorted([f"https://x/{k}" for k in range(5)] + ["https://e/", "https://f"])
+    assert sizes == [n + 2, 2, 3, 0]
+    leaves = frontier.expand_sitemaps(locs, seeds.select(frontier.sitemap_of("seed").alias("root")), [r"\.css$"])
+    assert {r.url for r in frontier.sitemap_or_seed(seeds, leaves).collect()} == {r.url for r in starts.collect()}
+
+
 def test_sitemap_or_seed(spark):
     seeds = spark.createDataFrame([("https://a/",), ("https://b",)], "seed string")
     leaves = spark.createDataFrame([("https://a/sitemap.xml", "https://a/1"), ("https://a/sitemap.xml", "https://a/2")], "root string, loc string")

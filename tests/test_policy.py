@@ -1,3 +1,4 @@
+import random
 from urllib.robotparser import RobotFileParser
 
 from webcorpus.config import CrawlConfig
@@ -109,3 +110,25 @@ def test_settings():
     assert (config.max_depth, config.save_404, config.include_pdfs) == (5, True, False)
     assert config.skip_patterns == ["a", " b"] and config.routes == ("docx", "xlsx")
     assert config.window_size == 8091 and config.token_overlap == 300
+
+
+def test_the_index_of_rules_decides_as_the_array_does(spark):
+    """A site of 10,000 rules, nested and repeated prefixes, an empty one at last."""
+    rng = random.Random(4)
+    words = ["a", "b", "ab", "abc", "x/", "y"]
+    prefixes = ["/" + "".join(rng.choices(words, k=rng.randrange(1, 7))) for _ in range(9_999)] + [""]
+    rules = [(k, rng.random() < 0.5, p) for k, p in enumerate(prefixes)]
+    few = [(0, True, "/a"), (1, False, "/")]
+    policies = spark.createDataFrame(
+        [("https://big", False, rules), ("https://few", False, few), ("https://shut", True, rules), ("https://open", False, None)],
+        "base string, deny_all boolean, rules array<struct<rule_no:int,allow:boolean,prefix:string>>",
+    )
+    paths = ["/" + "".join(rng.choices(words, k=rng.randrange(0, 9))) for _ in range(200)] + ["", "/q%61", "/zzz"]
+    urls = [(f"https://{site}{path}",) for site in ("big", "few", "shut", "open", "none") for path in paths]
+    df = spark.createDataFrame(urls + urls[:5], "url string")
+    by_index = P.robots_allowed(df, "url", policies).orderBy("url").collect()
+    by_array = P.robots_allowed(df, "url", policies, many=10**6).orderBy("url").collect()
+    assert by_index == by_array and len(by_index) == len(urls) + 5
+    assert len({r.allowed for r in by_index if "//big" in r.url}) == 2
+    index = P.rule_index(policies)
+    assert index.count() <= len(set(prefixes)) * 2

@@ -1,6 +1,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from webcorpus.functions import text as X
 from webcorpus.operators.extract import filter_lines
@@ -48,6 +49,21 @@ def test_line_filter_over_rows_in_order(spark):
     assert filter_lines(df, ["k"], order="at").first().text == "a\nz"
 
 
+def test_line_filter_of_a_key_with_a_million_lines(spark):
+    """Cut over rows of several lines: each row is read once, the key is not sorted in one task."""
+    lines = ["plain", "select language", "inside", "", "after", "more"]
+    rows, per = 25_000, 40
+    cut = spark.range(rows, numPartitions=4).select(
+        F.lit("hot").alias("k"), F.col("id").cast("int").alias("at"),
+        F.expr(f"array_join(transform(sequence(0, {per - 1}), j -> element_at(array({', '.join(repr(x) for x in lines)}), cast((id * {per} + j) div 7 % 6 + 1 as int))), chr(10))").alias("text"),
+    )
+    got = filter_lines(cut, ["k"], order="at")
+    pieces = [[lines[(at * per + j) // 7 % 6] for j in range(per)] for at in range(rows)]
+    # A line break at the end of a row opens no further line.
+    every = "\n".join(line for piece in pieces for line in (piece if piece[-1] else piece[:-1]))
+    assert got.count() == 1 and got.first().text == _filtered(every)
+
+
 def test_short_remainder_falls_back(spark):
     for length, kept in ((200, False), (201, True)):
         body = "x" * length + "\nselect language"

@@ -89,13 +89,8 @@ def closes_block(line: Column) -> Column:
     return line.rlike(f"(?i){BLOCK_CLOSER}") | ~non_blank(line)
 
 
-def drop_language_blocks(text: Column | str) -> Column:
-    """Remove every block from an opening line up to its closing line.
-
-    Each line gets a mark (opens, closes, neither) as first character. A block
-    is then one pattern: an opener and everything up to the first closing line
-    after it. One linear pass, however many lines the text has.
-    """
+def mark_lines(text: Column | str) -> Column:
+    """The text with a mark before each line: O opens a block, C closes one, - neither."""
     marked = F.transform(
         lines_of(text),
         lambda line: F.concat(
@@ -103,11 +98,31 @@ def drop_language_blocks(text: Column | str) -> Column:
             line,
         ),
     )
-    rest = F.regexp_replace(
-        F.array_join(marked, "\n"), r"(?s)(?<![^\n])O.*?(?:\nC[^\n]*|\z)", ""
-    )
+    return F.array_join(marked, "\n")
+
+
+def last_mark(marked: Column) -> Column:
+    """1 if the last line that opens or closes a block opens it, -1 if it closes it, else null."""
+    mark = F.regexp_extract(marked, r"(?s).*(?<![^\n])([OC])", 1)
+    return F.when(mark == "O", 1).when(mark == "C", -1)
+
+
+def unblocked_lines(marked: Column, inside: Column | None = None) -> Column:
+    """Lines of a marked text without every block from an opener up to its closing line.
+
+    A block is one pattern, so this is one linear pass, however many lines the
+    text has. With `inside` the text begins inside a block.
+    """
+    if inside is not None:
+        marked = F.concat(F.when(inside, "O\n").otherwise(""), marked)
+    rest = F.regexp_replace(marked, r"(?s)(?<![^\n])O.*?(?:\nC[^\n]*|\z)", "")
     kept = F.filter(F.split(rest, "\n"), lambda line: line != "")
-    return F.array_join(F.transform(kept, lambda line: F.substring(line, 2, 2**31 - 1)), "\n")
+    return F.transform(kept, lambda line: F.substring(line, 2, 2**31 - 1))
+
+
+def drop_language_blocks(text: Column | str) -> Column:
+    """Remove every block from an opening line up to its closing line."""
+    return F.array_join(unblocked_lines(mark_lines(text)), "\n")
 
 
 def prefer_filtered(filtered: Column, text: Column) -> Column:

@@ -17,17 +17,17 @@ from pyspark.sql import functions as F
 from webcorpus.functions.markup import visible_text
 from webcorpus.functions.text import (
     clean_lines,
-    closes_block,
-    lines_of,
+    last_mark,
+    mark_lines,
     non_blank,
-    opens_block,
     truncate_text,
+    unblocked_lines,
 )
 from webcorpus.functions.urls import resolve
 from webcorpus.operators.dom import walk
 from webcorpus.operators.ordered import carry_forward, ordered_concat
 from webcorpus.operators.rows import exploded
-from webcorpus.session import ddl
+from webcorpus.session import ddl, materialize
 
 
 def main_text_column(html: Column | str, drop_language_blocks: bool = True) -> Column:
@@ -101,24 +101,34 @@ def main_text(
 def filter_lines(
     df: DataFrame, keys: Sequence[str], text: str = "text", order: str | None = None
 ) -> DataFrame:
-    """Language-block filter as a window over lines: (keys, text) of what is left.
-
-    For lines that are already rows, or for texts cut over several rows whose
-    integer `order` column gives the sequence. `functions.text` has the
-    shuffle-free form for whole texts in one row; both agree. A key of which
-    nothing is left gives no row.
+    """Language-block filter: (keys, text) of what is left.
+
+    Without `order` every row is a whole text and is filtered in place. With it a
+    text is cut over several rows, and the integer `order` gives their sequence:
+    each row is read once and says how it leaves the state, in block or not; the
+    state before it follows from a scan over these short rows, in blocks of
+    positions, so no key is worked on in one task. A key of which nothing is left
+    gives no row.
     """
-    kept_columns = [*keys, *([order] if order else [])]
-    lines = exploded(df, kept_columns, lines_of(text), "_line", "_pos")
-    sequence = [order, "_pos"] if order else ["_pos"]
-    event = F.when(opens_block(F.col("_line")), 1).when(closes_block(F.col("_line")), -1)
-    marked = lines.withColumn("_event", event)
-    kept = carry_forward(marked, keys, sequence, "_event", "_state").filter(
-        "coalesce(_event, 0) <> 1 and coalesce(_state, -1) <> 1"
+    marked = df.filter(F.col(text).isNotNull()).select(
+        *keys, *([order] if order else []), mark_lines(text).alias("_marked")
     )
-    return ordered_concat(kept, keys, sequence, "_line", "\n").withColumnRenamed(
-        "_line", text
+    if order is None:
+        kept = marked.select(*keys, unblocked_lines(F.col("_marked")).alias("_lines"))
+        return kept.filter(F.size("_lines") > 0).select(
+            *keys, F.array_join("_lines", "\n").alias(text)
+        )
+    rows = materialize(marked.withColumn("_event", last_mark(F.col("_marked"))), "marked")
+    before = carry_forward(rows.select(*keys, order, "_event"), keys, order, "_event", "_state")
+    inside = F.coalesce(F.col("_state") == 1, F.lit(False))
+    kept = (
+        rows.select(*keys, order, "_marked")
+        .join(before.select(*keys, order, inside.alias("_inside")), [*keys, order])
+        .select(*keys, order, unblocked_lines(F.col("_marked"), F.col("_inside")).alias("_lines"))
+        .filter(F.size("_lines") > 0)
+        .select(*keys, order, F.array_join("_lines", "\n").alias(text))
     )
+    return ordered_concat(kept, keys, order, text, "\n")
 
 
 def panes_of(parsed: DataFrame, *keep: str) -> DataFrame:

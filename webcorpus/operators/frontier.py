@@ -226,6 +226,40 @@ def expand_sitemaps(
     )
 
 
+def _closure(start: DataFrame, steps: DataFrame, label: str) -> DataFrame:
+    """(sitemap_url) of `start` and what (sitemap_url, next) steps lead to, each once."""
+    level = materialize(start.distinct(), label)
+    levels = [level]
+    while True:
+        reached = level.join(steps, "sitemap_url").select(F.col("next").alias("sitemap_url"))
+        level = materialize(minus(reached.distinct(), _union(levels), ["sitemap_url"]), label)
+        if level.isEmpty():
+            return _union(levels)
+        levels.append(level)
+
+
+def sitemap_starts(
+    seeds: DataFrame, locs: DataFrame, skip_patterns: Sequence[str] = ()
+) -> DataFrame:
+    """(url): the locations below the seeds' sitemaps, and the seeds that have none.
+
+    Every sitemap is followed once, whatever the number of seeds that share it:
+    downwards from the seeds' sitemaps for the locations, and upwards from the
+    sitemaps with locations for the seeds that reach one.
+    """
+    locs = materialize(locs, "sitemap-locs")
+    index = locs.filter("kind = 'index'")
+    leaves = locs.filter((F.col("kind") == "urlset") & ~should_skip("loc", skip_patterns))
+    rooted = materialize(seeds.select("seed", sitemap_of("seed").alias("sitemap_url")), "seeds")
+    down = index.select("sitemap_url", F.col("loc").alias("next"))
+    up = index.select(F.col("loc").alias("sitemap_url"), F.col("sitemap_url").alias("next"))
+    reached = _closure(rooted.select("sitemap_url"), down, "sitemaps-reached")
+    useful = _closure(leaves.select("sitemap_url"), up, "sitemaps-useful")
+    found = leaves.join(reached, "sitemap_url", "left_semi").select(F.col("loc").alias("url"))
+    bare = rooted.join(useful, "sitemap_url", "left_anti").select(F.col("seed").alias("url"))
+    return found.unionByName(bare).distinct()
+
+
 def sitemap_of(seed: Column | str) -> Column:
     """Where a seed's sitemap is."""
     seed = F.col(seed) if isinstance(seed, str) else seed

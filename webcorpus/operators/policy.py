@@ -191,23 +191,76 @@ def unquote(text: Column) -> Column:
     return F.when(text.contains("%"), F.coalesce(decoded, text)).otherwise(text)
 
 
-def robots_allowed(df: DataFrame, url: str, policies: DataFrame) -> DataFrame:
+#: Rules of one site up to which its URLs look through them all.
+MANY_RULES = 256
+
+
+def rule_index(policies: DataFrame, many: int = MANY_RULES) -> DataFrame:
+    """(base, prefix, rule_no, allow) of the sites with many rules, a row per prefix.
+
+    Of rules with one prefix only the first can decide.
+    """
+    rule = F.explode("rules").alias("_rule")
+    first = F.min(F.struct("_rule.rule_no", "_rule.allow")).alias("_first")
+    return (
+        policies.filter(F.size("rules") > many)
+        .select("base", rule)
+        .groupBy("base", F.col("_rule.prefix").alias("prefix"))
+        .agg(first)
+        .select("base", "prefix", "_first.rule_no", "_first.allow")
+    )
+
+
+def indexed_match(targets: DataFrame, index: DataFrame) -> DataFrame:
+    """(base, path, allow): the first rule that fits, for distinct (base, path).
+
+    A path is looked up once for each length that the prefixes of its site have,
+    however many rules there are. No row: no rule fits.
+    """
+    lengths = index.groupBy("base").agg(F.collect_set(F.length("prefix")).alias("lengths"))
+    probes = (
+        targets.join(lengths, "base")
+        .select("base", "path", F.explode("lengths").alias("_n"))
+        .filter(F.col("_n") <= F.length("path"))
+        .withColumn("prefix", F.left("path", F.col("_n")))
+    )
+    first = F.min(F.struct("rule_no", "allow")).alias("_first")
+    return (
+        probes.join(index, ["base", "prefix"])
+        .groupBy("base", "path")
+        .agg(first)
+        .select("base", "path", F.col("_first.allow").alias("allow"))
+    )
+
+
+def robots_allowed(
+    df: DataFrame, url: str, policies: DataFrame, many: int = MANY_RULES
+) -> DataFrame:
     """Add `allowed` to rows of normalised URLs.
 
-    The site's rules arrive as one array with the row, so a URL is never
-    multiplied by the number of rules. The policy side has one row per site:
-    a hot site skews only the URL side, which adaptive execution splits.
+    The rules of a site arrive as one array with the row, so a URL is never
+    multiplied by them. The rules of sites that have many are an index instead,
+    in which a path is looked up. The policy side has one row per site: a hot
+    site skews only the URL side, which adaptive execution splits.
     """
     target = url_part(url, "target")
     path = unquote(F.when(target == "", F.lit("/")).otherwise(target))
     base = F.concat(url_part(url, "scheme"), F.lit("://"), url_part(url, "netloc"))
-    verdict = (
-        F.when(F.col("deny_all"), F.lit(False))
-        .otherwise(F.coalesce(first_match(F.col("rules"), path), F.lit(True)))
-    )
-    return (
-        df.withColumn("base", base)
-        .join(policies.select("base", "deny_all", "rules"), "base", "left")
-        .withColumn("allowed", verdict)
-        .drop("base", "deny_all", "rules")
+    short = F.when(F.size("rules") <= many, F.col("rules")).alias("_rules")
+    matched = first_match(F.col("_rules"), F.col("_path"))
+    rows = df.withColumns({"_base": base, "_path": path}).join(
+        policies.select(F.col("base").alias("_base"), F.col("deny_all").alias("_deny"), short),
+        "_base",
+        "left",
     )
+    if not policies.filter(F.size("rules") > many).isEmpty():
+        targets = rows.filter("_rules is null and not _deny").select(
+            F.col("_base").alias("base"), F.col("_path").alias("path")
+        )
+        found = indexed_match(targets.distinct(), rule_index(policies, many)).select(
+            F.col("base").alias("_base"), F.col("path").alias("_path"), F.col("allow").alias("_found")
+        )
+        rows = rows.join(found, ["_base", "_path"], "left")
+        matched = F.coalesce("_found", matched)
+    verdict = F.when(F.col("_deny"), F.lit(False)).otherwise(F.coalesce(matched, F.lit(True)))
+    return rows.withColumn("allowed", verdict).select(*df.columns, "allowed")

@@ -18,9 +18,7 @@ from webcorpus.operators.extract import parse_pages
 from webcorpus.operators.frontier import (
     adjacency,
     crawl_frontier,
-    expand_sitemaps,
-    sitemap_of,
-    sitemap_or_seed,
+    sitemap_starts,
 )
 from webcorpus.operators.links import filter_links, resolve_links
 from webcorpus.operators.ordered import join_pages
@@ -89,13 +87,7 @@ def start_urls(
     """URLs the walk starts from: sitemap locations per seed, or the seed."""
     if sitemaps is None:
         return seeds.select(F.col("seed").alias("url"))
-    leaves = expand_sitemaps(
-        sitemap_locs(sitemaps),
-        seeds.select(sitemap_of("seed").alias("root")),
-        config.skip_patterns,
-    )
-    # An index that several seeds name would give its leaves once for each.
-    return sitemap_or_seed(seeds, leaves).select("url").distinct()
+    return sitemap_starts(seeds, sitemap_locs(sitemaps), config.skip_patterns)
 
 
 Domains = DataFrame | list[str]
