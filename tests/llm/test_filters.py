@@ -371,6 +371,56 @@ def test_leaks_in_several_scans_and_odd_rows(spark, make_docs, odd_rows, monkeyp
     assert decontaminate.find_leaks(make_docs([]), bench).count() == 0
 
 
+def edited(part, rng):
+    """Words changed, lost, added or cut off, about as many as still leave half the score."""
+    n, out = len(part), []
+    change, lose, add = rng.dirichlet([1, 1, 1]) * rng.uniform(0, 0.5)
+    for w in part:
+        if rng.random() < change:
+            out.append(f"new{rng.integers(10**6)}")
+        elif rng.random() >= lose:
+            out.append(w)
+        while rng.random() < min(2 * add, 0.5):
+            out.append(f"more{rng.integers(10**6)}")
+    return out[: max(1, n - rng.integers(0, max(1, n // 5)))] if rng.random() < 0.3 else out
+
+
+def test_every_edit_that_aligns_is_found(spark, make_docs):
+    rng = np.random.default_rng(12)
+    sizes = [4, 5, 6, 7, 9, 10, 12, 20, 30, 40, 60]
+    items = [[f"{k}w{rng.integers(n * 4)}" if rng.random() < 0.8 else "the" for _ in range(n)] for k, n in enumerate(sizes)]
+    texts = []
+    for part in items:
+        every = [
+            ["x" if k % 3 == 2 else w for k, w in enumerate(part)],  # every third word changed
+            [x for w in part for x in (w, f"y{rng.integers(99)}")],  # a word added after each
+            [w for k, w in enumerate(part) if k % 4 != 3],  # every fourth lost
+            part[: len(part) // 2 + 1],
+        ]
+        every += [edited(part, rng) for _ in range(12)]
+        for copy in every:
+            before = ["the" if rng.random() < 0.3 else f"f{rng.integers(500)}" for _ in range(rng.integers(60))]
+            texts.append(" ".join([*before, *copy, *before[::-1]]))
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id smallint, text string")
+    docs = make_docs(list(enumerate(texts)))
+    found = {(r.doc_id, r.item_id): r.score for r in decontaminate.find_leaks(docs, bench).collect()}
+    wanted = {}
+    for d, text in enumerate(texts):
+        for k in range(len(items)):
+            share = brute_share(text, " ".join(items[k]))
+            if share >= decontaminate.MIN_SCORE:
+                wanted[d, k] = share
+    assert len(wanted) > 100 and {k for _, k in wanted} == set(range(len(items)))
+    assert found == pytest.approx(wanted)
+
+
+def test_short_items_stand_as_they_are(spark, make_docs):
+    docs = make_docs([(1, "one two three four"), (2, "one x two"), (3, "three two one"), (4, None)])
+    bench = spark.createDataFrame([("a", "one two"), ("b", "three"), ("c", "two  three\nfour")], "item_id string, text string")
+    found = decontaminate.find_leaks(docs, bench).collect()
+    assert {(r.doc_id, r.item_id, r.score) for r in found} == {(1, "a", 1.0), (1, "b", 1.0), (3, "b", 1.0), (1, "c", 1.0)}
+
+
 def test_an_item_in_every_text_is_found(spark, make_docs):
     item = " ".join(f"leak{k}" for k in range(25))
     docs = make_docs([(k, f"own{k} text {item} end{k}") for k in range(200)])
