@@ -46,6 +46,8 @@ from webcorpus.session import materialize
 #: Where the vocabularies are; their files.
 VOCABULARIES = "/opt/tokenizers"
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
+#: Characters of the texts that are aligned at once, and make a block.
+BLOCK_CHARS = 600_000
 #: Bytes of a range of a long text; a text of at most as many is not cut.
 RANGE = 1 << 16
 
@@ -250,7 +252,7 @@ def _blocks(docs: DataFrame, files) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = Tokenizers(*files.value)
-        for rows, texts in chunks(batches):
+        for rows, texts in chunks(batches, BLOCK_CHARS):
             encoded = made.encode(texts)
             tokens, stops = _flat(encoded, made)
             ends, a, b = links(tokens)
@@ -306,7 +308,7 @@ def _ranges(docs: DataFrame, files, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = Tokenizers(*files.value)
-        for rows, texts in chunks(batches):
+        for rows, texts in chunks(batches, BLOCK_CHARS):
             for k, encoded in enumerate(made.encode(texts)):
                 tokens, stops = _flat([encoded], made)
                 n = max(1, -(-int(stops[0]) // size))

@@ -50,7 +50,9 @@ TURNS, EVERY = 9, 3
 #: Weight of the classes' own shares in the transitions after each class.
 ALPHA = 64.0
 #: Tokens from which a block is closed.
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_500_000
+#: Distinct pairs that a task holds before it sends their counts.
+PAIRS = 1_500_000
 #: Folds of the documents, and the one that is never learnt from.
 FOLDS, HELD = 7, 2
 
@@ -70,7 +72,7 @@ END = word_number(_END)
 class Numbers(dict):
     """word -> its number, remembered up to a bound."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 
@@ -121,7 +123,7 @@ def encode(docs: DataFrame, held: Column, block_tokens: int = BLOCK_TOKENS) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, parts, size = Numbers(), [], 0
-        for rows, texts in chunks(batches):
+        for rows, texts in chunks(batches, 500_000):
             flat, sizes = tokens(texts, table)
             mine = rows.column("_held").to_numpy(zero_copy_only=False)
             parts.append((rows.column("doc_id"), mine, flat, sizes))
@@ -212,7 +214,7 @@ def top_pairs(blocks: DataFrame, top: Top) -> DataFrame:
                 some = learnt & (ids >= 0) & (left >= 0)
                 parts.append(np.unique(left[some] * size + ids[some], return_counts=True))
                 held += len(parts[-1][0])
-                if held > 3_000_000:
+                if held > PAIRS:
                     yield from given()
                     parts, held = [], 0
         if held:
