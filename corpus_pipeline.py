@@ -12,8 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from webcorpus.llm import decontaminate, jaccard, mixing, pii, quality
+from webcorpus.llm.queries import TEST_KEY
 from webcorpus.session import new_folder
 
+#: Session setting that holds the key of the pseudonyms.
+KEY_SETTING = "spark.webcorpus.pseudonyms.key"
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -34,8 +38,12 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def pii_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in the texts become pseudonyms."""
-    return pii.mask_texts(docs)
+    """Personal data in the texts become pseudonyms under the key of KEY_SETTING.
+
+    Without the setting the key is the one for tests, which is no secret.
+    """
+    key = spark.conf.get(KEY_SETTING, None)
+    return pii.mask_texts(docs, key.encode() if key else TEST_KEY)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Quality rules, rule ensemble, toxicity, pseudonyms and decontamination."""
 
+import datetime
+import hmac
 import re
 import zlib
 
@@ -285,6 +287,77 @@ def test_equal_values_stay_linked_and_others_apart():
     assert images == set(range(1000))
 
 
+def test_a_phone_number_is_the_same_in_all_notations():
+    masker, back = pii.Masker(b"key"), pii.Masker(b"key", back=True)
+    groups = [
+        ["+44 20 7946 0958", "+442079460958", "+44-20-7946-0958", "+44 (20) 7946 0958"],
+        ["+1 212 555 1234", "+12125551234", "(212) 555-1234", "212-555-1234"],
+        ["+380 44 537 0000", "+380445370000", "+380 (44) 537-0000", "+380.44.537.0000"],
+    ]
+    for group in groups:
+        made = [masker.mask(f"call {text}, please")[0][5:-8] for text in group]
+        digits = {re.sub(r"\D", "", m)[-9:] for m in made}
+        assert len(digits) == 1 and all(m != text for m, text in zip(made, group))
+        assert [back.mask(m)[0] for m in made] == group
+        assert [re.sub(r"\d", "0", m) for m in made] == [re.sub(r"\d", "0", text) for text in group]
+
+
+def test_dates_go_back_in_their_form():
+    masker, back = pii.Masker(b"key"), pii.Masker(b"key", back=True)
+    rng, seen = np.random.default_rng(7), set()
+    for n in rng.integers(0, 73_000, 3_000).tolist():
+        d = datetime.date.fromordinal(datetime.date(1900, 1, 1).toordinal() + n)
+        forms = [d.isoformat(), f"{d.day}/{d.month}/{d.year}", f"{d.day:02}.{d.month:02}.{d.year}", f"{d.month}/{d.day}/{d.year}", f"{d.day:02}/{d.month}/{d.year}"]
+        made = [masker.mask(text)[0] for text in forms]
+        assert [back.mask(m)[0] for m in made] == forms
+        assert [re.sub(r"\d", "0", m) for m in made] == [re.sub(r"\d", "0", text) for text in forms]
+        y, m, day = made[0].split("-")
+        assert made[2] == f"{day}.{m}.{y}"  # equal widths, equal dates
+        seen.add(made[0])
+    assert len(seen) > 2_800
+
+
+def table(size, allowed, tweak, key):
+    """A keyed permutation as a table, from a plain network of four lines."""
+    a = next(k for k in range(1, size + 1) if k * k >= size)
+    b = -(-size // a)
+
+    def step(x):
+        high, low = x // a, x % a
+        for turn in range(pii.ROUNDS):
+            half = low if turn % 2 else high
+            f = int.from_bytes(hmac.new(key, f"{tweak}|{size}|{turn}|{half}".encode(), "sha256").digest()[:16], "big")
+            high, low = ((high + f) % b, low) if turn % 2 else (high, (low + f) % a)
+        return high * a + low
+
+    once = [step(x) for x in range(a * b)]
+    out = {}
+    for x in filter(allowed, range(size)):
+        y = once[x]
+        while y >= size or not allowed(y):
+            y = once[y]
+        out[x] = y
+    return out
+
+
+def test_pseudonyms_are_those_of_a_plain_version(make_docs):
+    """Values one by one, with tables of the permutations and strings put together by hand."""
+    key, rows, wanted = b"key", [], []
+    first = datetime.date(1900, 1, 1).toordinal()
+    dates = table(datetime.date(2100, 1, 1).toordinal() - first, lambda n: True, "date", key)
+    for k in range(40):
+        d = datetime.date(1950 + k, 1 + k % 12, 1 + k % 28)
+        new = datetime.date.fromordinal(first + dates[d.toordinal() - first])
+        rows.append((k, f"born {d.isoformat()} or {d:%d.%m.%Y}, no value: {d.year}-13-01, 666-12-{k:04}"))
+        wanted.append((k, f"born {new.isoformat()} or {new:%d.%m.%Y}, no value: {d.year}-13-01, 666-12-{k:04}", 2))
+    cards = table(10**4, lambda n: True, "card", key)
+    for n in (0, 7, 4111, 9999):
+        # The same network that cards use, on a size small enough for a table.
+        assert pii.Permuter(key).number(n, 10**4, "card") == cards[n]
+    found = pii.pseudonymised(make_docs(rows), key).collect()
+    assert sorted((r.doc_id, r.text, r.n_replaced) for r in found) == wanted
+
+
 @pytest.mark.parametrize(
     "text",
     ["4111111111111112", "300.1.1.1", "2021-02-30", "v1.2.3", "666-12-1234", "a@b", "page 12 of 30",
@@ -297,15 +370,15 @@ def test_invalid_values_stay(text):
 def test_masked_tables(make_docs, odd_rows):
     rows = odd_rows + [(90, "ip 10.20.30.40"), (91, "ip 10.20.30.40 again")]
     docs = make_docs(rows)
-    masked = pii.mask_texts(docs)
+    masked = pii.mask_texts(docs, b"key")
     assert masked.schema == docs.schema
     by_id = {r.doc_id: r for r in masked.collect()}
     assert by_id[1].text is None and by_id[7].text == odd_rows[8][1]
     assert by_id[90].n_chars == len(by_id[90].text)
     assert by_id[91].text == by_id[90].text + " again" != rows[-1][1]
-    counted = {r.doc_id: r.n_replaced for r in pii.pseudonymised(docs).collect()}
+    counted = {r.doc_id: r.n_replaced for r in pii.pseudonymised(docs, b"key").collect()}
     assert counted[90] == counted[91] == 1 and counted[1] == counted[7] == 0
-    assert pii.pseudonymised(make_docs([])).count() == 0
+    assert pii.pseudonymised(make_docs([]), b"key").count() == 0
 
 
 # -- decontamination --------------------------------------------------------------------------

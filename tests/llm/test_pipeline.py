@@ -102,7 +102,7 @@ def test_pipeline_is_the_plain_stages_in_order(spark, folder, monkeypatch):
     assert 0 < len(rows) < len(corpus())
     rows = brute_first(rows)
     rows = [r for r in rows if brute_share(r[1], ITEM) < 0.5]
-    masker = pii.Masker(pii.DEFAULT_KEY)
+    masker = pii.Masker(corpus_pipeline.TEST_KEY)
     rows = [(r[0], masker.mask(r[1])[0], *r[2:4], len(masker.mask(r[1])[0]), r[5]) for r in rows]
     copies = {r.doc_id: r.copies for r in mixing.mix(spark.createDataFrame(rows, COLUMNS)).collect()}
     wanted = sorted((*r, c) for r in rows for c in range(1, copies[r[0]] + 1))

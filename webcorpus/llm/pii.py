@@ -6,7 +6,10 @@ permutation of the values of the same form: check digits and calendars hold,
 separators stay. The permutation is a Feistel network on numbers below any
 bound, walked on until it lands in the allowed set, and depends on the key, the
 kind and the form alone. So equal values stay equal in all documents, different
-ones stay different, and who has the key can go back.
+ones stay different, and who has the key can go back. A phone number is the same
+in all notations; a date is the same in all notations of equal digit widths.
+
+The key is the caller's: there is no default.
 """
 
 from __future__ import annotations
@@ -26,7 +29,13 @@ from webcorpus.session import ddl
 
 ROUNDS = 8
 KINDS = ("email", "card", "iban", "ssn", "phone", "ip", "date")
-DEFAULT_KEY = b"replace this key"
+#: Calling codes of one and of two digits; all others have three.
+CODES_1 = ("1", "7")
+CODES_2 = (
+    "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46",
+    "47", "48", "49", "51", "52", "53", "54", "55", "56", "57", "58", "60", "61", "62", "63",
+    "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98",
+)
 
 _FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _FIRST_DAY
@@ -165,16 +174,16 @@ def _ssn(found: str, p: Permuter) -> str | None:
 
 
 def _phone(found: str, p: Permuter) -> str | None:
-    """The country code stays; without one the number has ten digits."""
-    code = len(re.match(r"\+?(\d*)", found)[1]) if found[0] == "+" else 0
+    """The calling code stays. A number without one has ten digits and the code 1."""
     digits = _digits(found)
-    if code > 3:  # nothing between code and number: the first digit stays
-        code = 1
-    own = digits[code:]
-    if not (8 if code else 10) <= len(digits) <= 15 or len(own) < 6:
+    size = 0
+    if found[0] == "+":
+        size = 1 if digits[:1] in CODES_1 else 2 if digits[:2] in CODES_2 else 3
+    code, own = digits[:size] or "1", digits[size:]
+    if not (8 if size else 10) <= len(digits) <= 15 or len(own) < 6:
         return None
-    new = p.number(int(own), 10 ** len(own), f"phone{digits[:code]}")
-    return _refill(found, digits[:code] + str(new).zfill(len(own)))
+    new = p.number(int(own), 10 ** len(own), f"phone{code}")
+    return _refill(found, digits[:size] + str(new).zfill(len(own)))
 
 
 def _ip(found: str, p: Permuter) -> str | None:
@@ -198,18 +207,23 @@ def _date(found: str, p: Permuter) -> str | None:
     if not 0 <= x < _DAYS:
         return None
 
-    def late(n: int) -> bool:
-        return datetime.date.fromordinal(_FIRST_DAY + n).day > 12
+    # A number of one digit stays one, or the form would change and not go back. A
+    # date written month first must show that it is, or it would not be read so again.
+    widths = (len(month), len(day))
+
+    def fits(n: int) -> bool:
+        new = datetime.date.fromordinal(_FIRST_DAY + n)
+        if month_first and new.day <= 12:
+            return False
+        return all(w == 2 or v < 10 for w, v in zip(widths, (new.month, new.day)))
 
-    # Written month first, a date must show that it is, or it would not be read so again.
-    kind, allowed = ("date-m", late) if month_first else ("date", lambda _: True)
-    new = datetime.date.fromordinal(_FIRST_DAY + p.number(x, _DAYS, kind, allowed))
+    n = p.number(x, _DAYS, "date-m" if month_first else "date", fits)
+    new = datetime.date.fromordinal(_FIRST_DAY + n)
     if sep == "-":
         return new.isoformat()
-    padded = len(a) == 2 and len(b) == 2
-    width = 2 if padded else 1
-    first, second = (new.month, new.day) if month_first else (new.day, new.month)
-    return f"{first:0{width}d}{sep}{second:0{width}d}{sep}{new.year}"
+    month, day = f"{new.month:0{widths[0]}d}", f"{new.day:0{widths[1]}d}"
+    first, second = (month, day) if month_first else (day, month)
+    return f"{first}{sep}{second}{sep}{new.year}"
 
 
 _MAKERS = {"card": _card, "iban": _iban, "ssn": _ssn, "phone": _phone, "ip": _ip, "date": _date}
@@ -265,7 +279,7 @@ class Masker:
         return ("".join([*out, text[end:]]) if out else text), counts
 
 
-def mask_texts(docs: DataFrame, key: bytes = DEFAULT_KEY, back: bool = False) -> DataFrame:
+def mask_texts(docs: DataFrame, key: bytes, back: bool = False) -> DataFrame:
     """`docs` with pseudonyms in `text`; `n_chars`, where there is one, follows.
 
     All other columns stay, whatever their names. A null text stays null; equal
@@ -292,7 +306,7 @@ def mask_texts(docs: DataFrame, key: bytes = DEFAULT_KEY, back: bool = False) ->
     return docs.mapInArrow(run, docs.schema)
 
 
-def pseudonymised(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
+def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
     """(doc_id, text, n_<kind> for each of KINDS, n_replaced), a row per row of `docs`.
 
     A null text stays null and has counts of 0. Other columns are not read.
