@@ -165,7 +165,7 @@ def test_levels_move_neither_links_nor_earlier_levels(spark, tmp_path):
         for depth in (0, 1):
             rows = level.select("norm_url", "url", F.lit(depth).alias("depth"), F.lit(True).alias("processed"), F.lit(0).cast("long").alias("rank"))
             keyed.write_batch(rows, path, depth, ["norm_url"], 4)
-        known = keyed.read_batches(spark, path, frontier._VISITED, ["norm_url"])
+        known = keyed.read_batches(spark, path, frontier._VISITED, ["norm_url"], buckets=4)
         with bucketed(pages, ("src_norm",), "t", 4) as table:
             reached = frontier.expand(known.filter("batch = 1"), table)
             assert reached.count() == 250

@@ -128,9 +128,7 @@ def crawl_frontier(
             candidates = distinct_targets(reached, "dst_norm", "dst_url", "found" if ranked else None)
             candidates = candidates.repartition(count, "norm_url")
             if depth:
-                candidates = drop_visited(
-                    candidates, keyed.read_batches(spark, known, _VISITED, ["norm_url"])
-                )
+                candidates = drop_visited(candidates, walked)
             if visited is not None:
                 candidates = drop_visited(candidates, visited)
             level = _admit(candidates, depth, max_depth, skip_patterns, policies)
@@ -140,7 +138,7 @@ def crawl_frontier(
                 level = level.withColumn("rank", F.lit(None).cast("long"))
             names = ["norm_url", "url", "depth", "processed", "rank"]
             keyed.write_batch(level.select(*names), known, depth, ["norm_url"], count)
-            walked = keyed.read_batches(spark, known, _VISITED, ["norm_url"])
+            walked = keyed.read_batches(spark, known, _VISITED, ["norm_url"], buckets=count)
             level = walked.filter(F.col("batch") == depth)
             size = level.count()
             total += size

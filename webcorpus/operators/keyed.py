@@ -37,11 +37,12 @@ def write_batch(
 ) -> None:
     """Add or replace one batch. Rows that are dealt by the keys already stay where they are.
 
-    `buckets` counts for the first batch only.
+    With `buckets` the caller keeps their number, and gives it to `read_batches`
+    too; otherwise it is kept beside the table.
     """
     spark = rows.sparkSession
-    known = _buckets(spark, path)
-    count = known or buckets or bucket_count(spark, path)
+    known = buckets or _buckets(spark, path)
+    count = known or bucket_count(spark, path)
     if known is None:
         layout = spark.range(1).select(F.lit(count).alias("buckets"))
         layout.coalesce(1).write.mode("overwrite").json(f"{path}-layout")
@@ -59,13 +60,18 @@ def write_batch(
 
 
 def read_batches(
-    spark: SparkSession, path: str, schema: str, keys: Sequence[str], before: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    keys: Sequence[str],
+    before: int | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """All rows with their `batch`, or those of the batches before one of them.
 
     The table stays in the session's catalog, under a name that its path gives.
     """
-    count = _buckets(spark, path)
+    count = buckets or _buckets(spark, path)
     if count is None:
         return spark.createDataFrame([], f"{schema}, batch long")
     name = "keyed_" + hashlib.md5(f"{path} {schema} {count}".encode()).hexdigest()
