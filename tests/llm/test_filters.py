@@ -258,6 +258,92 @@ def test_classifiers_on_odd_rows_and_few_labels(make_docs, odd_rows, make_labels
     assert classify(make_docs([]), make_labels([])).count() == 0
 
 
+def plain_statistics(text):
+    """The inputs of the rules from a raw text."""
+    text = text or ""
+    n_words, word_chars, symbols, dup, repeated = brute_stats(text)
+    found, n, lines = words(text), max(n_words, 1), text.count("\n") + 1
+    return {
+        "n_words": n_words, "word_length": word_chars / n, "symbols": symbols / n, "bars": text.count("|") / n,
+        "dup_lines": dup / lines, "repeated": repeated / n, "distinct": len(set(found)) / n, "stops": text.count(".") / n,
+        "commas": text.count(",") / n, "line_words": n_words / lines, "blank": 1 - word_chars / max(len(text), 1),
+    }
+
+
+def test_rule_scores_are_those_of_a_plain_scorer(spark, make_docs, make_labels, odd_rows):
+    """Rule by rule over raw texts, from the model that the query learns."""
+    rng = np.random.default_rng(3)
+
+    def text(k):
+        parts = [f"w{j}" + rng.choice(["", "", ",", "."]) for j in rng.integers(0, 40, rng.integers(5, 90))]
+        return " ".join([*parts, *["|", "###"] * (k % 2 * rng.integers(0, 9))]) + "\nline" * rng.integers(0, 4)
+
+    rows = [(k, text(k)) for k in range(400)] + [(r[0], r[1]) for r in odd_rows[:6]] + [(5, "another | text")]
+    docs, labels = make_docs(rows), make_labels([(k, int(k % 2 == 0), 0) for k in range(400)])
+    model = rules.learn(rules.text_stats(docs), labels, "quality", 4, 2)
+    assert model.rules
+    wanted = []
+    for doc_id, raw in rows:
+        x, total = plain_statistics(raw), model.bias
+        for rule in model.rules:
+            total += rule.weight * all((x[name] > edge) == above for name, above, edge in rule.terms)
+        held = doc_id is not None and zlib.crc32(str(doc_id).encode()) % 4 == 2
+        wanted.append((doc_id, held, 1 / (1 + np.exp(-total))))
+    found = [(r.doc_id, r.held_out, r.score) for r in rules.classify(docs, labels).collect()]
+    found.sort(key=str), wanted.sort(key=str)
+    assert [r[:2] for r in found] == [r[:2] for r in wanted]
+    assert [r[2] for r in found] == pytest.approx([r[2] for r in wanted], abs=1e-9)
+
+
+def plain_toxicity(model, text):
+    """The recurrent cell word by word over every window, in both directions."""
+    p, h = model.network, toxicity.HIDDEN
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    lexicon, worst = toxicity.Lexicon(), []
+    found = words(text)
+    x = []
+    for w in found:
+        row, chars, _ = lexicon.rows([w])
+        x.append(np.concatenate([p["words"][row[0]], p["chars"][chars].mean(0)]).astype(float))
+    last = max(0, len(found) - toxicity.WINDOW)
+    for first in sorted({*range(0, last, toxicity.STRIDE), last} if found else ()):
+        window = x[first : first + toxicity.WINDOW]
+        both = []
+        for way in (0, 1):
+            state, states = np.zeros(h), []
+            for v in window[:: 1 - 2 * way]:
+                gate, own = v @ p["W"][way] + p["b"][way, 0], state @ p["U"][way]
+                z, r = sigmoid(gate[:h] + own[:h]), sigmoid(gate[h : 2 * h] + own[h : 2 * h])
+                state = z * state + (1 - z) * np.tanh(gate[2 * h :] + r * own[2 * h :])
+                states.append(state)
+            both.append(states[:: 1 - 2 * way])
+        states = np.concatenate([np.array(both[0]), np.array(both[1])], axis=1)
+        energy = np.exp(np.tanh(states @ p["A"]) @ p["v"])
+        worst.append((energy / energy.sum()) @ states @ p["w"] + p["c"][0])
+    return sigmoid(model.slope * max(worst, default=model.lowest) + model.bias)
+
+
+def test_toxicity_scores_are_those_of_a_plain_network(make_docs, make_labels, odd_rows):
+    rng = np.random.default_rng(8)
+
+    def text(k):
+        out = [f"plain{j}" for j in rng.integers(0, 50, rng.integers(1, 140))]
+        if k % 3 == 0:
+            out[rng.integers(len(out))] = "Grolkish!"
+        return " ".join(out)
+
+    rows = [(k, text(k)) for k in range(90)] + [(r[0], r[1]) for r in odd_rows if len(r[1] or "") < 2_000]
+    docs, labels = make_docs(rows), make_labels([(k, None, int(k % 3 == 0)) for k in range(90)])
+    samples = [toxicity.training_texts(docs.repartition(n), labels, 5, 0) for n in (1, 7)]
+    assert samples[0][0] == samples[1][0] and (samples[0][1].ids == samples[1][1].ids).all()
+    model = toxicity.learn(*samples[0])
+    assert model.network is not None
+    found = sorted(((r.doc_id, r.score) for r in toxicity.classify(docs, labels).collect()), key=str)
+    wanted = sorted(((doc_id, plain_toxicity(model, raw)) for doc_id, raw in rows), key=str)
+    assert [r[0] for r in found] == [r[0] for r in wanted]
+    assert [r[1] for r in found] == pytest.approx([r[1] for r in wanted], abs=1e-4)
+
+
 # -- pseudonyms ---------------------------------------------------------------------------
 
 SAMPLES = [

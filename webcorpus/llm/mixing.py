@@ -240,7 +240,9 @@ def take_mix(docs: DataFrame) -> DataFrame:
     """The mix itself: each row of `docs` as often as the mix takes it.
 
     `copy` counts a row's copies from 1; it replaces a column of that name. The
-    decisions are joined by narrow keys, so a text moves once.
+    decisions are joined by narrow keys, so a text moves once. Which of several
+    rows of one id, source and size is taken more often follows from a hash of
+    the whole row, so a repeat gives the same.
     """
     names = [c for c in docs.columns if c != "copy"]
 
@@ -256,9 +258,12 @@ def take_mix(docs: DataFrame) -> DataFrame:
         key("doc_id").alias("_doc"),
         key("source").alias("_src"),
         n_words(F.col("text")).alias("_size"),
+        F.xxhash64("text").alias("_text"),
+        F.xxhash64(F.to_json(F.struct(*[c for c in names if c != "text"]))).alias("_rest"),
     )
     keys = ["_doc", "_src", "_size"]
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)) - 1
+    # Rows of one id, source and size take their copies in an order of their own.
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("_text", "_rest")) - 1
     return (
         rows.join(decided, keys)
         .withColumn("_taken", _own_copies(number))

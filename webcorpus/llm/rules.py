@@ -22,6 +22,8 @@ from webcorpus.session import ddl, materialize
 
 #: Labelled documents that the rules are learnt from, at most.
 MAX_LABELLED = 20_000
+#: Labelled documents that rules can be learnt from, at least.
+LEAST = 40
 TREES, DEPTH, RATE, BINS = 16, 3, 0.3, 32
 #: Weight of the lasso penalty, and its proximal gradient steps.
 PENALTY, STEPS = 1e-3, 300
@@ -142,12 +144,12 @@ def _simple(terms: tuple) -> tuple:
 def fit(x: np.ndarray, y: np.ndarray, names: list[str]) -> Model:
     """Rules and weights from statistics `x` and labels `y` (0 or 1).
 
-    Without rows the score is 0.5 everywhere; with one class it is that class's
-    smoothed share.
+    Without rows the score is 0.5 everywhere; with one class, or fewer than LEAST
+    rows, it is the smoothed share of label 1.
     """
     share = (y.sum() + 0.5) / (len(y) + 1.0)
     bias = float(np.log(share / (1 - share)))
-    if len(y) < 40 or y.min() == y.max():
+    if len(y) < LEAST or y.min() == y.max():
         return Model(bias, [])
     edges = [np.unique(np.quantile(column, np.linspace(0, 1, BINS + 1)[1:-1])) for column in x.T]
     # Code k: above the first k edges.
@@ -189,7 +191,8 @@ def learn(stats: DataFrame, labels: DataFrame, label: str, folds: int, fold: int
 
     Of more than MAX_LABELLED rows those with the smallest hashes of doc_id are
     taken, so the sample is the same in every run. Rows without a 0 or 1 are no
-    labels; an id that has several labels counts with its smallest.
+    labels; an id that has several labels counts with its smallest, and one that
+    has several texts with the one of the smallest statistics.
     """
     sample = (
         labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
@@ -204,7 +207,9 @@ def learn(stats: DataFrame, labels: DataFrame, label: str, folds: int, fold: int
         stats.join(F.broadcast(sample), "doc_id")
         .select("doc_id", "_label", *[c.alias(n) for n, c in named.items()])
         .groupBy("doc_id")
-        .agg(F.min("_label").alias("_label"), *[F.min(n).alias(n) for n in named])
+        # Of several texts under one id, one whole text counts.
+        .agg(F.min("_label").alias("_label"), F.min(F.struct(*named)).alias("_x"))
+        .select("doc_id", "_label", "_x.*")
         .orderBy("doc_id")
         .toPandas()
     )

@@ -30,6 +30,8 @@ from webcorpus.session import ddl
 WINDOW, STRIDE = 32, 16
 #: Labelled documents of each class that are learnt from at most, with all their windows.
 MAX_PER_CLASS = 1_500
+#: Labelled documents that the network can be trained on, at least.
+LEAST = 20
 WORD_ROWS, CHAR_ROWS, WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8_192, 4_096, 6, 8, 8, 8
 #: Training: rounds over the windows at most, steps in all unless LEAST_ROUNDS over
 #: all windows take more, rows of a step, rate.
@@ -273,12 +275,13 @@ def learn(
 
     `stands` is how many labelled documents each one stands for, so that the curve
     has the classes' true shares however large the sample; one each by default.
-    Without both classes the score is the smoothed share of toxic documents.
+    Without both classes, or with fewer than LEAST documents, the score is the
+    smoothed share of toxic documents.
     """
     stands = np.ones(len(toxic)) if stands is None else stands
     share = ((stands * toxic).sum() + 0.5) / (stands.sum() + 1.0)
     prior = float(np.log(share / (1 - share)))
-    if len(toxic) < 20 or toxic.min() == toxic.max():
+    if len(toxic) < LEAST or toxic.min() == toxic.max():
         return Model(None, 0.0, prior, 0.0)
     rng = np.random.default_rng(7)
     owner = windows.owner
@@ -351,7 +354,8 @@ def training_texts(
 
     Of each class the MAX_PER_CLASS labelled documents with the smallest hashes
     of doc_id are taken, held-out ones excepted, with their whole texts. The
-    texts reach the driver a part at a time and become word numbers there.
+    texts reach the driver a part at a time and become word numbers as they come;
+    only these are held together.
     """
     known = (
         labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -371,16 +375,23 @@ def training_texts(
     whole = chosen.groupBy("doc_id").agg(
         F.max("_toxic").alias("toxic"), F.max("text").alias("text")
     )
-    rows = sorted(whole.coalesce(PARTS).toLocalIterator(), key=lambda row: row["doc_id"])
     numbers: dict[str, int] = {}
-    texts = []
-    for row in rows:
+    rows = []
+    for row in whole.coalesce(PARTS).toLocalIterator():
         words = words_of(row["text"] or "")
         ids = (numbers.setdefault(w, len(numbers)) for w in words)
-        texts.append(np.fromiter(ids, np.int32, len(words)))
-    toxic = np.array([row["toxic"] for row in rows], np.int64)
+        rows.append((row["doc_id"], row["toxic"], np.fromiter(ids, np.int32, len(words))))
+    # In order of doc_id, words in order of their first place, whatever came first.
+    rows.sort(key=lambda row: row[0])
+    flat = np.concatenate([np.zeros(0, np.int32), *[ids for _, _, ids in rows]])
+    used, first = np.unique(flat, return_index=True)
+    order = used[np.argsort(first)]
+    place = np.zeros(len(numbers), np.int32)
+    place[order] = np.arange(len(order))
+    names = list(numbers)
+    toxic = np.array([label for _, label, _ in rows], np.int64)
     stands = np.maximum(many / MAX_PER_CLASS, 1.0)[toxic]
-    return list(numbers), windows_of(texts), toxic, stands
+    return [names[k] for k in order], windows_of([place[ids] for _, _, ids in rows]), toxic, stands
 
 
 class Scorer:
@@ -442,7 +453,8 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0)
 
     Null and empty texts have no window and take the lowest logit seen in
     training; repeated rows get the same score; other columns are not read.
-    Without labels of both classes all scores are the share of toxic labels.
+    Without labels of both classes, or with fewer than LEAST labelled documents,
+    all scores are the share of toxic labels.
     """
     model = learn(*training_texts(docs, labels, folds, fold))
     return score_texts(docs, model).select(
