@@ -410,3 +410,16 @@ def test_latest_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in latest._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
     )
+
+
+def test_intermediate_folders_can_be_removed(spark, tmp_path, monkeypatch):
+    import os
+
+    from webcorpus import session
+
+    monkeypatch.setattr(session, "_made", {})
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    kept = session.materialize(spark.range(10), "some")
+    assert kept.count() == 10 and len(os.listdir(tmp_path)) == 1
+    assert session.remove_intermediates(spark) == 1
+    assert os.listdir(tmp_path) == [] and session.remove_intermediates(spark) == 0

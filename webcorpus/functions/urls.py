@@ -1,8 +1,9 @@
 """URL algebra as Column expressions.
 
-Every function maps string columns to a string column and stays inside
-whole-stage code generation, except the dot-segment fold in `resolve`, which
-runs only for paths that have dot segments.
+Every function maps string columns to a string column inside the JVM. Parts that
+are used several times are bound once (`functions.text.let`), which Spark
+interprets row by row; the rest is generated code. The dot-segment fold in
+`resolve` runs only for paths that have dot segments.
 """
 
 from __future__ import annotations

@@ -14,10 +14,12 @@ from webcorpus.functions.markup import BOILERPLATE
 _ID_CLASS_WORDS = ("lang", "translat", "goog", "cookie")
 _CLASSES = ("header", "footer", "sidebar")
 _SILENT = ("script", "style", "template", "rt", "rp")
-_VOID = frozenset(
-    "area base basefont bgsound br col command embed frame hr image img input isindex "
-    "keygen link menuitem meta nextid param source spacer track wbr".split()
-)
+# Elements without an end tag.
+_VOID = (
+    "area", "base", "basefont", "bgsound", "br", "col", "command", "embed", "frame", "hr",
+    "image", "img", "input", "isindex", "keygen", "link", "menuitem", "meta", "nextid",
+    "param", "source", "spacer", "track", "wbr",
+)
 
 
 class _Element:

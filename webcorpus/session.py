@@ -66,9 +66,29 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Intermediate folders of each application.
+_made: dict[str, list[str]] = {}
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_intermediates(spark: SparkSession) -> int:
+    """Delete the folders that this application's intermediate tables went to.
+
+    For the end of a job, when its results are written: a DataFrame that still
+    reads such a folder fails afterwards. Gives the number of folders.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    return len(paths)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
