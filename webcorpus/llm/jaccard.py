@@ -198,11 +198,14 @@ def _stars(large: DataFrame, classes: DataFrame) -> DataFrame:
     some = large.groupBy("key").agg(
         F.array(F.min("cid"), F.max("cid"), F.min_by("cid", F.xxhash64("cid"))).alias("some")
     )
+    # A class is in few buckets, whose members of choice are mostly the same.
+    chosen = F.array_distinct(F.flatten(F.collect_list("some"))).alias("some")
     pairs = (
         large.join(some, "key")
-        .select(F.col("cid").alias("a"), F.explode("some").alias("b"))
+        .groupBy(F.col("cid").alias("a"))
+        .agg(chosen)
+        .select("a", F.explode("some").alias("b"))
         .filter("a <> b")
-        .distinct()
     )
     own = classes.select(F.col("cid").alias("a"), F.col("sketch").alias("left"))
     other = classes.select(F.col("cid").alias("b"), F.col("sketch").alias("right"))
