@@ -38,6 +38,30 @@ def test_only_damaged_records_are_found(spark, monkeypatch, span):
     assert lost.second_hash is None and lost.first_length == good[17][2]
 
 
+def test_a_lost_record_is_found_alone_though_all_others_moved(spark, monkeypatch):
+    monkeypatch.setattr(fixity, "SPAN", 256)
+    monkeypatch.setattr(fixity, "FANOUT", 3)
+    rows = [(k, f"http://x/{k}", "<p>" + "text " * (k % 30)) for k in range(120)]
+    schema = "page_id long, url string, html string"
+
+    def laid(some):
+        return fixity.laid_out(fixity.hashed(fixity.warc_records(spark.createDataFrame(some, schema))), 40)
+
+    longer = [(k, u, h + " and more" if k == 90 else h) for k, u, h in rows if k != 45]
+    found = {r.record_id: r for r in fixity.audit(laid(rows), laid(longer)).collect()}
+    assert set(found) == {45, 90}
+    assert found[45].second_hash is None and found[90].second_length == found[90].first_length + 10  # one digit more in the header
+    place = {r.record_id: r.offset for r in laid(rows).collect()}
+    assert {k: r.file_offset for k, r in found.items()} == {k: place[k] for k in (45, 90)}
+
+
+def test_records_without_an_offset(spark):
+    good = [(None, None, 3, k % 50, f"r{k}".encode()) for k in range(3_000)]
+    bad = [r for r in good if r[4] != b"r77"] + [("", None, 3, 1, b"new")]
+    found = fixity.audit(replica(spark, good), replica(spark, bad)).collect()
+    assert sorted((r.file, r.file_offset, r.record_id) for r in found) == [("", 0, 1), ("", 0, 27)]
+
+
 def test_equal_and_empty_replicas(spark):
     good = replica(spark, records(50))
     assert fixity.audit(good, good.repartition(5)).count() == 0

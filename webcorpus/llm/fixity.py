@@ -4,7 +4,9 @@ A record is hashed with its place in its file. The records whose offset falls
 into one range of SPAN bytes are hashed in order of offset into a leaf node;
 FANOUT neighbouring ranges make the next node, up to one root for a file. Two
 replicas are compared by their roots, and only below nodes that differ are the
-children compared, down to the records.
+children compared, down to the records. There records are matched by what they
+hold, so that a lost or longer record, which shifts all that come after it in its
+file, is found alone.
 
 All of it is joins and grouping. A group holds the records of one range or the
 children of one node, so a file of any size is hashed by many tasks; between
@@ -24,6 +26,8 @@ FANOUT = 16
 FILE_RECORDS = 500
 #: Names of a found record's place in the result.
 FOUND = ("file", "file_offset", "record_id")
+#: Leaf nodes that records without an offset are dealt to, by their hash.
+UNPLACED = 1024
 
 
 def warc_records(pages: DataFrame) -> DataFrame:
@@ -78,18 +82,19 @@ def _digest(lines: Column) -> Column:
 
 def _counted(hashes: DataFrame) -> DataFrame:
     """One row for equal records at one place, with their number and leaf node."""
-    offset = F.coalesce(F.col("offset"), F.lit(0)).cast("long")
+    offset = F.col("offset").cast("long")
+    unplaced = F.pmod(F.xxhash64("hash"), F.lit(UNPLACED))
     return (
         hashes.select(
             F.coalesce("file", F.lit("")).alias("file"),
-            offset.alias("offset"),
+            F.coalesce(offset, F.lit(0)).alias("offset"),
+            F.when(offset.isNull(), unplaced).otherwise(F.floor(offset / SPAN)).alias("node"),
             "record_id",
             F.coalesce(F.col("length"), F.lit(0)).cast("long").alias("length"),
             F.coalesce("hash", F.lit("")).alias("hash"),
         )
-        .groupBy("file", "offset", "record_id", "length", "hash")
+        .groupBy("file", "node", "offset", "record_id", "length", "hash")
         .agg(F.count("*").alias("n"))
-        .withColumn("node", F.floor(F.col("offset") / SPAN))
     )
 
 
@@ -135,11 +140,14 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
 
     Both sides have (file, offset, length, record_id, hash). Gives (file,
     file_offset, record_id, first_length, second_length, first_hash, second_hash);
-    length and hash of a side without such a record are null. Records are
-    matched by file, offset and record_id (nulls match); of several there, the
-    greatest length and hash are shown, and a lost repetition shows as a row
-    with both hashes equal. A null file is the file with the empty name, a null
-    offset counts as 0. Empty replicas agree. Other columns are not read.
+    length and hash of a side without such a record are null, and the offset is
+    that of the first side if it has the record. Records are matched by file and
+    record_id (nulls match) and are equal when length and hash are, wherever they
+    stand; a record that only moved is none. Of several that differ under one
+    record_id the greatest length and hash are shown, and a lost repetition shows
+    as a row with both hashes equal. A null file is the file with the empty name;
+    records without an offset are compared as well. Empty replicas agree. Other
+    columns are not read.
     """
     counted = [materialize(_counted(side), "records") for side in (first, second)]
     top = max(side.agg(F.max("node")).first()[0] or 0 for side in counted)
@@ -150,22 +158,23 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     under = None
     for a, b in zip(*(reversed(side) for side in levels)):
         under = materialize(_differing(a, b, under), "differing")
-    keys = ["file", "offset", "record_id"]
+    keys = ["file", "record_id", "length", "hash"]
     a, b = (
         side.join(under, ["file", "node"], "left_semi")
         .groupBy(*keys)
-        .agg(
-            F.max("length").alias(f"{name}_length"),
-            F.max("hash").alias(f"{name}_hash"),
-            F.array_sort(F.collect_list(F.struct("length", "hash", "n"))).alias(f"_{name}"),
-        )
-        for side, name in zip(counted, ("first", "second"))
+        .agg(F.sum("n").alias("n"), F.min("offset").alias("offset"))
+        for side in counted
     )
     joined = a.join(b, [a[k].eqNullSafe(b[k]) for k in keys], "full_outer")
-    return joined.filter(~F.col("_first").eqNullSafe(F.col("_second"))).select(
-        *[F.coalesce(a[k], b[k]).alias(name) for k, name in zip(keys, FOUND)],
-        "first_length",
-        "second_length",
-        "first_hash",
-        "second_hash",
+    differ = joined.filter(~a["n"].eqNullSafe(b["n"])).select(
+        *[F.coalesce(a[k], b[k]).alias(k) for k in ("file", "record_id")],
+        a["offset"].alias("first_offset"),
+        b["offset"].alias("second_offset"),
+        *[side[c].alias(f"{name}_{c}") for c in ("length", "hash") for side, name in ((a, "first"), (b, "second"))],
+    )
+    shown = ("first_length", "second_length", "first_hash", "second_hash")
+    found = differ.groupBy("file", "record_id").agg(
+        F.coalesce(F.min("first_offset"), F.min("second_offset")).alias("file_offset"),
+        *[F.max(c).alias(c) for c in shown],
     )
+    return found.select(*FOUND, *shown)
