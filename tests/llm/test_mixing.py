@@ -89,6 +89,16 @@ def test_take_mix_repeats_rows_as_decided(make_docs, odd_rows):
     assert set(rows[0].asDict()) == set(docs.columns)
 
 
+def test_rows_of_one_id_are_taken_alike_in_every_run(make_docs):
+    rows = [(1, f"{a} {b} c d", "x") for a in "pqrstu" for b in "vw"] + [(k, "a b", "y") for k in range(2, 40)]
+    docs = make_docs(rows)
+    taken = [
+        sorted((r.doc_id, r.text, r["copy"]) for r in mixing.take_mix(docs.repartition(n, "text")).collect())
+        for n in (1, 3, 7)
+    ]
+    assert taken[0] == taken[1] == taken[2]
+
+
 def test_empty(make_docs):
     assert mixing.mix(make_docs([])).count() == 0
     assert mixing.take_mix(make_docs([])).count() == 0

@@ -44,7 +44,7 @@ SIMILAR, OF = 4, 5
 #: Tokens of the embedding; share of them that similar texts have at least; recall.
 T, LAMBDA, RECALL = 128, 0.7, 0.999
 #: Classes in a bucket that is not split further, and tokens in a path.
-LIMIT, DEPTH = 64, 4
+LIMIT, DEPTH = 512, 4
 #: Share of equal sketch bytes from which two classes are compared exactly: five
 #: standard deviations below the threshold.
 SKETCH = 0.63
@@ -243,7 +243,7 @@ def _leaves(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
             F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("y"),
         )
         size = materialize(size.filter("n > 1"), "buckets")
-        large = level.join(size.filter(F.col("n") > LIMIT).select("key"), "key")
+        large = level.join(size.filter(F.col("n") > LIMIT), "key", "left_semi")
         if depth == 1:
             large = materialize(large, "large")
             if not large.isEmpty():
@@ -252,7 +252,7 @@ def _leaves(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
                     F.col("id").alias("cid"), F.col("component").alias("label")
                 )
         small = _distinct_buckets(size.filter(F.col("n") <= LIMIT))
-        part = level.join(small, "key").select(
+        part = level.join(small, "key", "left_semi").select(
             "key", "cid", F.col("cid").alias("label"), F.lit(False).alias("major"),
             F.lit(1).alias("outer"), F.lit(0).alias("inner"),
         )
@@ -269,7 +269,11 @@ def _leaves(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
             F.max(F.struct("c", "label")).alias("top"),
         )
         open_ = materialize(open_.filter("cross > 0"), "open")
-        few = F.col("cross") <= 2 * LIMIT * F.col("n")
+        # Few for the bucket's size: at most LIMIT others for each class, or, where most
+        # pairs are connected, as many as fit one block.
+        few = F.col("cross") <= F.col("n") * F.greatest(
+            F.lit(2 * LIMIT), F.least(F.col("n") / 4, F.lit(BLOCK))
+        )
         done = open_ if depth == DEPTH else open_.filter(few)
         once = _distinct_buckets(size.join(done, "key", "left_semi")).select("key")
         both = done.join(once, "key", "left_semi").select(
