@@ -13,6 +13,7 @@ from webcorpus.operators.dom import walk
 from webcorpus.plans import corpus
 from webcorpus.plans import fixtures as I
 from webcorpus.plans.corpus import RECORD, CrawlInputs, run_crawl
+from webcorpus.plans.queries import QUERIES
 from webcorpus.sources import office
 from webcorpus.sources.pages import read_binary, size_cut
 from webcorpus.sources.state import read_seen
@@ -212,6 +213,20 @@ def test_streams_equal_batches(spark, tmp_path):
     assert stored.count() == batch.count() and stored.exceptAll(batch.select(stored.columns)).count() == 0
 
 
+@pytest.mark.parametrize("files", [0, 3])
+def test_stream_of_a_table_of_one_file_or_several(spark, tmp_path, files):
+    rows = [(k, f"http://h.example/{'de/' if k % 4 else 'en/'}{k}", "<p>words of a page</p>") for k in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    if files:
+        pages.repartition(files).write.parquet(str(tmp_path / "pages.parquet"))
+    else:
+        pages.toPandas().to_parquet(tmp_path / "pages.parquet")
+    for name in ("stream_ingest", "stream_dedup", "stream_upsert"):
+        assert QUERIES[name](spark, str(tmp_path)).count() == 40, name
+    summary = QUERIES["stream_summary"](spark, str(tmp_path))
+    assert {r.outcome: r.pages for r in summary.collect()} == {"skipped": 30, "visited": 10}
+
+
 def test_stream_dedup_with_watermark(spark, tmp_path):
     spark.range(10).select((F.col("id") % 3).alias("k"), F.timestamp_seconds("id").alias("ts")).write.parquet(str(tmp_path / "in"))
     rows = S.ingest(spark, str(tmp_path / "in"), "k long, ts timestamp")

@@ -759,7 +759,9 @@ _PAGE_SCHEMA = "page_id long, url string, html string"
 
 
 def _page_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return S.ingest(spark, sf, _PAGE_SCHEMA, "pages.parquet")
+    # One file or a folder of files, all of which count, as in a batch read. Only as a
+    # pattern may a stream's path be a file.
+    return S.ingest(spark, f"{sf}/[p]ages.parquet", _PAGE_SCHEMA, "*")
 
 
 def _streamed(df: DataFrame, mode: str = "append") -> DataFrame:
