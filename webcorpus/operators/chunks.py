@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +19,7 @@ from webcorpus.functions.text import (
     window_count,
 )
 from webcorpus.functions.urls import blob_hash, blob_stem, title
-from webcorpus.operators.rows import exploded
+from webcorpus.operators.rows import exploded, small_batches
 from webcorpus.session import ddl
 
 
@@ -64,23 +64,25 @@ def codec_windows(
     """The same over the tokens of a codec, made once per Python worker task.
 
     Token numbers never leave the worker: texts go in, windows come out. A null
-    text has no window.
+    text has no window. A task holds the tokens of one text at a time.
     """
     step = _step(size, overlap)
     schema = ddl(docs.select(*keep).schema.fields)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = make_codec()
-        for batch in batches:
-            out = batch.drop(columns="text")
-            encoded = [codec.encode(text or "") for text in batch["text"]]
-            out["windows"] = [
-                [codec.decode(tokens[at : at + size]) for at in range(0, len(tokens), step)]
-                for tokens in encoded
-            ]
-            yield out
-
-    windows = docs.select(*keep, "text").mapInPandas(run, f"{schema}, windows array<string>")
+
+        def windows(text: str | None) -> list[str]:
+            tokens = codec.encode(text or "")
+            return [codec.decode(tokens[at : at + size]) for at in range(0, len(tokens), step)]
+
+        for batch in small_batches(batches, "text"):
+            made = pa.array([windows(text.as_py()) for text in batch["text"]], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays(
+                [*[batch[name] for name in keep], made], names=[*keep, "windows"]
+            )
+
+    windows = docs.select(*keep, "text").mapInArrow(run, f"{schema}, windows array<string>")
     return _rows(windows, F.col("windows"), *keep)
 
 
