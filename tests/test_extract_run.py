@@ -2,6 +2,7 @@ import io
 import time
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from webcorpus.functions import markup as M
 from webcorpus.operators import chunks as C
 from webcorpus.operators import extract, keyed, links, store
 from webcorpus.operators.dom import walk
+from webcorpus.operators.rows import small_batches
 from webcorpus.plans import corpus
 from webcorpus.plans import fixtures as I
 from webcorpus.plans.corpus import RECORD, CrawlInputs, run_crawl
@@ -398,3 +400,54 @@ def test_stream_distinct_with_bounded_state(spark, tmp_path):
     table = keyed.read_batches(spark, str(tmp_path / "out"), schema, ["k"])
     found = [r.k for r in table.collect()]
     assert sorted(found) == sorted({"often"} | {f"new{h}-{j}" for h in range(n) for j in range(4)})
+
+
+def _outputs(monkeypatch, rows, make, column):
+    """Row counts of the batches that `make` makes of one batch with all `rows`."""
+    found = {}
+
+    def taken(self, run, schema):
+        found["run"] = run
+        return self
+
+    monkeypatch.setattr(type(rows), "mapInArrow", taken)
+    try:
+        make(rows)
+    except Exception:  # noqa: BLE001 - what comes after it lacks the columns
+        pass
+    names = [column, *[c for c in rows.columns if c != column]]
+    batch = rows.select(*names).toArrow().combine_chunks().to_batches()[0]
+    return [out.num_rows for out in found["run"](iter([batch]))]
+
+
+def test_pages_are_parsed_some_at_a_time(spark, monkeypatch):
+    pages = spark.range(1000).select("id", F.concat(F.lit("<a href='/x'>"), F.repeat(F.lit("word "), 1000)).alias("html"))
+    counts = _outputs(monkeypatch, pages, extract.parse_pages, "html")
+    assert sum(counts) == 1000 and max(counts) <= 256
+
+
+def test_long_and_null_values_in_small_batches():
+    values = [None, "a" * 50, "", "b" * 500, None, "c", "d" * 99]
+    batch = pa.RecordBatch.from_pydict({"k": list(range(7)), "t": values})
+    parts = [p.column("t").to_pylist() for p in small_batches([batch, batch.slice(7)], "t", size=100, rows=3)]
+    assert [v for p in parts for v in p] == values
+    assert parts == [values[:3], values[3:4], [None, "c", "d" * 99]]
+
+
+def test_codec_holds_the_tokens_of_one_text(spark):
+    class Codec:
+        held = 0
+
+        def encode(self, text):
+            self.held += 1
+            assert self.held == 1, "tokens of several texts"
+            return list(text)
+
+        def decode(self, tokens):
+            self.held = 0
+            return "".join(tokens)
+
+    rows = [(k, f"text number {k} " * 3) for k in range(200)]
+    docs = spark.createDataFrame(rows, "k long, text string").coalesce(1)
+    got = C.codec_windows(docs, Codec, 10, 2, "k").groupBy("k").count().collect()
+    assert {r["k"]: r["count"] for r in got} == {k: len(range(0, len(t), 8)) for k, t in rows}

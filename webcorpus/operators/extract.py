@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +26,7 @@ from webcorpus.functions.text import (
 from webcorpus.functions.urls import resolve
 from webcorpus.operators.dom import walk
 from webcorpus.operators.ordered import carry_forward, ordered_concat
-from webcorpus.operators.rows import exploded
+from webcorpus.operators.rows import exploded, small_batches
 from webcorpus.session import ddl, materialize
 
 
@@ -47,7 +47,8 @@ def parse_pages(
     `panes` has the elements that the page's own `#id` links point to, or all
     elements with an id. A page that the parser gives up on has an empty text,
     no links and panes, and says why in `parse_error`, which is null elsewhere.
-    `drop_language_blocks` applies `clean_lines`, which can drop prose too.
+    `drop_language_blocks` applies `clean_lines`, which can drop prose too. A task
+    holds what it made of some pages at a time, however many a batch has.
     """
     kept = [f for f in pages.schema.fields if f.name != "html"]
 
@@ -57,24 +58,30 @@ def parse_pages(
         except Exception as error:  # noqa: BLE001 - one bad page is one failure row
             return "", [], [], f"{type(error).__name__}: {error}"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            walked = [parsed_page(html) for html in batch["html"]]
-            out = batch.drop(columns="html")
-            out["text"] = [page[0] for page in walked]
-            out["hrefs"] = [page[1] for page in walked]
-            out["panes"] = [
-                [{"id": ident, "text": text} for ident, text in page[2]] for page in walked
-            ]
-            out["parse_error"] = [page[3] for page in walked]
-            yield out
+    names = [f.name for f in kept]
+    pane = pa.struct([("id", pa.string()), ("text", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "html"):
+            walked = [parsed_page(html.as_py()) for html in batch["html"]]
+            panes = [[{"id": ident, "text": text} for ident, text in page[2]] for page in walked]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch[name] for name in names],
+                    pa.array([page[0] for page in walked], pa.string()),
+                    pa.array([page[1] for page in walked], pa.list_(pa.string())),
+                    pa.array(panes, pa.list_(pane)),
+                    pa.array([page[3] for page in walked], pa.string()),
+                ],
+                names=[*names, "text", "hrefs", "panes", "parse_error"],
+            )
 
     made = (
         "text string, hrefs array<string>, panes array<struct<id:string,text:string>>, "
         "parse_error string"
     )
     schema = f"{ddl(kept)}, {made}" if kept else made
-    parsed = pages.select(*[f.name for f in kept], "html").mapInPandas(run, schema)
+    parsed = pages.select(*names, "html").mapInArrow(run, schema)
     return parsed.withColumn("text", clean_lines("text")) if drop_language_blocks else parsed
 
 
