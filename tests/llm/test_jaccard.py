@@ -129,6 +129,14 @@ def test_work_on_a_hot_group_grows_with_its_size(make_docs, monkeypatch):
     assert compared[1] <= 2.5 * compared[0]
 
 
+def test_a_hot_group_hands_on_one_link_per_class(make_docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "LIMIT", 16)
+    classes = jaccard.embed(make_docs(edits(5, 200, 200))).cache()
+    _, edges = jaccard._leaves(classes.withColumn("copies", classes.cid * 0 + 1))
+    ends = edges.select("a").union(edges.select("b")).distinct().count()
+    assert 0 < edges.count() < ends
+
+
 def test_odd_rows(make_docs, odd_rows):
     found = jaccard.jaccard_join(make_docs(odd_rows)).collect()
     assert len(found) == len(odd_rows)

@@ -194,7 +194,8 @@ def _longer(rows: DataFrame) -> DataFrame:
 
 
 def _stars(large: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b): classes of large buckets whose sketch agrees with one of three members."""
+    """(a, b): links that connect classes of large buckets to members that their sketch
+    agrees with, of three of each bucket."""
     some = large.groupBy("key").agg(
         F.array(F.min("cid"), F.max("cid"), F.min_by("cid", F.xxhash64("cid"))).alias("some")
     )
@@ -217,7 +218,14 @@ def _stars(large: DataFrame, classes: DataFrame) -> DataFrame:
                 for c in ("left", "right")
             )
             near = (left == right).sum(axis=1) >= math.ceil(SKETCH * T)
-            yield batch.select(["a", "b"]).filter(pa.array(near))
+            ends = np.concatenate([batch.column(c).to_numpy()[near] for c in ("a", "b")])
+            cid, at = np.unique(ends, return_inverse=True)
+            # A forest connects the same classes.
+            label = linked(len(cid), *np.split(at.reshape(-1), 2))
+            away = np.flatnonzero(label != np.arange(len(label)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cid[away]), pa.array(cid[label[away]])], names=["a", "b"]
+            )
 
     return pairs.join(own, "a").join(other, "b").select("a", "b", "left", "right").mapInArrow(
         run, "a long, b long"
@@ -247,10 +255,14 @@ def _leaves(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         if depth == 1:
             large = materialize(large, "large")
             if not large.isEmpty():
-                edges = materialize(_stars(large, classes), "stars")
-                labels = components(edges).select(
+                stars = materialize(_stars(large, classes), "stars")
+                labels = components(stars).select(
                     F.col("id").alias("cid"), F.col("component").alias("label")
                 )
+                # One link per class says all that the stars say.
+                edges = labels.filter("cid <> label").select(
+                    F.col("cid").alias("a"), F.col("label").alias("b")
+                )
         small = _distinct_buckets(size.filter(F.col("n") <= LIMIT))
         part = level.join(small, "key", "left_semi").select(
             "key", "cid", F.col("cid").alias("label"), F.lit(False).alias("major"),
