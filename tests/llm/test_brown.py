@@ -161,3 +161,14 @@ def test_held_out_texts_score_above_the_base(spark, make_docs):
     rows = [r for r in found(make_docs(list(enumerate(texts(400)))), classes=8, top=40, turns=9) if r[1]]
     assert len(rows) > 30
     assert sum(r[6] for r in rows) > sum(r[5] for r in rows) + 0.2 * sum(r[2] for r in rows)
+
+
+def test_neighbours_move_as_one_row_per_word():
+    rng = np.random.default_rng(3)
+    w = np.sort(rng.integers(0, 50, 5000)).astype(np.int32)
+    at, n = rng.integers(0, 100, (2, 5000))
+    batches = list(B._lists(w, at, n, rows=7))
+    rows = [r for batch in batches for r in batch.to_pylist()]
+    assert max(b.num_rows for b in batches) == 7 and len(rows) == len(set(w.tolist()))
+    flat = [(r["w"], a, c) for r in rows for a, c in zip(r["at"], r["n"])]
+    assert flat == list(zip(w.tolist(), at.tolist(), n.tolist()))
